@@ -220,9 +220,15 @@ def array_range(start, stop) -> Column:
 
 
 def check_json(text) -> Column:
-    """Null for valid or missing text, a message otherwise."""
+    """Null for valid or missing text, a message otherwise.
+
+    The parser stops after the first value and ignores what follows, so the text must
+    also parse as an array element and as a field value.
+    """
     text = _c(text)
-    return F.when(text.isNotNull() & F.try_parse_json(text).isNull(), F.lit("invalid"))
+    element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    return F.when(text.isNotNull() & (element.isNull() | field.isNull()), F.lit("invalid"))
 
 
 def strip_null_value(v) -> Column:
