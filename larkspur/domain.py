@@ -7,7 +7,7 @@ not use and pushes its filters into the scan. Money is decimal and small enough
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,8 +49,8 @@ def dec(col: Column | str, precision: int = 18, scale: int = 4) -> Column:
 
 
 def cents(units: Column) -> Column:
-    """Exact hundredths of a whole number."""
-    return units * F.lit(Decimal("0.01"))
+    """Exact hundredths of a whole number of up to twelve digits."""
+    return units.cast("decimal(12,0)") * F.lit(Decimal("0.01"))
 
 
 def mean(col: Column | str) -> Column:
@@ -98,9 +98,30 @@ def products(spark, sf_dir):
     )
 
 
-def orders(spark, sf_dir):
+def _days(raw: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    """Raw orders dated in [since, until], as a range on the stored column so that the scan can prune."""
+    day = F.col("o_orderdate")
+    if since is not None:
+        raw = raw.filter(day >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        raw = raw.filter(day < F.lit(until + timedelta(days=1)).cast("timestamp_ntz"))
+    return raw
+
+
+def orders(spark, sf_dir, status=None, payment=None, since: date | None = None, until: date | None = None):
+    """Orders; the optional filters apply to the stored codes and dates and reach the scan.
+
+    ``status`` is one name or several. A filter on the renamed columns gives the same
+    rows but hides behind the CASE mapping, where no scan can use it.
+    """
+    raw = _days(table(spark, sf_dir, "orders"), since, until)
+    if status is not None:
+        names = [status] if isinstance(status, str) else list(status)
+        raw = raw.filter(F.col("o_orderstatus").isin([code for code, name in ORDER_STATUS.items() if name in names]))
+    if payment is not None:
+        raw = raw.filter(F.col("o_orderpriority").isin([code for code, name in PAYMENT_METHODS.items() if name == payment]))
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return raw.select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
@@ -113,8 +134,9 @@ def orders(spark, sf_dir):
 
 def order_items(spark, sf_dir):
     """Order lines with their stored unit price; the line key is built from the row itself, so no shuffle numbers it."""
-    qty = F.col("l_quantity").cast("bigint")
-    unit_cents = F.floor(F.round(F.col("l_extendedprice") * 100).cast("bigint") / qty)
+    # floor(x + 0.5) stays on primitive doubles; round() would box every value
+    whole_cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    unit_cents = F.call_function("div", whole_cents, F.col("l_quantity").cast("bigint"))
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
@@ -122,7 +144,7 @@ def order_items(spark, sf_dir):
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         dec(cents(unit_cents), 10, 2).alias("unit_price"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount_percent"),
+        F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("discount_percent"),
     )
 
 
@@ -157,15 +179,27 @@ def inventory_movements(spark, sf_dir):
 # --- food trucks ----------------------------------------------------------
 
 
-def order_header(spark, sf_dir):
+def order_header(spark, sf_dir, raw: DataFrame | None = None, since: date | None = None, until: date | None = None):
+    """Order headers of the orders table, or of ``raw`` rows of it such as a micro-batch.
+
+    ``since`` and ``until`` are days of ``order_ts``. The time of day may carry an order
+    into the next day, so the scan starts one day early and the exact test follows.
+    """
     key = F.col("o_orderkey")
     trucks = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
-    return table(spark, sf_dir, "orders").select(
+    raw = table(spark, sf_dir, "orders") if raw is None else raw
+    raw = _days(raw, since - timedelta(days=1) if since else None, until)
+    moment = F.col("o_orderdate") + F.make_dt_interval(secs=key % 86400)
+    if since is not None:
+        raw = raw.filter(F.to_date(moment) >= F.lit(since))
+    if until is not None:
+        raw = raw.filter(F.to_date(moment) <= F.lit(until))
+    return raw.select(
         key.alias("order_id"),
         (F.col("o_custkey") % trucks).alias("truck_id"),
         (key % 25).cast("double").alias("location_id"),
         F.when(key % 50 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey")).alias("customer_id"),
-        (F.col("o_orderdate") + F.make_dt_interval(secs=key % 86400)).alias("order_ts"),
+        moment.alias("order_ts"),
         dec("o_totalprice").alias("order_amount"),
         F.when(key % 7 != 0, text_id(key % 40)).alias("order_tax_amount"),
         text_id(key % 101).alias("order_discount_amount"),
@@ -395,9 +429,9 @@ def alerts(spark, sf_dir):
 # --- time series ----------------------------------------------------------
 
 
-def wage_series(spark, sf_dir):
+def wage_series(spark, sf_dir, since: date | None = None, until: date | None = None):
     """(variable, geo_id, date, value): one point per order, variable = priority."""
-    return table(spark, sf_dir, "orders").select(
+    return _days(table(spark, sf_dir, "orders"), since, until).select(
         F.col("o_orderpriority").alias("variable"),
         F.when(F.col("o_orderstatus") == "P", "country/CAN").otherwise("country/USA").alias("geo_id"),
         F.to_date("o_orderdate").alias("date"),

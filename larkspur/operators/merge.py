@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.ordered import numbered
+from larkspur.session import durable
 
 OPEN_END = "9999-12-31"
 
@@ -54,10 +55,11 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, sk: str, attributes
     """Apply a change log to a versioned dimension.
 
     The current row of an updated key is closed the day before ``as_of`` and a new
-    version is added; keys without a current row get their first version. The three
-    branches read one set of changes, and a rerun with no changes adds nothing.
+    version is added; keys without a current row get their first version. The changes
+    are stored once, so that the three branches read one set of them, and a rerun with
+    no changes adds nothing.
     """
-    arrived = changes.filter("action = 'INSERT'").select(key, "is_update", *attributes)
+    arrived = durable(changes.filter("action = 'INSERT'").select(key, "is_update", *attributes))
     updated = arrived.filter("is_update").select(key)
     closing = dim.filter("is_current").join(updated, key, "left_semi")
     closed = closing.withColumns({"end_date": F.lit(as_of - timedelta(days=1)), "is_current": F.lit(False)})

@@ -20,8 +20,8 @@ def percent_of_total(counts, n: str, alias: str):
     return counts.withColumn(alias, round_half_up(F.col(n).cast("double") * 100 / total, 2))
 
 
-def completed(spark, sf):
-    return P.enriched_orders(spark, sf).filter("order_status = 'COMPLETED'")
+def completed(spark, sf, **only):
+    return P.enriched_orders(spark, sf, status="COMPLETED", **only)
 
 
 @query(
@@ -32,8 +32,7 @@ WHERE order_date >= DATE '2001-07-02' AND order_status = 'COMPLETED' GROUP BY cu
 )
 def bi_top_customers(spark, sf, as_of: date = D.AS_OF_ORDERS, days: int = 30, k: int = 10):
     return (
-        completed(spark, sf)
-        .filter(F.col("order_date") >= F.lit(as_of - timedelta(days=days)))
+        completed(spark, sf, since=as_of - timedelta(days=days))
         .groupBy("customer_name", "customer_segment", "country")
         .agg(
             n_rows("order_count"),
@@ -94,8 +93,7 @@ def bi_category_month(spark, sf):
         .agg(F.sum("quantity").alias("q"), F.sum("net_amount").alias("n"))
     )
     heads = (
-        D.orders(spark, sf)
-        .filter("order_status = 'COMPLETED'")
+        D.orders(spark, sf, status="COMPLETED")
         .select("order_id", "customer_id", F.year("order_date").alias("year"), F.month("order_date").alias("month"))
         .join(D.customers(spark, sf).select("customer_id"), "customer_id", "left_semi")
     )
@@ -169,8 +167,7 @@ def bi_restock(spark, sf, as_of: date = D.AS_OF_ORDERS, k: int = 20):
 def bi_daily_trend(spark, sf, as_of: date = D.AS_OF_ORDERS, days: int = 30):
     margin = F.try_divide(F.col("total_profit").cast("double"), F.col("total_revenue").cast("double")) * 100
     return (
-        P.daily_sales_summary(spark, sf)
-        .filter(F.col("summary_date") >= F.lit(as_of - timedelta(days=days)))
+        P.daily_sales_summary(spark, sf, since=as_of - timedelta(days=days))
         .select(
             "summary_date",
             "total_orders",

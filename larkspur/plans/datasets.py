@@ -29,8 +29,8 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"""
   CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(subtotal AS DOUBLE) AS subtotal, CAST(item_discount AS DOUBLE) AS item_discount,
   CAST(total_amount AS DOUBLE) AS total_amount) FROM ({ENRICHED_SQL})""",
 )
-def enriched_orders(spark, sf):
-    """One row per order; an order without lines keeps null amounts."""
+def enriched_orders(spark, sf, **only):
+    """One row per order; an order without lines keeps null amounts. ``only`` filters the orders (see the orders view)."""
     per_order = (
         D.line_amounts(D.order_items(spark, sf))
         .groupBy("order_id")
@@ -43,7 +43,7 @@ def enriched_orders(spark, sf):
     buyers = D.customers(spark, sf).drop("phone", "signup_date")
     total = F.col("subtotal") - F.col("item_discount") - F.col("discount_amount") + F.col("shipping_cost")
     return (
-        D.orders(spark, sf)
+        D.orders(spark, sf, **only)
         .join(buyers, "customer_id")
         .join(per_order, "order_id", "left")
         .select(
@@ -205,10 +205,10 @@ FROM v_items i JOIN v_orders o USING (order_id) JOIN v_products p USING (product
   CAST(net_amount AS DOUBLE) AS net_amount, CAST(cost_amount AS DOUBLE) AS cost_amount, CAST(profit_amount AS DOUBLE) AS profit_amount, order_status,
   payment_method FROM ({FACT_SQL})""",
 )
-def fact_sales(spark, sf):
+def fact_sales(spark, sf, **only):
     return build_fact_sales(
         D.order_items(spark, sf),
-        D.orders(spark, sf),
+        D.orders(spark, sf, **only),
         initial_customer_dim(spark, sf),
         initial_product_dim(spark, sf),
     )
@@ -253,8 +253,8 @@ DAILY_PLAIN_SQL = f"""SELECT * REPLACE (strftime(summary_date, '%Y-%m-%d') AS su
 
 
 @query("daily_sales_summary", DAILY_PLAIN_SQL)
-def daily_sales_summary(spark, sf):
-    return summarise_sales(fact_sales(spark, sf), dim_date(spark, sf))
+def daily_sales_summary(spark, sf, **only):
+    return summarise_sales(fact_sales(spark, sf, **only), dim_date(spark, sf))
 
 
 # --- food trucks ----------------------------------------------------------
@@ -321,30 +321,30 @@ def city_weather(spark, sf):
     )
 
 
-def _header_city(spark, sf):
+def _header_city(spark, sf, since=None, until=None):
     place = D.location(spark, sf).select("location_id", F.col("city").alias("city_name"), "country")
     return (
-        D.order_header(spark, sf)
+        D.order_header(spark, sf, since=since, until=until)
         .withColumn("location_id", F.col("location_id").cast("bigint"))
         .join(place, "location_id")
         .withColumn("date", F.to_date("order_ts"))
     )
 
 
-def city_orders(spark, sf):
+def city_orders(spark, sf, since=None, until=None):
     """Number and total of orders per day and city."""
     return (
-        _header_city(spark, sf)
+        _header_city(spark, sf, since, until)
         .groupBy("date", "city_name", "country")
         .agg(n_rows("orders"), F.sum("order_total").alias("order_total"))
     )
 
 
-def city_line_sales(spark, sf):
+def city_line_sales(spark, sf, since=None, until=None):
     """Line sales per day and city; lines are reduced to one row per order before the join."""
     per_order = D.order_detail(spark, sf).groupBy("order_id").agg(F.sum("price").alias("price"))
     return (
-        _header_city(spark, sf)
+        _header_city(spark, sf, since, until)
         .join(per_order, "order_id")
         .groupBy("date", "city_name", "country")
         .agg(F.sum("price").alias("daily_sales"))
@@ -370,8 +370,8 @@ LEFT JOIN (SELECT date, sum(daily_sales) AS daily_sales FROM ({CITY_SALES_SQL})
 def city_daily_sales(spark, sf, city: str = CITY, start: date = MONTH_START, end: date = MONTH_END):
     """Sales of one city per day of a period; days without orders show 0."""
     sold = (
-        city_line_sales(spark, sf)
-        .filter((F.col("city_name") == city) & F.col("date").between(start, end))
+        city_line_sales(spark, sf, start, end)
+        .filter(F.col("city_name") == city)
         .groupBy("date")
         .agg(F.sum("daily_sales").alias("daily_sales"))
     )
@@ -416,12 +416,12 @@ FROM ({CITY_WEATHER_SQL}) w LEFT JOIN ({CITY_SALES_SQL}) s USING (date, city_nam
 
 
 @query("daily_city_metrics", METRICS_SQL)
-def daily_city_metrics(spark, sf):
+def daily_city_metrics(spark, sf, since: date | None = None, until: date | None = None):
     """Sales and weather per day and city. Both sides are one row per key, so neither inflates the other."""
     f, inch = F.col("temperature_f"), F.col("precipitation_in")
     return (
         city_weather(spark, sf)
-        .join(city_line_sales(spark, sf), ["date", "city_name", "country"], "left")
+        .join(city_line_sales(spark, sf, since, until), ["date", "city_name", "country"], "left")
         .select(
             "date",
             "city_name",
@@ -438,7 +438,7 @@ def daily_city_metrics(spark, sf):
 
 @query("weather_city", f"SELECT * FROM ({METRICS_SQL}) WHERE city_name = '{CITY}' AND date LIKE '1997-02-%'")
 def weather_city(spark, sf, city: str = CITY, start: date = MONTH_START, end: date = MONTH_END):
-    return _city_month(daily_city_metrics(spark, sf), city, start, end)
+    return _city_month(daily_city_metrics(spark, sf, start, end), city, start, end)
 
 
 def _with_amounts(header):
@@ -594,9 +594,7 @@ def annual_wages_cpi(spark, sf, geo: str = "country/USA", first: int = 1996, las
     The source pairs all wage rows with all price rows of a year. Averages survive
     that duplication, so both sides are reduced to one row per year before they meet.
     """
-    w = D.wage_series(spark, sf).filter(
-        (F.col("geo_id") == geo) & F.col("date").between(date(first, 1, 1), date(last, 12, 31))
-    )
+    w = D.wage_series(spark, sf, date(first, 1, 1), date(last, 12, 31)).filter(F.col("geo_id") == geo)
     wage = F.when(F.col("variable_name").ilike("%annual wages%"), F.col("value"))
     wages = (
         w.join(D.wage_attributes(spark, sf), "variable")
@@ -651,7 +649,7 @@ WHERE city IN ('CITY_1', 'CITY_3', 'CITY_7') AND year(order_ts) BETWEEN 1997 AND
 def city_sales_range(spark, sf, cities=("CITY_1", "CITY_3", "CITY_7"), first: int = 1997, last: int = 1999):
     """Order totals per day of the chosen cities; each order counts once."""
     return (
-        city_orders(spark, sf)
-        .filter(F.col("city_name").isin(*cities) & F.col("date").between(date(first, 1, 1), date(last, 12, 31)))
+        city_orders(spark, sf, date(first, 1, 1), date(last, 12, 31))
+        .filter(F.col("city_name").isin(*cities))
         .select("date", "city_name", F.col("order_total").alias("total_sales"))
     )

@@ -8,6 +8,8 @@ join key first wherever the result allows it.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
@@ -144,8 +146,7 @@ ON c.customer_id = o.customer_id AND o.order_status = 'COMPLETED' AND year(o.ord
 )
 def join_left_on_filter(spark, sf):
     done = (
-        D.orders(spark, sf)
-        .filter((F.col("order_status") == "COMPLETED") & F.col("order_date").between("1997-01-01", "1997-12-31"))
+        D.orders(spark, sf, status="COMPLETED", since=date(1997, 1, 1), until=date(1997, 12, 31))
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("completed_1997"))
     )
@@ -203,8 +204,7 @@ def _ordered_ids(spark, sf):
 def join_anti_not_exists(spark, sf):
     # the newest pending order decides, so one row per customer is enough
     pending = (
-        D.orders(spark, sf)
-        .filter("order_status = 'PENDING'")
+        D.orders(spark, sf, status="PENDING")
         .groupBy("customer_id")
         .agg(F.max("order_date").alias("last_pending"))
     )
@@ -218,7 +218,7 @@ def join_anti_not_exists(spark, sf):
     "SELECT customer_id, customer_name FROM v_customers WHERE customer_id IN (SELECT customer_id FROM v_orders WHERE payment_method = 'PayPal')",
 )
 def join_semi_in(spark, sf):
-    buyers = D.orders(spark, sf).filter("payment_method = 'PayPal'").select("customer_id").distinct()
+    buyers = D.orders(spark, sf, payment="PayPal").select("customer_id").distinct()
     return D.customers(spark, sf).select("customer_id", "customer_name").join(buyers, "customer_id", "left_semi")
 
 

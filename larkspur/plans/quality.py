@@ -155,7 +155,7 @@ def dq_duplicate_keys(spark, sf):
 )
 def dq_orphan_items(spark, sf):
     """Lines whose order is not among the confirmed ones."""
-    confirmed = D.orders(spark, sf).filter("order_status <> 'PENDING'")
+    confirmed = D.orders(spark, sf, status=("COMPLETED", "PROCESSING"))
     return orphans(D.order_items(spark, sf).select("order_id"), confirmed, "order_id").agg(n_rows("orphan_items"))
 
 

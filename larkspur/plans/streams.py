@@ -1,0 +1,170 @@
+"""Streaming jobs over the given tables, run until nothing is pending."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from larkspur import domain as D
+from larkspur.operators.refresh import summarise_sales
+from larkspur.plans import datasets as P
+from larkspur.plans.aggregates import n_rows
+from larkspur.registry import query
+from larkspur.streaming.consume import Consumer, append_stream, daily_windows, lookback_windows, once, stream_table
+from larkspur.streaming.refresh import RefreshedTable
+from larkspur.streaming.steps import Step, run_steps
+
+
+def follow(spark, sf, name: str):
+    """One of the given tables as a stream of files."""
+    schema = D.table(spark, sf, name).schema
+    return stream_table(spark, sf, schema, pattern=f"{name}.parquet")
+
+
+def city_totals(spark, sf, city: str):
+    """Batch function: daily order totals of one city, cast to a date before they are written."""
+
+    def transform(batch):
+        place = D.location(spark, sf).filter(F.col("city") == city).select("location_id")
+        return (
+            D.order_header(spark, sf, raw=batch)
+            .withColumn("location_id", F.col("location_id").cast("bigint"))
+            .join(place, "location_id")
+            .groupBy(F.to_date("order_ts").alias("date"))
+            .agg(F.coalesce(F.sum("order_total"), F.lit(0)).alias("total_sales"))
+        )
+
+    return transform
+
+
+CITY_TOTAL_SQL = """SELECT strftime(CAST(order_ts AS DATE), '%Y-%m-%d') AS date, CAST(sum(order_total) AS DOUBLE) AS total_sales
+FROM v_header h JOIN v_location l ON CAST(h.location_id AS BIGINT) = l.location_id WHERE city = 'CITY_3' GROUP BY 1"""
+
+
+@query("city_sales_incremental", CITY_TOTAL_SQL)
+def city_sales_incremental(spark, sf, city: str = P.CITY):
+    """Each batch appends its own totals; the reader adds the batches up."""
+    consumer = Consumer.scratch(spark, "city-sales")
+    consumer.run(follow(spark, sf, "orders"), city_totals(spark, sf, city))
+    return consumer.result().groupBy("date").agg(F.sum("total_sales").alias("total_sales"))
+
+
+def _order_day(raw):
+    return raw.withColumn("date", F.to_date(F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)))
+
+
+@query("city_sales_live", CITY_TOTAL_SQL)
+def city_sales_live(spark, sf, city: str = P.CITY):
+    """The same totals as a refreshed table: touched days are computed again from all orders."""
+    transform = city_totals(spark, sf, city)
+
+    def compute(days):
+        return transform(_order_day(D.table(spark, sf, "orders")).join(days, "date", "left_semi").drop("date"))
+
+    live = RefreshedTable(spark, ["date"], lambda batch: _order_day(batch).select("date").distinct(), compute, "city-live")
+    live.refresh(follow(spark, sf, "orders"))
+    return live.read()
+
+
+@query(
+    "consume_changes_once",
+    """SELECT origin, count(*) AS inserts, CAST(sum(payload) AS BIGINT) AS payload FROM v_changes WHERE action = 'INSERT' GROUP BY 1""",
+)
+def consume_changes_once(spark, sf):
+    """Two runs on one checkpoint: the second finds nothing, so totals count every change once."""
+    consumer = Consumer.scratch(spark, "changes")
+
+    def inserts(batch):
+        return (
+            batch.filter(F.col("event_type") != "error")
+            .groupBy(F.col("event_type").alias("origin"))
+            .agg(n_rows("inserts"), F.sum(D.payload()).alias("payload"))
+        )
+
+    for _ in range(2):
+        consumer.run(follow(spark, sf, "events"), inserts)
+    return consumer.result().groupBy("origin").agg(F.sum("inserts").alias("inserts"), F.sum("payload").alias("payload"))
+
+
+@query("has_data_guard", "SELECT 1 AS run, 1 AS batches, count(*) AS rows_loaded FROM orders UNION ALL SELECT 2, 0, 0")
+def has_data_guard(spark, sf):
+    """Batches made by a first run and by a second one without new files."""
+    consumer = Consumer.scratch(spark, "guard")
+    made = [consumer.run(follow(spark, sf, "orders"), lambda batch: batch.select("o_orderkey")) for _ in range(2)]
+    loaded = consumer.result().agg(n_rows("rows_loaded"))
+    first = loaded.select(F.lit(1).alias("run"), F.lit(made[0]).alias("batches"), "rows_loaded")
+    second = loaded.select(F.lit(2).alias("run"), F.lit(made[1]).alias("batches"), F.lit(0).cast("bigint").alias("rows_loaded"))
+    return first.unionByName(second)
+
+
+@query("dynamic_table_refresh", P.DAILY_PLAIN_SQL)
+def dynamic_table_refresh(spark, sf):
+    """Daily sales summary kept current from arriving orders."""
+
+    def touched(batch):
+        return batch.select(F.to_date("o_orderdate").alias("summary_date")).distinct()
+
+    def compute(days):
+        keys = days.select(F.date_format("summary_date", "yyyyMMdd").cast("int").alias("date_sk"))
+        fact = P.fact_sales(spark, sf).join(keys, "date_sk", "left_semi")
+        return summarise_sales(fact, P.dim_date(spark, sf))
+
+    table = RefreshedTable(spark, ["summary_date"], touched, compute, "daily-refresh")
+    table.refresh(follow(spark, sf, "orders"))
+    return table.read()
+
+
+@query(
+    "stream_daily_window",
+    """SELECT strftime(day, '%Y-%m-%d %H:%M:%S') AS day, n, CAST(total AS DOUBLE) AS total FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n,
+  sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY 1) WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)
+def stream_daily_window(spark, sf):
+    stream = follow(spark, sf, "events").select("ts", D.dec("value").alias("value"))
+    return append_stream(daily_windows(stream, "ts", "value"), "daily-window")
+
+
+@query(
+    "stream_lookback",
+    """SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n FROM
+(SELECT time_bucket(INTERVAL 15 MINUTE, ts) - to_minutes(15 * i) AS s FROM events, range(4) r(i) WHERE event_type = 'error')
+WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error') GROUP BY 1, 2""",
+)
+def stream_lookback(spark, sf):
+    errors = follow(spark, sf, "events").filter("event_type = 'error'").select("ts")
+    return append_stream(lookback_windows(errors, "ts", "1 hour", "15 minutes"), "lookback")
+
+
+@query("stream_dedup_once", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1")
+def stream_dedup_once(spark, sf):
+    """Every event is delivered twice; each counts once."""
+    twice = follow(spark, sf, "events").select("event_id", "ts", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    kept = append_stream(once(twice, "ts", ["event_id"], "2 days"), "dedup")
+    return kept.groupBy("event_type").agg(n_rows())
+
+
+@query(
+    "step_run",
+    """SELECT 'new_orders' AS step, 'SUCCEEDED' AS status, count(*) AS rows FROM v_orders WHERE order_date >= DATE '2001-01-01'
+UNION ALL SELECT 'city_totals', 'SUCCEEDED', count(DISTINCT (CAST(order_ts AS DATE), location_id)) FROM v_header JOIN v_orders USING (order_id) WHERE order_date >= DATE '2001-01-01'
+UNION ALL SELECT 'future_orders', 'SUCCEEDED', 0 UNION ALL SELECT 'future_report', 'SKIPPED', 0""",
+)
+def step_run(spark, sf, since: date = date(2001, 1, 1)):
+    """Steps of one run with their row counts; a step without input rows ends its branch early."""
+    raw = D.table(spark, sf, "orders")
+    day = F.to_date("o_orderdate")
+    steps = [
+        Step("new_orders", lambda _: raw.filter(day >= F.lit(since))),
+        Step(
+            "city_totals",
+            lambda r: D.order_header(spark, sf, raw=r["new_orders"])
+            .groupBy(F.to_date("order_ts").alias("date"), "location_id")
+            .agg(F.sum("order_total").alias("total")),
+            ("new_orders",),
+        ),
+        Step("future_orders", lambda _: raw.filter(day > F.lit(D.AS_OF_ORDERS)).select("o_orderkey")),
+        Step("future_report", lambda r: r["future_orders"].agg(n_rows()), ("future_orders",)),
+    ]
+    _, log = run_steps(spark, steps)
+    return spark.createDataFrame(log, "step string, status string, rows bigint")

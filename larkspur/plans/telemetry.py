@@ -136,7 +136,7 @@ WHERE CAST(h.order_ts AS DATE) = DATE '1998-03-10' GROUP BY GROUPING SETS ((m.tr
 )
 def tel_daily_report(spark, sf, day: date = date(1998, 3, 10)):
     """Brand lines of one day and their total; the total is added from the brand rows."""
-    header = D.order_header(spark, sf).filter(F.to_date("order_ts") == F.lit(day))
+    header = D.order_header(spark, sf, since=day, until=day)
     lines = (
         P.brand_sales(header, D.truck(spark, sf), D.menu(spark, sf))
         .groupBy("truck_brand_name")

@@ -1,0 +1,113 @@
+"""User-defined scalar and table functions."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from larkspur import domain as D
+from larkspur.functions.units import fahrenheit_to_celsius, inch_to_millimeter, winsorize
+from larkspur.operators.merge import keep_recent
+from larkspur.plans.aggregates import n_rows
+from larkspur.registry import query
+from larkspur.sources.versioned import VersionedTable
+from larkspur.streaming.consume import Consumer
+
+
+@query(
+    "udf_sql_scalar",
+    """SELECT postal_code, strftime(date_valid_std, '%Y-%m-%d') AS date, CAST(CAST(floor((avg_temperature_f - 32) * 5 * 1000000 / 9 / 100 + 0.5) AS BIGINT) * 0.0001 AS DOUBLE) AS celsius,
+  CAST(CAST(CAST(tot_precipitation_in AS DECIMAL(18,4)) * 25.4 AS DECIMAL(35,4)) AS DOUBLE) AS millimeters FROM v_weather WHERE avg_temperature_f >= 32
+UNION ALL SELECT postal_code, strftime(date_valid_std, '%Y-%m-%d'), CAST(-CAST(floor(-(avg_temperature_f - 32) * 5 * 1000000 / 9 / 100 + 0.5) AS BIGINT) * 0.0001 AS DOUBLE),
+  CAST(CAST(CAST(tot_precipitation_in AS DECIMAL(18,4)) * 25.4 AS DECIMAL(35,4)) AS DOUBLE) FROM v_weather WHERE avg_temperature_f < 32""",
+)
+def udf_sql_scalar(spark, sf):
+    return D.history_day(spark, sf).select(
+        "postal_code",
+        F.col("date_valid_std").alias("date"),
+        fahrenheit_to_celsius(F.col("avg_temperature_f")).alias("celsius"),
+        inch_to_millimeter(F.col("tot_precipitation_in")).alias("millimeters"),
+    )
+
+
+@query(
+    "udf_sql_subquery",
+    """SELECT menu_item_id, CAST((SELECT max(sale_price_usd) FROM v_menu) AS DOUBLE) AS max_price,
+  CAST(CAST((SELECT max(sale_price_usd) FROM v_menu) * 1.35 AS DECIMAL(10,2)) AS DOUBLE) AS max_price_converted FROM v_menu""",
+)
+def udf_sql_subquery(spark, sf, rate: str = "1.35"):
+    """A function over a subquery: the maximum is computed once and read as a scalar."""
+    menu = D.menu(spark, sf)
+    top = menu.agg(F.max("sale_price_usd")).scalar()
+    return menu.select(
+        "menu_item_id", top.cast("decimal(5,2)").alias("max_price"), (top * F.lit(rate).cast("decimal(4,2)")).cast("decimal(10,2)").alias("max_price_converted")
+    )
+
+
+@query("udf_python_scalar", "SELECT event_id, least(greatest(value, 5.0), 40.0) AS clamped FROM events")
+def udf_python_scalar(spark, sf, upper: float = 40.0, lower: float = 5.0):
+    """Built-ins instead of a Python function; the tests hold a pandas twin against it."""
+    return D.table(spark, sf, "events").select("event_id", winsorize(F.col("value"), upper, lower).alias("clamped"))
+
+
+def prices_above(spark, sf, floor: float):
+    """Table function: items priced above a floor."""
+    return D.menu(spark, sf).filter(F.col("sale_price_usd") > floor).select(
+        F.col("menu_item_name").alias("item"), F.col("sale_price_usd").alias("price")
+    )
+
+
+@query(
+    "udtf_prices_above",
+    "SELECT menu_item_name AS item, CAST(sale_price_usd AS DOUBLE) AS price FROM v_menu WHERE sale_price_usd > 940 AND menu_item_name ILIKE '%bolt%'",
+)
+def udtf_prices_above(spark, sf):
+    return prices_above(spark, sf, 940).filter(F.col("item").ilike("%BOLT%"))
+
+
+@query(
+    "udtf_split_rows",
+    """SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2""",
+)
+def udtf_split_rows(spark, sf):
+    """One row per token of the whole text, counted per document."""
+    from larkspur.functions.dialect import tokens
+
+    words = D.table(spark, sf, "documents").select("doc_id", F.explode(tokens("text", " \n")).alias("token"))
+    return words.groupBy("doc_id", "token").agg(n_rows())
+
+
+@query(
+    "proc_steps",
+    """SELECT 'delete_old' AS procedure, 'Deleted orders before ' || strftime(max(order_date) - 180, '%Y-%m-%d') || ', kept ' || count(*) FILTER (order_date >= m - 180) AS message FROM
+(SELECT *, max(order_date) OVER () AS m FROM v_orders) UNION ALL
+SELECT 'load_changes', 'Loaded ' || count(*) || ' rows' FROM events UNION ALL SELECT 'load_changes', 'No new rows'""",
+)
+def proc_steps(spark, sf):
+    """Stored procedures are functions that return a message."""
+    consumer = Consumer.scratch(spark, "procedure")
+    messages = [
+        ("delete_old", delete_old_orders(spark, sf, 180)),
+        ("load_changes", load_changes(spark, sf, consumer)),
+        ("load_changes", load_changes(spark, sf, consumer)),
+    ]
+    return spark.createDataFrame(messages, "procedure string, message string")
+
+
+def delete_old_orders(spark, sf, days: int) -> str:
+    table = VersionedTable.scratch(spark, "procedure-orders")
+    stored = table.write(D.orders(spark, sf).select("order_id", "order_date"))
+    newest: date = stored.agg(F.max("order_date")).first()[0]
+    kept = table.write(keep_recent(stored, "order_date", days)).count()
+    return f"Deleted orders before {date.fromordinal(newest.toordinal() - days)}, kept {kept}"
+
+
+def load_changes(spark, sf, consumer: Consumer) -> str:
+    from larkspur.plans.streams import follow
+
+    seen = len(consumer.batches)
+    if not consumer.run(follow(spark, sf, "events"), lambda batch: batch.select("event_id", "event_type")):
+        return "No new rows"
+    new = consumer.result().filter(F.col("batch_id").isin(consumer.batches[seen:])).count()
+    return f"Loaded {new} rows"

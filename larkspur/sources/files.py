@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.session import scratch_dir
+from larkspur.session import durable, scratch_dir
 
 # Named reader options; pass one of these, or your own, to the loaders.
 CSV_FORMAT = {
@@ -56,9 +56,13 @@ def select_files(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def load_tolerant(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """All rows with their file; rows that do not fit the schema carry their text in ``_corrupt``."""
+    """All rows with their file; rows that do not fit the schema carry their text in ``_corrupt``.
+
+    Every column is parsed once and the rows are stored: which rows are bad must not
+    depend on the columns a later query happens to read.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
+    return durable(
         spark.read.schema(wide)
         .options(**{**CSV_FORMAT, **options})
         .option("mode", "PERMISSIVE")

@@ -1,0 +1,41 @@
+"""Dependent steps of a run, with row counts taken from the write itself."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from larkspur.session import scratch_dir
+
+
+@dataclass(frozen=True)
+class Step:
+    name: str
+    build: Callable[[dict[str, DataFrame]], DataFrame]
+    needs: tuple[str, ...] = ()
+
+
+def run_steps(spark: SparkSession, steps: list[Step]) -> tuple[dict[str, DataFrame], list[tuple[str, str, int]]]:
+    """Run steps in the given order. A step whose input is empty or skipped is skipped.
+
+    Each result is stored once; later steps read the stored rows, and the count comes
+    from an observation on the write, not from a second run of the plan.
+    """
+    results: dict[str, DataFrame] = {}
+    log: list[tuple[str, str, int]] = []
+    rows_of: dict[str, int] = {}
+    for step in steps:
+        if any(rows_of.get(need, 0) == 0 for need in step.needs):
+            log.append((step.name, "SKIPPED", 0))
+            continue
+        df = step.build(results)
+        seen = Observation(step.name)
+        path = scratch_dir(spark, step.name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        results[step.name] = spark.read.schema(df.schema).parquet(path)
+        rows_of[step.name] = seen.get["rows"]
+        log.append((step.name, "SUCCEEDED", rows_of[step.name]))
+    return results, log
