@@ -16,7 +16,7 @@ class Rule:
     severity: str
     message: str
     source: str
-    bad: Column
+    bad: Column | None = None
     category: str = "DATA_QUALITY"
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
 from larkspur.functions import geo
+from larkspur.operators.nearby import places_within
 from larkspur.plans.aggregates import n_rows
 from larkspur.registry import query
 
@@ -47,73 +46,18 @@ SELECT lon, lat, suppliers, CAST(sum(customers) AS BIGINT) AS customers_near, co
 FROM d WHERE m <= {RADIUS_KM}000 GROUP BY 1, 2, 3""",
 )
 def geo_distance_join(spark, sf, radius_km: float = RADIUS_KM):
-    """Customers within a radius of each supplier place.
-
-    Points are counted per distinct place first, so a place that holds a third of all
-    points is one row. Places meet through latitude bands and longitude cells no
-    smaller than the radius (one neighbour on either side, wrapping at the date
-    line), then the exact distance decides.
-    """
-    cells = _cells(radius_km)
-    near = customer_points(spark, sf).groupBy("lon", "lat").agg(n_rows("customers"))
-    near = near.select(F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), "customers", *cells(F.col("lon"), F.col("lat")))
-    own = supplier_points(spark, sf).groupBy("lon", "lat").agg(n_rows("suppliers"))
-    band, _, columns = _grid(radius_km)
-    spread = own.select("*", F.explode(F.array(*[band(F.col("lat")) + d for d in (-1, 0, 1)])).alias("band"))
-    spread = spread.select("*", F.explode(columns(F.col("lon"), F.col("lat"), F.col("band"))).alias("slot"))
-    metres = geo.distance_m(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))
-    return (
-        spread.join(near, ["band", "slot"])
-        .withColumn("m", metres)
-        .filter(F.col("m") <= radius_km * 1000)
-        .groupBy("lon", "lat", "suppliers")
-        .agg(
-            F.sum("customers").alias("customers_near"),
-            n_rows("places_near"),
-            F.round(F.min("m") / 1000).cast("bigint").alias("nearest_km"),
-        )
+    """Customers within a radius of each supplier place."""
+    found = places_within(supplier_points(spark, sf), customer_points(spark, sf), radius_km)
+    return found.select(
+        "lon",
+        "lat",
+        F.col("own_points").alias("suppliers"),
+        F.col("points_near").alias("customers_near"),
+        "places_near",
+        F.round(F.col("nearest_m") / 1000).cast("bigint").alias("nearest_km"),
     )
 
 
-def _grid(radius_km: float):
-    """Band and longitude-slot expressions for one radius.
-
-    Bands are at least one radius high. Slots are sized for the band edge nearest the
-    pole, where a degree of longitude is shortest; a polar band has a single slot.
-    """
-    step = math.degrees(radius_km * 1000 / geo.EARTH_RADIUS_M) * 1.001
-
-    def band(lat):
-        return F.floor((lat + 90) / step)
-
-    def slots(b):
-        """How many longitude slots band ``b`` has: every slot is at least one radius wide there."""
-        # the neighbouring bands look into this one, so the edge one band further out counts
-        edge = F.greatest(F.abs(b * step - 90), F.abs((b + 1) * step - 90)) + step
-        width = F.when(edge < 89, F.lit(step) / F.cos(F.radians(F.least(edge, F.lit(89.0))))).otherwise(360.0)
-        return F.greatest(F.floor(F.lit(360.0) / width), F.lit(1))
-
-    def slot(lon, b):
-        n = slots(b)
-        return F.pmod(F.floor((lon + 180) / (F.lit(360.0) / n)), n)
-
-    def columns(lon, lat, b):
-        n, s = slots(b), slot(lon, b)
-        return F.array_distinct(F.array(F.pmod(s - 1, n), s, F.pmod(s + 1, n)))
-
-    return band, slot, columns
-
-
-def _cells(radius_km: float):
-    band, slot, _ = _grid(radius_km)
-
-    def expressions(lon, lat):
-        b = band(lat)
-        return [b.alias("band"), slot(lon, b).alias("slot")]
-
-    return expressions
-
-
 def _interleave_sql(length: int) -> str:
     total = 5 * length
     xb, yb = (total + 1) // 2, total // 2

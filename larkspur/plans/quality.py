@@ -60,8 +60,8 @@ def price_rule() -> Rule:
     return Rule("MENU_PRICE_RULE", "WARNING", "Items priced above five times cost or below cost", "menu", (price > cost * 5) | (price < cost))
 
 
-ORPHAN_HEADERS = Rule("ORPHAN_HEADERS", "WARNING", "Orders without lines", "order_header", F.lit(True))
-DUPLICATE_ORDERS = Rule("DUPLICATE_ORDERS", "WARNING", "Orders delivered more than once", "order_header", F.lit(True))
+ORPHAN_HEADERS = Rule("ORPHAN_HEADERS", "WARNING", "Orders without lines", "order_header")
+DUPLICATE_ORDERS = Rule("DUPLICATE_ORDERS", "WARNING", "Orders delivered more than once", "order_header")
 
 SQL = {
     "dq_missing_values": _alert_sql(
