@@ -11,12 +11,19 @@ from pyspark.sql import types as T
 CompletionFn = Callable[[pd.Series], pd.Series]
 
 
-def complete_column(df: DataFrame, prompt: str, output: str, fn: CompletionFn) -> DataFrame:
-    """Adds ``output`` = ``fn(prompt)``; rows stream through, nothing is gathered."""
-    schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
+def complete_columns(df: DataFrame, steps: list[tuple[str, str, CompletionFn]]) -> DataFrame:
+    """Adds one text column per (input, output, function) step; a step may read an earlier output.
+
+    All steps run on the same Arrow batch, so rows cross to Python and back once, and
+    nothing is gathered.
+    """
+    added = [T.StructField(output, T.StringType()) for _, output, _ in steps]
+    schema = T.StructType([*df.schema.fields, *added])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(**{output: fn(batch[prompt])})
+            for source, output, fn in steps:
+                batch = batch.assign(**{output: fn(batch[source])})
+            yield batch
 
     return df.mapInPandas(run, schema)

@@ -252,6 +252,14 @@ def kind_of(v) -> Column:
     )
 
 
+def is_kind(v, *kinds: str) -> Column:
+    """IS_ARRAY, IS_OBJECT, ... : whether the variant holds one of the kinds of ``kind_of``.
+
+    A JSON text never holds a date or a binary value; a variant cast from such a column does.
+    """
+    return kind_of(v).isin(*kinds)
+
+
 def object_insert(m, key: str, value, update: bool = False) -> Column:
     """Map with one more entry; an existing key is an error unless ``update``."""
     m = _c(m)

@@ -87,7 +87,8 @@ def ranks(df: DataFrame, keys: list[str], order: list, tiles: int = 4) -> DataFr
 
 def numbered(df: DataFrame, order: list, alias: str, start: int = 1, step: int = 1, keys: list[str] | None = None) -> DataFrame:
     """Dense numbers ``start, start+step, ...`` in the given order, over all rows or per key."""
-    keys = keys or []
+    if not keys:
+        return _numbered_all(df, order, alias, start, step)
     rows = blocked(df, keys, order)
     local = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*_cols(order))))
     summary = rows.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("n"))
@@ -96,6 +97,22 @@ def numbered(df: DataFrame, order: list, alias: str, start: int = 1, step: int =
     return joined.select(*df.columns, (position * step + start).alias(alias))
 
 
+def _numbered_all(df: DataFrame, order: list, alias: str, start: int, step: int) -> DataFrame:
+    """One range shuffle: rows are sorted inside their block and numbered as they are stored."""
+    sort = _cols(order)
+    stored = durable(
+        df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_m", F.monotonically_increasing_id())
+    )
+    # the generated id holds the block in the upper bits and the place inside it in the lower 33
+    rows = stored.withColumns({BLOCK: F.shiftright("_m", 33), "_i": F.col("_m").bitwiseAND((1 << 33) - 1)})
+    sizes = rows.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("n"))
+    # one row per block, so at most as many as there are shuffle partitions
+    carry = _carry(sizes, [], {"n": "sum"}).withColumnRenamed(BLOCK, "_c_blk")
+    joined = rows.join(F.broadcast(carry), F.col(BLOCK) == F.col("_c_blk"))
+    position = F.coalesce("_before_n", F.lit(0)) + F.col("_i")
+    return joined.select(*df.columns, (position * step + start).alias(alias))
+
+
 def running(df: DataFrame, keys: list[str], order: list, value: str) -> DataFrame:
     """Adds running sum, avg, count, min and max of ``value``; rows that tie share a value."""
     rows = blocked(df, keys, order)
@@ -125,13 +142,14 @@ def running(df: DataFrame, keys: list[str], order: list, value: str) -> DataFram
     )
 
 
-def neighbours(df: DataFrame, keys: list[str], order: list, value: str, offset: int, default=None, chunk: int = 100_000) -> DataFrame:
-    """Adds lag and lead of ``value`` at ``offset``.
+def neighbours(df: DataFrame, keys: list[str], order: list, value: str, wanted: dict[str, tuple[int, object]], chunk: int = 100_000) -> DataFrame:
+    """Adds offset values: ``wanted`` maps an alias to (offset, default); a negative offset looks ahead.
 
-    Numbered rows are cut into chunks of fixed size and every chunk borrows the
-    ``offset`` rows on either side, so the window inside a chunk sees all it needs.
+    Numbered rows are cut into chunks of fixed size and every chunk borrows as many rows
+    on either side as the largest offset, so the window inside a chunk sees all it needs.
     """
-    if offset >= chunk:
+    halo = max(abs(offset) for offset, _ in wanted.values())
+    if halo >= chunk:
         raise ValueError("offset must be smaller than the chunk")
     rows = numbered(df, order, "_pos", start=0, keys=keys)
     home = F.floor(F.col("_pos") / chunk)
@@ -139,18 +157,14 @@ def neighbours(df: DataFrame, keys: list[str], order: list, value: str, offset:
     places = F.array_compact(
         F.array(
             home,
-            F.when(inside < offset, home - 1),
-            F.when(inside >= chunk - offset, home + 1),
+            F.when(inside < halo, home - 1),
+            F.when(inside >= chunk - halo, home + 1),
         )
     )
     spread = rows.select("*", home.alias("_home"), F.explode(places).alias("_chunk"))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
-    return (
-        spread.select(
-            "*",
-            F.lag(value, offset, default).over(w).alias("lag_value"),
-            F.lead(value, offset, default).over(w).alias("lead_value"),
-        )
-        .filter("_chunk = _home")
-        .select(*df.columns, "lag_value", "lead_value")
-    )
+    offsets = [
+        (F.lag(value, offset, default) if offset > 0 else F.lead(value, -offset, default)).over(w).alias(alias)
+        for alias, (offset, default) in wanted.items()
+    ]
+    return spread.select("*", *offsets).filter("_chunk = _home").select(*df.columns, *wanted)

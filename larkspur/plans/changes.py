@@ -64,14 +64,15 @@ def change_append_only(spark, sf):
 
 
 @query("merge_upsert", P.DAILY_PLAIN_SQL)
-def merge_upsert(spark, sf, cut: int = 20010601, overlap: int = 20010501):
+def merge_upsert(spark, sf, cut: date = date(2001, 5, 31), overlap: date = date(2001, 5, 1)):
     """Stored summary up to ``cut``, merged with a later run that restates the last month and adds new days."""
     table = VersionedTable.scratch(spark, "daily-summary")
-    fact, dates = P.fact_sales(spark, sf), P.dim_date(spark, sf)
-    # the first run knew the restated month only in part
-    first = fact.filter((F.col("date_sk") < cut) & ~((F.col("date_sk") >= overlap) & (F.col("order_status") == "PENDING")))
-    target = table.write(summarise_sales(first, dates))
-    source = summarise_sales(fact.filter(F.col("date_sk") >= overlap), dates)
+    dates = P.dim_date(spark, sf)
+    # the first run knew the restated month only in part: its pending orders had not arrived
+    first = P.fact_sales(spark, sf, until=cut)
+    known = (F.col("order_status") != "PENDING") | (F.col("date_sk") < int(overlap.strftime("%Y%m%d")))
+    target = table.write(summarise_sales(first.filter(known), dates))
+    source = summarise_sales(P.fact_sales(spark, sf, since=overlap), dates)
     return table.write(M.merge_upsert(target, source, ["summary_date"]))
 
 

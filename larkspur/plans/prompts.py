@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
-from larkspur.functions.completion import complete_column
+from larkspur.functions.completion import complete_columns
 from larkspur.operators.ordered import numbered
 from larkspur.registry import query
 
@@ -71,10 +71,8 @@ def _stub_sentiment(texts):
 def batch_complete(spark, sf, complete=_stub_complete, summarise=_stub_summary, sentiment=_stub_sentiment):
     """Complete, then summarise the answer, then score it; the model functions come from the caller."""
     rows = D.table(spark, sf, "part").select("p_partkey", F.concat(F.lit("Describe "), "p_name").alias("prompt"))
-    rows = complete_column(rows, "prompt", "answer", complete)
-    rows = complete_column(rows, "answer", "summary", summarise)
-    rows = complete_column(rows, "answer", "sentiment", sentiment)
-    return rows.drop("prompt")
+    steps = [("prompt", "answer", complete), ("answer", "summary", summarise), ("answer", "sentiment", sentiment)]
+    return complete_columns(rows, steps).drop("prompt")
 
 
 @query(

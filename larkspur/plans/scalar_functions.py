@@ -25,7 +25,7 @@ from larkspur.registry import query
   CASE WHEN regexp_extract(p_name, '[aeiou]') = '' THEN 0 ELSE strpos(p_name, regexp_extract(p_name, '[aeiou]')) END AS f_regexp_instr,
   regexp_full_match(p_name, 'red [a-z]+') AS f_regexp_like, translate(p_name, 'abc', 'xyz') AS f_translate, CAST(ascii(p_name) AS BIGINT) AS f_ascii,
   chr(65 + p_size % 26) AS f_chr, string_split(p_name, ' ')[1] AS f_strtok, array_to_string(string_split(p_name, ' '), ',') AS f_strtok_to_array,
-  lower(p_name) = 'red ring' AS f_collate FROM part""",
+  lower(p_name) = 'red ring' AS f_collate, TRUE AS f_collation, strpos(p_name, 'ring') AS f_position FROM part""",
 )
 def fn_string(spark, sf):
     n = F.col("p_name")
@@ -64,6 +64,8 @@ def fn_string(spark, sf):
         X.strtok(n, " ", 1).alias("f_strtok"),
         F.array_join(X.tokens(n, " "), ",").alias("f_strtok_to_array"),
         (F.collate(n, "UNICODE_CI") == F.collate(F.lit("RED RING"), "UNICODE_CI")).alias("f_collate"),
+        F.collation(F.collate(n, "UNICODE_CI")).endswith("UNICODE_CI").alias("f_collation"),
+        F.position(F.lit("ring"), n).alias("f_position"),
     )
 
 
@@ -145,7 +147,9 @@ def fn_numeric(spark, sf):
   strftime(CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS f_last_day_quarter,
   strftime(CAST(date_trunc('year', d) + INTERVAL 12 MONTH - INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS f_last_day_year,
   strftime(d + CAST(7 - (isodow(d) - 1) % 7 AS INTEGER), '%Y-%m-%d') AS f_next_monday, strftime(d - CAST(CASE WHEN isodow(d) = 1 THEN 7 ELSE isodow(d) - 1 END AS INTEGER), '%Y-%m-%d') AS f_previous_monday,
-  strftime(d, '%b') AS f_monthname, strftime(d, '%a') AS f_dayname
+  strftime(d, '%b') AS f_monthname, strftime(d, '%a') AS f_dayname, CAST(date_diff('second', t, CAST(r AS TIMESTAMP)) AS BIGINT) AS f_diff_second,
+  strftime(t + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS f_dateadd_hour, CASE WHEN day(r) = day(d) OR (last_day(r) = r AND last_day(d) = d)
+    THEN CAST(date_diff('month', d, r) AS DOUBLE) ELSE round(date_diff('month', d, r) + (day(r) - day(d)) / 31, 8) END AS f_months_between
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderdate + to_seconds(o_orderkey % 86400) AS t, DATE '2001-08-01' AS r FROM orders)""",
 )
 def fn_datetime(spark, sf, as_of: date = D.AS_OF_ORDERS):
@@ -193,6 +197,9 @@ def fn_datetime(spark, sf, as_of: date = D.AS_OF_ORDERS):
         X.previous_day(d, "MON").alias("f_previous_monday"),
         F.monthname(d).alias("f_monthname"),
         F.dayname(d).alias("f_dayname"),
+        X.datediff("second", t, rt).alias("f_diff_second"),
+        (t + F.expr("INTERVAL 2 HOURS")).alias("f_dateadd_hour"),
+        F.months_between(r, d).alias("f_months_between"),
     )
 
 
@@ -208,6 +215,9 @@ def fn_datetime(spark, sf, as_of: date = D.AS_OF_ORDERS):
   CASE WHEN value > 20 THEN 'high' WHEN value > 5 THEN 'mid' ELSE 'low' END AS f_case, CASE WHEN value > 20 THEN 1 ELSE 0 END::BIGINT AS f_iff,
   coalesce(CASE WHEN event_type = 'error' THEN NULL ELSE user_id END, -1) AS f_coalesce, CASE WHEN event_type <> 'error' THEN 'known' ELSE 'unknown' END AS f_nvl2,
   nullif(event_type, 'error') AS f_nullif, nullif(user_id % 5, 0) AS f_nullifzero, coalesce(nullif(user_id % 5, 0), 0) AS f_zeroifnull,
+  event_type AS f_to_array, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS f_to_object, event_type AS f_to_variant,
+  strftime(date_trunc('second', ts) - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS f_tz_instant, '+02:00' AS f_tz_offset, CASE WHEN event_type = 'view' THEN NULL ELSE '10:30:00' END AS f_try_time,
+  CASE WHEN event_type = 'view' THEN NULL ELSE '2024-03-01 10:30:00' END AS f_try_timestamp, CASE WHEN event_type <> 'view' THEN 'A' END AS f_try_binary,
   CASE event_type WHEN 'error' THEN 'E' WHEN 'click' THEN 'C' ELSE '?' END AS f_decode, nullif(event_type, 'error') IS NOT DISTINCT FROM NULL AS f_equal_null
 FROM events""",
 )
@@ -216,6 +226,7 @@ def fn_convert_conditional(spark, sf):
     text = value.cast("string")
     known = F.when(kind != "error", user)
     view = kind == "view"
+    zoned = F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00"))
     return D.table(spark, sf, "events").select(
         "event_id",
         X.round_to_int(text.cast("decimal(18,4)")).alias("f_cast_int"),
@@ -240,6 +251,15 @@ def fn_convert_conditional(spark, sf):
         F.nullif(kind, F.lit("error")).alias("f_nullif"),
         F.nullifzero(user % 5).alias("f_nullifzero"),
         F.zeroifnull(F.nullifzero(user % 5)).alias("f_zeroifnull"),
+        F.from_json(F.concat(F.lit('["'), kind, F.lit('"]')), "array<string>")[0].alias("f_to_array"),
+        F.from_json("props", "map<string,bigint>")["k"].alias("f_to_object"),
+        F.variant_get(F.parse_json(F.to_json(F.struct(kind))), "$.event_type", "string").alias("f_to_variant"),
+        # a zoned timestamp is its instant plus the offset it was written with
+        F.to_timestamp(zoned, "yyyy-MM-dd HH:mm:ssXXX").alias("f_tz_instant"),
+        F.right(zoned, F.lit(6)).alias("f_tz_offset"),
+        F.date_format(F.try_to_timestamp(F.when(view, "10:61:00").otherwise("10:30:00"), F.lit("HH:mm:ss")), "HH:mm:ss").alias("f_try_time"),
+        F.try_to_timestamp(F.when(view, "soon").otherwise("2024-03-01 10:30:00")).alias("f_try_timestamp"),
+        F.decode(F.try_to_binary(F.when(view, "4x").otherwise("41"), F.lit("hex")), "UTF-8").alias("f_try_binary"),
         F.expr("decode(event_type, 'error', 'E', 'click', 'C', '?')").alias("f_decode"),
         F.equal_null(F.nullif(kind, F.lit("error")), F.lit(None)).alias("f_equal_null"),
     )

@@ -67,17 +67,9 @@ def win_ranking(spark, sf):
 WINDOW w AS (PARTITION BY customer_id ORDER BY order_date, order_id)""",
 )
 def win_offset(spark, sf):
-    order = ["order_date", "order_id"]
-    one = ordered.neighbours(_spend(spark, sf), ["customer_id"], order, "total", 1)
-    first = one.withColumnsRenamed({"lag_value": "lag_1", "lead_value": "lead_1"})
-    both = ordered.neighbours(first, ["customer_id"], order, "total", 2, default=0)
-    return both.select(
-        "order_id",
-        F.col("lag_1").alias("lag_value"),
-        F.col("lead_1").alias("lead_value"),
-        F.col("lag_value").alias("lag_2"),
-        F.col("lead_value").alias("lead_2"),
-    )
+    wanted = {"lag_value": (1, None), "lead_value": (-1, None), "lag_2": (2, 0), "lead_2": (-2, 0)}
+    rows = ordered.neighbours(_spend(spark, sf), ["customer_id"], ["order_date", "order_id"], "total", wanted)
+    return rows.select("order_id", *wanted)
 
 
 @query(

@@ -81,6 +81,14 @@ def test_kinds(spark):
     assert [r.k for r in df.collect()] == ["array", "object", "boolean", "integer", "decimal", "string", "null", "double"]
 
 
+def test_kind_predicates_of_typed_variants(spark):
+    df = spark.sql("SELECT cast(date'2024-01-01' AS variant) d, cast(timestamp_ntz'2024-01-01' AS variant) t, cast(x'41' AS variant) b, parse_json('\"2024-01-01\"') s")
+    row = df.select(
+        X.is_kind("d", "date"), X.is_kind("t", "timestamp_ntz", "timestamp"), X.is_kind("b", "binary"), X.is_kind("s", "date"), X.is_kind("s", "string")
+    ).first()
+    assert tuple(row) == (True, True, True, False, True)
+
+
 def test_fingerprint_has_no_separator_collisions(spark):
     df = spark.createDataFrame([("a|b", None), ("a", "b|"), ("a", None), ("a", "-"), (None, "a")], "x string, y string")
     assert df.select(X.row_fingerprint("x", "y").alias("h")).distinct().count() == 5

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
-from larkspur.functions.completion import complete_column
+from larkspur.functions.completion import complete_columns
 from larkspur.plans import aggregates, bi, classifier, datasets, files, prompts
 
 
@@ -64,8 +64,8 @@ def test_long_conversations_continue_in_parts(spark, small):
 
 def test_completion_keeps_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, p string")
-    got = complete_column(df, "p", "out", lambda s: s.fillna("?").str.upper())
-    assert {tuple(r) for r in got.collect()} == {(1, "a", "A"), (2, None, "?")}
+    got = complete_columns(df, [("p", "out", lambda s: s.fillna("?").str.upper()), ("out", "twice", lambda s: s + s)])
+    assert {tuple(r) for r in got.collect()} == {(1, "a", "A", "AA"), (2, None, "?", "??")}
 
 
 def test_filters_reach_the_scan(spark, small):

@@ -96,5 +96,6 @@ def test_running(rows):
 def test_neighbours(rows, offset, default):
     w = Window.partitionBy("k").orderBy("t", "id")
     want = rows.select("id", F.lag("v", offset, default).over(w).alias("lag_value"), F.lead("v", offset, default).over(w).alias("lead_value"))
-    got = ordered.neighbours(rows, ["k"], ["t", "id"], "v", offset, default, chunk=7)
+    both = {"lag_value": (offset, default), "lead_value": (-offset, default)}
+    got = ordered.neighbours(rows, ["k"], ["t", "id"], "v", both, chunk=7)
     same(got.select("id", "lag_value", "lead_value"), want)
