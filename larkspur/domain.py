@@ -395,7 +395,7 @@ def stage_events(spark, sf_dir):
         F.col("ts").alias("event_timestamp"),
         F.when(kind.isin("view", "purchase"), "SPAN").otherwise("LOG").alias("record_type"),
         F.when(failed, "ERROR").when(kind == "click", "WARN").otherwise("INFO").alias("severity_level"),
-        F.concat(F.lit("proc_"), kind).alias("procedure_name"),
+        F.concat(F.lit("proc_"), text_id(F.col("user_id") % 5)).alias("procedure_name"),
         F.concat(text_id("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("trace_id"),
         F.concat(F.lit("step_"), text_id(F.col("user_id") % 5)).alias("process_step"),
         F.concat(kind, F.lit(" event")).alias("message"),

@@ -92,7 +92,7 @@ FROM (SELECT *, 0 AS step, 'DELETE' AS action, event_type = 'click' AS is_update
     "v_stage_events": """
 SELECT event_id, ts AS event_timestamp, CASE WHEN event_type IN ('view', 'purchase') THEN 'SPAN' ELSE 'LOG' END AS record_type,
   CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARN' ELSE 'INFO' END AS severity_level,
-  'proc_' || event_type AS procedure_name, user_id || '-' || strftime(ts, '%Y%m%d') AS trace_id,
+  'proc_' || (user_id % 5) AS procedure_name, user_id || '-' || strftime(ts, '%Y%m%d') AS trace_id,
   'step_' || (user_id % 5) AS process_step, event_type || ' event' AS message, props AS attributes,
   event_type = 'error' AS error_flag,
   CASE WHEN event_type = 'error' THEN 'failed with code ' || (CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) % 10) END AS error_message,

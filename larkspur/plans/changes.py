@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -218,21 +218,50 @@ def bad_update_repair(spark, sf):
     return C.changed_rows(table.read(1), after, "key", "payload")
 
 
+@query(
+    "retention_telemetry",
+    """SELECT 'stage_events' AS table_name, count(*) AS rows_before, count(*) FILTER (event_timestamp >= TIMESTAMP '2024-01-31' - INTERVAL 20 DAY) AS rows_kept FROM v_stage_events
+UNION ALL SELECT 'alerts', count(*), count(*) FILTER (NOT (resolved_flag AND alert_time < TIMESTAMP '2024-01-31' - INTERVAL 10 DAY)) FROM v_alerts""",
+)
+def retention_telemetry(spark, sf, as_of: datetime = datetime(2024, 1, 31), event_days: int = 20, alert_days: int = 10):
+    """Clean-up rules: old events go, old alerts go once they are resolved."""
+
+    def before(col, days):
+        return F.col(col) < F.lit(as_of - timedelta(days=days)).cast("timestamp_ntz")
+
+    rules = {
+        "stage_events": (D.stage_events(spark, sf).select("event_id", "event_timestamp"), before("event_timestamp", event_days)),
+        "alerts": (
+            D.alerts(spark, sf).select("alert_id", "alert_time", "resolved_flag"),
+            F.col("resolved_flag") & before("alert_time", alert_days),
+        ),
+    }
+    out = []
+    for name, (rows, old) in rules.items():
+        table = VersionedTable.scratch(spark, name)
+        stored = table.write(rows)
+        kept = table.write(M.delete_where(stored, old))
+        counts = stored.agg(n_rows("rows_before")).select(F.lit(name).alias("table_name"), "rows_before")
+        out.append(counts.withColumn("rows_kept", kept.agg(n_rows()).scalar()))
+    return out[0].unionByName(out[1])
+
+
 @query(
     "stream_backlog",
-    """SELECT origin AS stream, count(*) AS pending, count(*) FILTER (action = 'INSERT') AS inserts, count(*) FILTER (action = 'DELETE') AS deletes,
-  strftime(min(commit_ts), '%Y-%m-%d %H:%M:%S') AS earliest, strftime(max(commit_ts), '%Y-%m-%d %H:%M:%S') AS latest FROM v_changes WHERE commit_ts > TIMESTAMP '2024-01-15' GROUP BY 1""",
+    """SELECT origin AS stream_name, count(*) AS pending_changes, count(*) FILTER (action = 'INSERT') AS inserts, count(*) FILTER (action = 'DELETE') AS deletes,
+  strftime(min(commit_ts), '%Y-%m-%d %H:%M:%S') AS earliest_change_timestamp, strftime(max(commit_ts), '%Y-%m-%d %H:%M:%S') AS latest_change_timestamp
+FROM v_changes WHERE commit_ts > TIMESTAMP '2024-01-15' GROUP BY 1""",
 )
 def stream_backlog(spark, sf, offset: datetime = T1):
     return (
         D.change_log(spark, sf)
         .filter(F.col("commit_ts") > F.lit(offset).cast("timestamp_ntz"))
-        .groupBy(F.col("origin").alias("stream"))
+        .groupBy(F.col("origin").alias("stream_name"))
         .agg(
-            n_rows("pending"),
+            n_rows("pending_changes"),
             F.count_if(F.col("action") == "INSERT").alias("inserts"),
             F.count_if(F.col("action") == "DELETE").alias("deletes"),
-            F.min("commit_ts").alias("earliest"),
-            F.max("commit_ts").alias("latest"),
+            F.min("commit_ts").alias("earliest_change_timestamp"),
+            F.max("commit_ts").alias("latest_change_timestamp"),
         )
     )

@@ -16,11 +16,10 @@ from larkspur.registry import query
 
 # --- e-commerce -----------------------------------------------------------
 
-ENRICHED_SQL = """SELECT o.order_id, o.customer_id, c.customer_name, c.email, c.country, c.city, c.customer_segment, o.order_date, o.order_status,
-  o.payment_method, o.shipping_cost, o.discount_amount, count(i.order_item_id) AS total_items, sum(i.subtotal) AS subtotal,
-  sum(i.line_discount) AS item_discount, sum(i.subtotal) - sum(i.line_discount) - o.discount_amount + o.shipping_cost AS total_amount
-FROM v_orders o JOIN v_customers c ON o.customer_id = c.customer_id LEFT JOIN v_items i ON o.order_id = i.order_id
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"""
+ENRICHED_SQL = """SELECT order_id, customer_id, customer_name, email, country, city, customer_segment, order_date, order_status, payment_method, shipping_cost,
+  discount_amount, coalesce(lines, 0) AS total_items, gross AS subtotal, off AS item_discount, gross - off - discount_amount + shipping_cost AS total_amount
+FROM v_orders JOIN v_customers USING (customer_id) LEFT JOIN
+  (SELECT order_id, count(*) AS lines, sum(subtotal) AS gross, sum(line_discount) AS off FROM v_items GROUP BY 1) USING (order_id)"""
 
 
 @query(
@@ -67,10 +66,11 @@ def enriched_orders(spark, sf, **only):
     )
 
 
-PERFORMANCE_SQL = """SELECT product_id, product_name, category, brand, order_count, total_quantity_sold, CAST(gross AS DOUBLE) AS gross_revenue,
+PERFORMANCE_SQL = """SELECT product_id, product_name, category, subcategory, brand, CAST(unit_price AS DOUBLE) AS unit_price, CAST(cost_price AS DOUBLE) AS cost_price,
+  CAST(stock_quantity AS BIGINT) AS stock_quantity, order_count, total_quantity_sold, CAST(gross AS DOUBLE) AS gross_revenue,
   CAST(net AS DOUBLE) AS net_revenue, CAST(cost AS DOUBLE) AS total_cost, CAST(net - cost AS DOUBLE) AS profit,
   CASE WHEN cost > 0 THEN CAST(net - cost AS DOUBLE) / CAST(cost AS DOUBLE) * 100 ELSE 0 END AS profit_margin_percent FROM (
-SELECT p.product_id, p.product_name, p.category, p.brand, count(DISTINCT i.order_id) AS order_count, CAST(sum(i.quantity) AS BIGINT) AS total_quantity_sold,
+SELECT p.*, count(DISTINCT i.order_id) AS order_count, CAST(sum(i.quantity) AS BIGINT) AS total_quantity_sold,
   sum(i.subtotal) AS gross, sum(i.net_amount) AS net, sum(i.quantity * p.cost_price) AS cost
 FROM v_products p LEFT JOIN v_items i ON p.product_id = i.product_id GROUP BY ALL)"""
 
@@ -99,7 +99,11 @@ def product_performance(spark, sf):
             "product_id",
             "product_name",
             "category",
+            "subcategory",
             "brand",
+            "unit_price",
+            "cost_price",
+            "stock_quantity",
             F.coalesce("order_count", F.lit(0)).alias("order_count"),
             "total_quantity_sold",
             "gross_revenue",
@@ -263,7 +267,7 @@ def daily_sales_summary(spark, sf, **only):
 @query(
     "customer_loyalty_metrics",
     """SELECT l.customer_id, l.city, l.country, l.first_name, l.last_name, l.phone_number, l.e_mail, CAST(sum(h.order_total) AS DOUBLE) AS total_sales,
-  array_to_string(list_sort(list(DISTINCT CAST(h.location_id AS BIGINT))), ',') AS visited_locations
+  array_to_string(list_sort(list(DISTINCT CAST(h.location_id AS BIGINT))), ',') AS visited_location_ids_array
 FROM v_loyalty l JOIN v_header h ON l.customer_id = h.customer_id GROUP BY 1, 2, 3, 4, 5, 6, 7""",
 )
 def customer_loyalty_metrics(spark, sf):
@@ -273,7 +277,7 @@ def customer_loyalty_metrics(spark, sf):
         .groupBy("customer_id")
         .agg(
             F.sum("order_total").alias("total_sales"),
-            F.sort_array(F.collect_set(F.col("location_id").cast("bigint"))).alias("visited_locations"),
+            F.sort_array(F.collect_set(F.col("location_id").cast("bigint"))).alias("visited_location_ids_array"),
         )
     )
     member = D.customer_loyalty(spark, sf).select(
@@ -409,9 +413,9 @@ def city_windspeed(spark, sf, city: str = CITY, start: date = MONTH_START, end:
 
 R2 = "sign({x}) * floor(abs({x}) * 100 + 0.5) / 100"
 METRICS_SQL = f"""SELECT strftime(w.date, '%Y-%m-%d') AS date, w.city_name, w.country, CAST(coalesce(s.daily_sales, 0) AS DOUBLE) AS daily_sales,
-  {R2.format(x='temperature_f')} AS temperature_f, {R2.format(x='((temperature_f - 32) * 5 / 9)')} AS temperature_c,
-  {R2.format(x='precipitation_in')} AS precipitation_in, {R2.format(x='(precipitation_in * 25.4::DOUBLE)')} AS precipitation_mm,
-  CAST(max_wind_mph AS DOUBLE) AS max_wind_mph
+  {R2.format(x='temperature_f')} AS avg_temperature_fahrenheit, {R2.format(x='((temperature_f - 32) * 5 / 9)')} AS avg_temperature_celsius,
+  {R2.format(x='precipitation_in')} AS avg_precipitation_inches, {R2.format(x='(precipitation_in * 25.4::DOUBLE)')} AS avg_precipitation_millimeters,
+  CAST(max_wind_mph AS DOUBLE) AS max_wind_speed_100m_mph
 FROM ({CITY_WEATHER_SQL}) w LEFT JOIN ({CITY_SALES_SQL}) s USING (date, city_name, country)"""
 
 
@@ -427,11 +431,11 @@ def daily_city_metrics(spark, sf, since: date | None = None, until: date | None
             "city_name",
             "country",
             F.coalesce("daily_sales", F.lit(0)).alias("daily_sales"),
-            round_half_up(f, 2).alias("temperature_f"),
-            round_half_up((f - 32) * 5 / 9, 2).alias("temperature_c"),
-            round_half_up(inch, 2).alias("precipitation_in"),
-            round_half_up(inch * F.lit(25.4), 2).alias("precipitation_mm"),
-            "max_wind_mph",
+            round_half_up(f, 2).alias("avg_temperature_fahrenheit"),
+            round_half_up((f - 32) * 5 / 9, 2).alias("avg_temperature_celsius"),
+            round_half_up(inch, 2).alias("avg_precipitation_inches"),
+            round_half_up(inch * F.lit(25.4), 2).alias("avg_precipitation_millimeters"),
+            F.col("max_wind_mph").alias("max_wind_speed_100m_mph"),
         )
     )
 
@@ -518,24 +522,21 @@ def regional_sales(spark, sf):
 @query(
     "customer_activity",
     """WITH heads AS (SELECT customer_id, CAST(order_ts AS DATE) AS d, count(*) AS order_count, sum(order_total) AS spent, max(order_ts) AS last_ts,
-  list_sort(list(DISTINCT CAST(location_id AS BIGINT))) AS places FROM v_header WHERE customer_id IS NOT NULL GROUP BY 1, 2),
+  list_sort(list(DISTINCT CAST(location_id AS BIGINT))) AS places FROM v_header GROUP BY 1, 2),
 goods AS (SELECT customer_id, CAST(order_ts AS DATE) AS d, list_sort(list(DISTINCT menu_item_name)) AS names FROM v_header JOIN v_detail USING (order_id)
-  JOIN v_menu USING (menu_item_id) WHERE customer_id IS NOT NULL GROUP BY 1, 2)
-SELECT customer_id, strftime(d, '%Y-%m-%d') AS activity_date, order_count, CAST(spent AS DOUBLE) AS total_spent, array_to_string(names, ',') AS favorite_menu_items,
-  array_to_string(places, ',') AS visited_locations, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_order_ts FROM heads LEFT JOIN goods USING (customer_id, d)""",
+  JOIN v_menu USING (menu_item_id) GROUP BY 1, 2)
+SELECT heads.customer_id, strftime(heads.d, '%Y-%m-%d') AS activity_date, order_count, CAST(spent AS DOUBLE) AS total_spent, array_to_string(names, ',') AS favorite_menu_items,
+  array_to_string(places, ',') AS visited_locations, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_order_timestamp FROM heads LEFT JOIN goods
+  ON heads.d = goods.d AND heads.customer_id IS NOT DISTINCT FROM goods.customer_id""",
 )
 def customer_activity(spark, sf):
     """Orders are counted from headers and items from lines, so that no total repeats per line."""
-    header = (
-        D.order_header(spark, sf)
-        .filter("customer_id IS NOT NULL")
-        .withColumn("activity_date", F.to_date("order_ts"))
-    )
+    header = D.order_header(spark, sf).withColumn("activity_date", F.to_date("order_ts"))
     heads = header.groupBy("customer_id", "activity_date").agg(
         n_rows("order_count"),
         F.sum(F.coalesce("order_total", F.lit(0))).alias("total_spent"),
         F.sort_array(F.collect_set(F.col("location_id").cast("bigint"))).alias("visited_locations"),
-        F.max("order_ts").alias("last_order_ts"),
+        F.max("order_ts").alias("last_order_timestamp"),
     )
     names = (
         D.order_detail(spark, sf)
@@ -545,8 +546,11 @@ def customer_activity(spark, sf):
         .join(D.menu(spark, sf).select("menu_item_id", "menu_item_name"), "menu_item_id")
         .groupBy("customer_id", "activity_date")
         .agg(F.sort_array(F.collect_set("menu_item_name")).alias("favorite_menu_items"))
+        .withColumnsRenamed({"customer_id": "c", "activity_date": "d"})
     )
-    return heads.join(names, ["customer_id", "activity_date"], "left")
+    # orders without a customer form a group of their own
+    same = F.col("customer_id").eqNullSafe(F.col("c")) & (F.col("activity_date") == F.col("d"))
+    return heads.join(names, same, "left").drop("c", "d")
 
 
 @query(

@@ -100,23 +100,21 @@ def orders_wide(spark, sf):
     )
 
 
-WIDE_SQL = """SELECT {date}oh.order_id, oh.truck_id, strftime(oh.order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, od.order_detail_id,
-  CAST(od.line_number AS BIGINT) AS line_number, m.truck_brand_name, m.menu_type, t.primary_city, t.region, t.country,
-  CAST(t.franchise_flag AS BIGINT) AS franchise_flag, t.franchise_id, f.first_name AS franchisee_first_name,
-  f.last_name AS franchisee_last_name, l.location_id, cl.customer_id, cl.first_name, cl.last_name, cl.e_mail, cl.phone_number,
-  cl.children_count, cl.gender, cl.marital_status, od.menu_item_id, m.menu_item_name, CAST(od.quantity AS BIGINT) AS quantity,
-  CAST(od.unit_price AS DOUBLE) AS unit_price, CAST(od.price AS DOUBLE) AS price, CAST(oh.order_amount AS DOUBLE) AS order_amount,
-  oh.order_tax_amount, oh.order_discount_amount, CAST(oh.order_total AS DOUBLE) AS order_total
-FROM v_detail od JOIN v_header oh ON od.order_id = oh.order_id JOIN v_truck t ON oh.truck_id = t.truck_id
-JOIN v_menu m ON od.menu_item_id = m.menu_item_id JOIN v_franchise f ON t.franchise_id = f.franchise_id
-JOIN v_location l ON CAST(oh.location_id AS BIGINT) = l.location_id LEFT JOIN v_loyalty cl ON oh.customer_id = cl.customer_id"""
+WIDE_SQL = """WITH buyer AS (SELECT customer_id AS buyer_id, v_loyalty.* EXCLUDE (city, country, sign_up_date, customer_id) FROM v_loyalty)
+SELECT {date}order_id, truck_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, order_detail_id, CAST(line_number AS BIGINT) AS line_number,
+  truck_brand_name, menu_type, primary_city, v_truck.region, v_truck.country, CAST(franchise_flag AS BIGINT) AS franchise_flag, franchise_id,
+  v_franchise.first_name AS franchisee_first_name, v_franchise.last_name AS franchisee_last_name, v_location.location_id, buyer_id AS customer_id,
+  buyer.* EXCLUDE (buyer_id), menu_item_id, menu_item_name, CAST(quantity AS BIGINT) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+  CAST(price AS DOUBLE) AS price, CAST(order_amount AS DOUBLE) AS order_amount, order_tax_amount, order_discount_amount, CAST(order_total AS DOUBLE) AS order_total
+FROM v_header JOIN v_detail USING (order_id) JOIN v_menu USING (menu_item_id) JOIN v_truck USING (truck_id) JOIN v_franchise USING (franchise_id)
+JOIN v_location ON v_location.location_id = CAST(v_header.location_id AS BIGINT) LEFT JOIN buyer ON buyer_id = v_header.customer_id"""
 
 query("join_star_wide", WIDE_SQL.format(date=""))(orders_wide)
 
 
 @query(
     "orders_wide",
-    WIDE_SQL.format(date="strftime(CAST(oh.order_ts AS DATE), '%Y-%m-%d') AS date, "),
+    WIDE_SQL.format(date="strftime(order_ts, '%Y-%m-%d') AS date, "),
 )
 def orders_wide_dated(spark, sf):
     return orders_wide(spark, sf).select(F.to_date("order_ts").alias("date"), "*")

@@ -126,12 +126,12 @@ def human_count(n):
 @query(
     "format_bytes",
     """WITH b AS (SELECT source, CAST(sum(n_chars) * 1024 AS BIGINT) AS bytes FROM documents GROUP BY 1)
-SELECT source, bytes, CASE WHEN bytes >= 536870912 THEN floor(bytes / 1073741824 * 100 + 0.5) / 100 ELSE floor(bytes / 1048576 * 100 + 0.5) / 100 END AS size_value,
-  CASE WHEN bytes >= 536870912 THEN 'GB' ELSE 'MB' END AS size_unit FROM b""",
+SELECT source, bytes, CASE WHEN bytes > 536870912 THEN floor(bytes / 1073741824 * 100 + 0.5) / 100 ELSE floor(bytes / 1048576 * 100 + 0.5) / 100 END AS size_value,
+  CASE WHEN bytes > 536870912 THEN 'GB' ELSE 'MB' END AS size_unit FROM b""",
 )
 def format_bytes(spark, sf):
     b = F.col("bytes")
-    big = b >= 512 * 2**20
+    big = b > 512 * 2**20
     return (
         D.table(spark, sf, "documents")
         .groupBy("source")

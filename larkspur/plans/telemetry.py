@@ -39,7 +39,7 @@ def tel_recent_alerts(spark, sf, as_of=AS_OF):
 
 @query(
     "tel_error_summary",
-    """SELECT strftime(event_timestamp, '%Y-%m-%d') AS error_date, process_step, count(*) AS error_count, string_agg(DISTINCT error_message, '; ' ORDER BY error_message)
+    """SELECT strftime(event_timestamp, '%Y-%m-%d') AS error_date, procedure_name, count(*) AS error_count, string_agg(DISTINCT error_message, '; ' ORDER BY error_message)
   AS error_messages FROM v_stage_events WHERE error_flag AND event_timestamp > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY GROUP BY 1, 2""",
 )
 def tel_error_summary(spark, sf, as_of=AS_OF):
@@ -48,7 +48,7 @@ def tel_error_summary(spark, sf, as_of=AS_OF):
         .filter(F.col("error_flag") & _since("event_timestamp", as_of, days=30))
         .withColumn("error_date", F.to_date("event_timestamp"))
     )
-    keys = ["error_date", "process_step"]
+    keys = ["error_date", "procedure_name"]
     # counted per message first: the text list then grows with distinct messages, not with errors
     per_message = bad.groupBy(*keys, "error_message").agg(n_rows("n"))
     counts = per_message.groupBy(*keys).agg(F.sum("n").alias("error_count"))
@@ -57,8 +57,8 @@ def tel_error_summary(spark, sf, as_of=AS_OF):
 
 @query(
     "tel_performance",
-    """SELECT process_step, count(*) AS execution_count, CAST(sum(execution_time_ms) AS DOUBLE) / count(*) AS avg_execution_time_ms,
-  max(execution_time_ms) AS max_execution_time_ms, min(execution_time_ms) AS min_execution_time_ms, CAST(sum(records_processed) AS BIGINT) AS total_records
+    """SELECT procedure_name, count(*) AS execution_count, CAST(sum(execution_time_ms) AS DOUBLE) / count(*) AS avg_execution_time_ms,
+  max(execution_time_ms) AS max_execution_time_ms, min(execution_time_ms) AS min_execution_time_ms, CAST(sum(records_processed) AS BIGINT) AS total_records_processed
 FROM v_stage_events WHERE event_timestamp > TIMESTAMP '2024-01-31' - INTERVAL 7 DAY AND execution_time_ms IS NOT NULL GROUP BY 1""",
 )
 def tel_performance(spark, sf, as_of=AS_OF):
@@ -66,13 +66,13 @@ def tel_performance(spark, sf, as_of=AS_OF):
     return (
         D.stage_events(spark, sf)
         .filter(_since("event_timestamp", as_of, days=7) & ms.isNotNull())
-        .groupBy("process_step")
+        .groupBy("procedure_name")
         .agg(
             n_rows("execution_count"),
             D.mean(ms).alias("avg_execution_time_ms"),
             F.max(ms).alias("max_execution_time_ms"),
             F.min(ms).alias("min_execution_time_ms"),
-            F.sum("records_processed").alias("total_records"),
+            F.sum("records_processed").alias("total_records_processed"),
         )
         .orderBy(F.desc("avg_execution_time_ms"))
     )
@@ -80,98 +80,116 @@ def tel_performance(spark, sf, as_of=AS_OF):
 
 @query(
     "tel_by_severity",
-    "SELECT severity, count(*) AS alert_count, string_agg(DISTINCT alert_name, ', ' ORDER BY alert_name) AS alert_names FROM v_alerts GROUP BY 1",
+    "SELECT severity, count(*) AS alert_count, string_agg(DISTINCT alert_name, ', ' ORDER BY alert_name) AS alert_types FROM v_alerts WHERE alert_time > TIMESTAMP '2024-01-30' GROUP BY 1",
 )
-def tel_by_severity(spark, sf):
-    per_name = D.alerts(spark, sf).groupBy("severity", "alert_name").agg(n_rows("n"))
+def tel_by_severity(spark, sf, as_of=AS_OF):
+    per_name = D.alerts(spark, sf).filter(_since("alert_time", as_of, days=1)).groupBy("severity", "alert_name").agg(n_rows("n"))
     counts = per_name.groupBy("severity").agg(F.sum("n").alias("alert_count"))
-    return counts.join(joined_texts(per_name, ["severity"], "alert_name", "alert_names", ", "), "severity").orderBy(severity_rank())
+    return counts.join(joined_texts(per_name, ["severity"], "alert_name", "alert_types", ", "), "severity").orderBy(severity_rank())
 
 
 @query(
     "tel_by_category",
-    "SELECT category, count(*) AS alert_count, strftime(max(alert_time), '%Y-%m-%d %H:%M:%S') AS last_alert FROM v_alerts GROUP BY 1",
+    "SELECT category, count(*) AS alert_count, strftime(max(alert_time), '%Y-%m-%d %H:%M:%S') AS last_alert_time FROM v_alerts WHERE alert_time > TIMESTAMP '2024-01-24' GROUP BY 1",
 )
-def tel_by_category(spark, sf):
-    return D.alerts(spark, sf).groupBy("category").agg(n_rows("alert_count"), F.max("alert_time").alias("last_alert"))
+def tel_by_category(spark, sf, as_of=AS_OF):
+    recent = D.alerts(spark, sf).filter(_since("alert_time", as_of, days=7))
+    return recent.groupBy("category").agg(n_rows("alert_count"), F.max("alert_time").alias("last_alert_time")).orderBy(F.desc("alert_count"))
 
 
 @query(
     "tel_unresolved",
-    """SELECT severity, count(*) AS open_alerts, CAST(sum(record_count) AS BIGINT) AS records, strftime(min(alert_time), '%Y-%m-%d %H:%M:%S') AS oldest
-FROM v_alerts WHERE NOT resolved_flag AND alert_time > TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 6 HOUR GROUP BY 1""",
+    """SELECT alert_id, alert_name, severity, category, message, record_count, affected_table, strftime(alert_time, '%Y-%m-%d %H:%M:%S') AS alert_time,
+  count(*) OVER (PARTITION BY severity) AS open_in_severity FROM v_alerts WHERE NOT resolved_flag AND alert_time > TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 6 HOUR""",
 )
-def tel_unresolved(spark, sf, as_of=datetime(2024, 1, 30, 23)):
+def tel_unresolved(spark, sf, as_of=datetime(2024, 1, 30, 23), hours: int = 6):
+    """Open alerts by severity, newest first, with the number open per severity."""
+    recent = D.alerts(spark, sf).filter(~F.col("resolved_flag") & _since("alert_time", as_of, hours=hours))
+    per_level = recent.groupBy("severity").agg(n_rows("open_in_severity"))
     return (
-        open_alerts(spark, sf, as_of)
-        .groupBy("severity")
-        .agg(n_rows("open_alerts"), F.sum("record_count").alias("records"), F.min("alert_time").alias("oldest"))
-        .orderBy(severity_rank())
+        recent.join(per_level, "severity")
+        .select("alert_id", "alert_name", "severity", "category", "message", "record_count", "affected_table", "alert_time", "open_in_severity")
+        .orderBy("severity", F.desc("alert_time"))
     )
 
 
-def open_alerts(spark, sf, as_of, hours: int = 6):
-    return D.alerts(spark, sf).filter(~F.col("resolved_flag") & _since("alert_time", as_of, hours=hours))
-
-
 @query(
     "tel_recent_errors",
-    """SELECT event_id, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp, procedure_name, process_step, error_message FROM v_stage_events
+    """SELECT event_id, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp, procedure_name, process_step, error_message, trace_id FROM v_stage_events
 WHERE error_flag AND event_timestamp > TIMESTAMP '2024-01-30 23:00:00' - INTERVAL 1 HOUR""",
 )
 def tel_recent_errors(spark, sf, as_of=datetime(2024, 1, 30, 23)):
     return (
         D.stage_events(spark, sf)
         .filter(F.col("error_flag") & _since("event_timestamp", as_of, hours=1))
-        .select("event_id", "event_timestamp", "procedure_name", "process_step", "error_message")
+        .select("event_id", "event_timestamp", "procedure_name", "process_step", "error_message", "trace_id")
         .orderBy(F.desc("event_timestamp"))
     )
 
 
-@query(
-    "tel_daily_report",
-    """SELECT coalesce(m.truck_brand_name, 'ALL') AS truck_brand_name, count(*) AS total_orders, '$' || format('{:,.2f}', CAST(sum(order_total) AS DOUBLE)) AS revenue
-FROM v_header h JOIN v_truck t ON h.truck_id = t.truck_id JOIN (SELECT DISTINCT menu_type_id, truck_brand_name FROM v_menu) m ON t.menu_type_id = m.menu_type_id
-WHERE CAST(h.order_ts AS DATE) = DATE '1998-03-10' GROUP BY GROUPING SETS ((m.truck_brand_name), ()) HAVING count(*) > 0""",
-)
+REPORT_SQL = """WITH brand AS (SELECT DISTINCT menu_type_id, truck_brand_name FROM v_menu),
+day AS (SELECT truck_brand_name, primary_city, region, count(*) AS n, CAST(sum(order_total) AS DOUBLE) AS r, count(DISTINCT customer_id) AS u, CAST(sum(order_total) AS DOUBLE) / count(*) AS a
+  FROM v_header JOIN v_truck USING (truck_id) JOIN brand USING (menu_type_id) WHERE CAST(order_ts AS DATE) = DATE '1998-03-10' GROUP BY 1, 2, 3),
+rows AS (SELECT * FROM day UNION ALL SELECT 'ALL', NULL, NULL, CAST(sum(n) AS BIGINT), sum(r), CAST(sum(u) AS BIGINT), sum(a) / count(*) FROM day HAVING count(*) > 0)
+SELECT truck_brand_name, primary_city, region, n AS total_orders, '$' || format('{:,.2f}', r) AS total_revenue, u AS unique_customers, '$' || format('{:,.2f}', a) AS avg_order_value FROM rows"""
+
+
+@query("tel_daily_report", REPORT_SQL)
 def tel_daily_report(spark, sf, day: date = date(1998, 3, 10)):
-    """Brand lines of one day and their total; the total is added from the brand rows."""
+    """One day's sales per brand and city with a total row; the total is added from those rows."""
     header = D.order_header(spark, sf, since=day, until=day)
-    lines = (
-        P.brand_sales(header, D.truck(spark, sf), D.menu(spark, sf))
-        .groupBy("truck_brand_name")
-        .agg(F.sum("total_orders").alias("total_orders"), F.sum("total_revenue").alias("r"))
+    lines = P.brand_sales(header, D.truck(spark, sf), D.menu(spark, sf)).select(
+        "truck_brand_name", "primary_city", "region", "total_orders", "total_revenue", "unique_customers", "avg_order_value"
     )
     total = lines.agg(
-        F.lit("ALL").alias("truck_brand_name"), F.sum("total_orders").alias("total_orders"), F.sum("r").alias("r")
+        F.lit("ALL").alias("truck_brand_name"),
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_revenue").alias("total_revenue"),
+        F.sum("unique_customers").alias("unique_customers"),
+        F.avg("avg_order_value").alias("avg_order_value"),
     ).filter("total_orders > 0")
-    money = F.concat(F.lit("$"), F.format_number("r", 2))
-    return lines.unionByName(total).select("truck_brand_name", "total_orders", money.alias("revenue"))
+    both = lines.unionByName(total, allowMissingColumns=True)
+
+    def money(name):
+        return F.concat(F.lit("$"), F.format_number(name, 2))
+
+    return both.withColumns({c: money(c) for c in ("total_revenue", "avg_order_value")})
 
 
 @query(
     "tel_metrics",
-    """SELECT 'stream_backlog' AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value, 'rows' AS metric_unit, '{"stream":"changes"}' AS dimensions
+    """SELECT 'stream_pending_records' AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value, 'records' AS metric_unit, '{"stream_name":"changes"}' AS dimension_attributes
 FROM v_changes WHERE commit_ts > TIMESTAMP '2024-01-24'
-UNION ALL SELECT 'unresolved_alerts', CAST(count(*) AS DOUBLE), 'alerts', '{"severity":"' || severity || '"}' FROM v_alerts WHERE NOT resolved_flag GROUP BY severity
-UNION ALL SELECT 'avg_step_time', CAST(sum(execution_time_ms) AS DOUBLE) / count(*), 'ms', '{"procedure":"' || procedure_name || '"}' FROM v_stage_events GROUP BY procedure_name""",
+UNION ALL SELECT 'unresolved_alerts', CAST(count(*) AS DOUBLE), 'count', '{"severity":"' || severity || '","time_window":"last_24h"}' FROM v_alerts
+  WHERE NOT resolved_flag AND alert_time > TIMESTAMP '2024-01-29 23:00:00' GROUP BY severity
+UNION ALL SELECT 'avg_procedure_execution_time', CAST(sum(execution_time_ms) AS DOUBLE) / count(*), 'milliseconds', '{"procedure_name":"' || procedure_name || '","time_window":"last_1h"}'
+  FROM v_stage_events WHERE event_timestamp > TIMESTAMP '2024-01-30 22:00:00' GROUP BY procedure_name""",
 )
-def tel_metrics(spark, sf, offset=datetime(2024, 1, 24)):
-    def metric(df, name, unit, tag, value):
+def tel_metrics(spark, sf, as_of=datetime(2024, 1, 30, 23), offset=datetime(2024, 1, 24)):
+    """Backlog, open alerts and step times as metric rows with JSON dimensions."""
+
+    def metric(df, name, unit, **dims):
         return df.select(
             F.lit(name).alias("metric_name"),
             F.col("v").cast("double").alias("metric_value"),
             F.lit(unit).alias("metric_unit"),
-            F.to_json(F.struct(value.alias(tag))).alias("dimensions"),
+            F.to_json(F.struct(*[value.alias(tag) for tag, value in dims.items()])).alias("dimension_attributes"),
         )
 
     backlog = D.change_log(spark, sf).filter(F.col("commit_ts") > F.lit(offset).cast("timestamp_ntz")).agg(n_rows("v"))
-    unresolved = D.alerts(spark, sf).filter(~F.col("resolved_flag")).groupBy("severity").agg(n_rows("v"))
-    speed = D.stage_events(spark, sf).groupBy("procedure_name").agg(D.mean("execution_time_ms").alias("v"))
+    unresolved = (
+        D.alerts(spark, sf).filter(~F.col("resolved_flag") & _since("alert_time", as_of, days=1)).groupBy("severity").agg(n_rows("v"))
+    )
+    speed = (
+        D.stage_events(spark, sf)
+        .filter(F.col("execution_time_ms").isNotNull() & _since("event_timestamp", as_of, hours=1))
+        .groupBy("procedure_name")
+        .agg(D.mean("execution_time_ms").alias("v"))
+    )
     parts = [
-        metric(backlog, "stream_backlog", "rows", "stream", F.lit("changes")),
-        metric(unresolved, "unresolved_alerts", "alerts", "severity", F.col("severity")),
-        metric(speed, "avg_step_time", "ms", "procedure", F.col("procedure_name")),
+        metric(backlog, "stream_pending_records", "records", stream_name=F.lit("changes")),
+        metric(unresolved, "unresolved_alerts", "count", severity=F.col("severity"), time_window=F.lit("last_24h")),
+        metric(speed, "avg_procedure_execution_time", "milliseconds", procedure_name=F.col("procedure_name"), time_window=F.lit("last_1h")),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 

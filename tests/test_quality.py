@@ -1,6 +1,6 @@
 """Planted defects trip exactly their check."""
 
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 
@@ -28,15 +28,17 @@ def test_planted_headers(spark):
             (8005, 4, datetime(2001, 6, 30), 10, 10),
         ],
     )
-    rules = [Q.missing_values(now), Q.amount_anomaly(), Q.negative_total(), Q.future_dated(now)]
+    rules = Q.header_rules(now, hours=48)
     got = {r.alert_name: r.record_count for r in run_rules(df, rules).collect()}
-    assert got == {"ORDER_MISSING_VALUES": 1, "ORDER_AMOUNT_ANOMALY": 1, "NEGATIVE_ORDER_TOTAL": 1, "FUTURE_DATED_ORDERS": 1}
+    assert got == {"ORDER_MISSING_CRITICAL_VALUES": 1, "ORDER_AMOUNT_ANOMALY": 1, "NEGATIVE_ORDER_TOTAL": 1, "FUTURE_DATED_ORDERS": 1}
     assert run_rules(df.filter("order_id = 8005"), rules).count() == 0
 
 
 def test_emails(spark):
-    df = spark.createDataFrame([(None,), ("",), ("nobody",), ("a@b",)], "e_mail string")
-    assert run_rules(df, [Q.invalid_email()]).first().record_count == 3
+    new, old = date(2024, 1, 2), date(2023, 1, 2)
+    rows = [(None, new), ("", new), ("nobody", new), ("a@b", new), ("nobody", old)]
+    df = spark.createDataFrame(rows, "e_mail string, sign_up_date date")
+    assert run_rules(df, [Q.invalid_email(date(2024, 1, 2))]).first().record_count == 3
 
 
 def test_prices(spark):
