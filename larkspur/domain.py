@@ -207,15 +207,18 @@ def order_header(spark, sf_dir, raw: DataFrame | None = None, since: date | None
     )
 
 
-def landing_header(spark, sf_dir):
-    """Headers as delivered: pending urgent orders arrive twice, a few totals are negative or missing."""
+def landing_header(spark, sf_dir, since: date | None = None):
+    """Headers as delivered: pending urgent orders arrive twice, a few totals are negative or missing.
+
+    ``since`` only narrows the scan: all rows whose ``order_ts`` is on or after that day are there.
+    """
     key = F.col("o_orderkey")
     again = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
     shifts = F.when(again, F.array(F.lit(0), F.lit(1_000_000_000))).otherwise(F.array(F.lit(0)))
     total = dec("o_totalprice")
+    raw = _days(table(spark, sf_dir, "orders"), since - timedelta(days=1) if since else None, None)
     return (
-        table(spark, sf_dir, "orders")
-        .select("*", F.explode(shifts).alias("shift"))
+        raw.select("*", F.explode(shifts).alias("shift"))
         .select(
             (key + F.col("shift")).alias("order_id"),
             F.when(key % 50 != 0, F.col("o_custkey")).alias("customer_id"),

@@ -24,7 +24,7 @@ def _cols(names) -> list[Column]:
 def blocked(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Adds a block number that grows with (keys, order).
 
-    The range bounds are sampled, so the block number is written to reliable storage
+    The range bounds are sampled, so the block number is written to shared storage
     once: a lost executor or a second job must not see other bounds.
     """
     sort = [*_cols(keys), *_cols(order)]

@@ -265,14 +265,15 @@ def filter_variant_kind(spark, sf):
     """SELECT payment_method, count(*) AS orders FROM v_orders WHERE order_status = 'PENDING'
 AND order_date >= DATE '1999-01-01' GROUP BY 1""",
 )
-def filter_params(spark, sf, status: str = "PENDING", since: str = "1999-01-01"):
-    """Bound parameters, never text pasted into a statement."""
-    return spark.sql(
-        """SELECT payment_method, count(*) AS orders FROM {orders}
-        WHERE order_status = :status AND order_date >= CAST(:since AS DATE) GROUP BY payment_method""",
+def filter_params(spark, sf, status: str = "P", since: str = "1999-01-01"):
+    """Bound parameters, never text pasted into a statement; both reach the scan."""
+    counts = spark.sql(
+        """SELECT o_orderpriority, count(*) AS orders FROM {raw}
+        WHERE o_orderstatus = :status AND o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) GROUP BY o_orderpriority""",
         args={"status": status, "since": since},
-        orders=D.orders(spark, sf),
+        raw=D.table(spark, sf, "orders"),
     )
+    return counts.select(D.lookup(F.col("o_orderpriority"), D.PAYMENT_METHODS).alias("payment_method"), "orders")
 
 
 @query(

@@ -100,6 +100,11 @@ def header_rules(as_of: datetime, hours: int) -> list[Rule]:
     return [missing_values(as_of, hours), amount_anomaly(as_of, hours), negative_total(as_of, hours), future_dated(as_of)]
 
 
+def recent_landing(spark, sf, as_of: datetime = AS_OF, hours: int = YEAR_HOURS):
+    """Delivered headers no older than the look-back of the header rules."""
+    return D.landing_header(spark, sf, since=(as_of - timedelta(hours=hours)).date())
+
+
 def _alert_sql(kind: str, count: str, source: str) -> str:
     name, severity, category, message, table = ALERTS[kind]
     return (
@@ -134,17 +139,17 @@ SQL = {
 
 @query("dq_missing_values", SQL["dq_missing_values"])
 def dq_missing_values(spark, sf):
-    return run_rules(D.landing_header(spark, sf), [missing_values(AS_OF, YEAR_HOURS)])
+    return run_rules(recent_landing(spark, sf), [missing_values(AS_OF, YEAR_HOURS)])
 
 
 @query("dq_amount_anomaly", SQL["dq_amount_anomaly"])
 def dq_amount_anomaly(spark, sf):
-    return run_rules(D.landing_header(spark, sf), [amount_anomaly(AS_OF, YEAR_HOURS)])
+    return run_rules(recent_landing(spark, sf), [amount_anomaly(AS_OF, YEAR_HOURS)])
 
 
 @query("dq_negative_total", SQL["dq_negative_total"])
 def dq_negative_total(spark, sf):
-    return run_rules(D.landing_header(spark, sf), [negative_total(AS_OF, YEAR_HOURS)])
+    return run_rules(recent_landing(spark, sf), [negative_total(AS_OF, YEAR_HOURS)])
 
 
 @query("dq_orphan_headers", SQL["dq_orphan_headers"])
@@ -167,13 +172,13 @@ def dq_price_rule(spark, sf):
 
 @query("dq_duplicate_orders", SQL["dq_duplicate_orders"])
 def dq_duplicate_orders(spark, sf, as_of: datetime = AS_OF, hours: int = YEAR_HOURS):
-    recent = D.landing_header(spark, sf).filter(_recent(as_of, hours))
+    recent = recent_landing(spark, sf, as_of, hours).filter(_recent(as_of, hours))
     return alert_if_any(excess_rows(recent, ["customer_id", "order_ts", "order_total"]), _rule("duplicate"))
 
 
 @query("dq_future_dated", SQL["dq_future_dated"])
 def dq_future_dated(spark, sf):
-    return run_rules(D.landing_header(spark, sf), [future_dated(AS_OF)])
+    return run_rules(recent_landing(spark, sf), [future_dated(AS_OF)])
 
 
 @query(
@@ -227,7 +232,7 @@ def dq_date_completeness(spark, sf):
 @query("dq_run_all", " UNION ALL ".join(SQL.values()))
 def dq_run_all(spark, sf):
     """All eight checks; rules on one source share one scan."""
-    landed = D.landing_header(spark, sf)
+    landed = recent_landing(spark, sf)
     parts = [
         run_rules(landed, header_rules(AS_OF, YEAR_HOURS)),
         run_rules(D.customer_loyalty(spark, sf), [invalid_email(MEMBERS_AS_OF, 365)]),

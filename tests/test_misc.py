@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur import domain as D
 from larkspur.functions.completion import complete_columns
-from larkspur.plans import aggregates, bi, classifier, datasets, files, prompts
+from larkspur.plans import aggregates, bi, classifier, datasets, files, prompts, quality, telemetry
 
 
 def plan(df):
@@ -76,6 +76,11 @@ def test_filters_reach_the_scan(spark, small):
     assert "GreaterThanOrEqual(o_orderdate,1996-12-31" in text
 
 
+def test_recent_checks_do_not_scan_old_days(spark, small):
+    assert "GreaterThanOrEqual(o_orderdate,2000-06-30" in plan(quality.dq_run_all(spark, small))
+    assert "GreaterThan(ts,2024-01-23" in plan(telemetry.tel_performance(spark, small)) or "GreaterThan(ts,2024-01-24" in plan(telemetry.tel_performance(spark, small))
+
+
 def test_scans_read_only_needed_columns(spark, small):
     text = plan(bi.bi_segment(spark, small))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in text
