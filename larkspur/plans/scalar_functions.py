@@ -217,7 +217,7 @@ def fn_datetime(spark, sf, as_of: date = D.AS_OF_ORDERS):
   CASE WHEN value > 20 THEN 'high' WHEN value > 5 THEN 'mid' ELSE 'low' END AS f_case, CASE WHEN value > 20 THEN 1 ELSE 0 END::BIGINT AS f_iff,
   coalesce(CASE WHEN event_type = 'error' THEN NULL ELSE user_id END, -1) AS f_coalesce, CASE WHEN event_type <> 'error' THEN 'known' ELSE 'unknown' END AS f_nvl2,
   nullif(event_type, 'error') AS f_nullif, nullif(user_id % 5, 0) AS f_nullifzero, coalesce(nullif(user_id % 5, 0), 0) AS f_zeroifnull,
-  event_type AS f_to_array, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS f_to_object, event_type AS f_to_variant,
+  event_type AS f_to_array, CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS f_to_object, event_type AS f_to_variant,
   strftime(date_trunc('second', ts) - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS f_tz_instant, '+02:00' AS f_tz_offset, CASE WHEN event_type = 'view' THEN NULL ELSE '10:30:00' END AS f_try_time,
   CASE WHEN event_type = 'view' THEN NULL ELSE '2024-03-01 10:30:00' END AS f_try_timestamp, CASE WHEN event_type <> 'view' THEN 'A' END AS f_try_binary,
   CASE event_type WHEN 'error' THEN 'E' WHEN 'click' THEN 'C' ELSE '?' END AS f_decode, nullif(event_type, 'error') IS NOT DISTINCT FROM NULL AS f_equal_null
