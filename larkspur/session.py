@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# names of this program's scratch folders
+_RUN = uuid.uuid4().hex
+_RUNS: set[str] = set()
+
 # Runtime settings every plan relies on. Skewed joins are split even where that
 # costs one more shuffle: a hot key is worse than the exchange.
 RUNTIME_CONF = {
@@ -46,28 +50,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; local sessions without one get a temporary folder."""
+    """The folder all executors share: the session's checkpoint folder, else its warehouse."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if folder:
         return folder
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not _is_local(spark):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="larkspur-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "larkspur")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    return os.path.join(shared_dir(spark), "scratch", f"{label}-{uuid.uuid4().hex}")
+    """A fresh, never reused path under the shared folder; it is deleted when the program ends."""
+    run = os.path.join(shared_dir(spark), f"scratch-{_RUN}")
+    if run not in _RUNS:
+        _RUNS.add(run)
+        atexit.register(remove_path, spark, run)
+    return os.path.join(run, f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of the shared storage through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    if jvm is not None:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
