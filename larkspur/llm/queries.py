@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, simhash
+from larkspur.llm import decontaminate, packing, simhash
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
     "op7_simhash_classes": simhash.query,
+    "op9_packing": packing.query,
 }
 
 ORACLE_SQL = {
