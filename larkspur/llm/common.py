@@ -37,3 +37,8 @@ def row_key(text: str = "text") -> list[Column]:
 
 
 KEY = ["k_id", "k_text"]
+
+
+def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The key beside the whole row as one struct, so that no column name can clash."""
+    return docs.select(F.struct("*").alias("own"), *row_key(text))

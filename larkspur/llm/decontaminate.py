@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import KEY, ascii_lower, let, row_key, table
+from larkspur.llm.common import KEY, ascii_lower, keyed, let, row_key, table
 from larkspur.session import durable
 
 SPAN = 13
@@ -192,7 +192,7 @@ def query(spark, sf_dir):
 def stage(spark, docs, sf_dir):
     """Documents without the contaminated ones."""
     bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(*KEY).distinct()
-    return docs.select("*", *row_key()).join(bad, KEY, "left_anti").select(*docs.columns)
+    return keyed(docs).join(bad, KEY, "left_anti").select("own.*")
 
 
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, packing, simhash
+from larkspur.llm import decontaminate, packing, pseudonyms, quality, simhash, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
+    "op2_quality": quality.query,
+    "op5_toxicity": toxicity.query,
+    "op6_pseudonyms": pseudonyms.query,
     "op7_simhash_classes": simhash.query,
     "op9_packing": packing.query,
 }
