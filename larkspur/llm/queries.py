@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, packing, pseudonyms, quality, simhash, toxicity
+from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
     "op2_quality": quality.query,
+    "op3_paragraph_classes": paragraphs.query,
+    "op4_top_k": topk.query,
     "op5_toxicity": toxicity.query,
     "op6_pseudonyms": pseudonyms.query,
     "op7_simhash_classes": simhash.query,
     "op9_packing": packing.query,
+    "op10_warc": warc.query,
 }
 
 ORACLE_SQL = {
     "op1_decontamination": decontaminate.ORACLE_SQL,
+    "op4_top_k": topk.ORACLE_SQL,
+    "op10_warc": warc.ORACLE_SQL,
 }
