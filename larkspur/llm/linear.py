@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: labelled documents a model is fitted on, at most; they are picked by a hash of their id
-SAMPLE = 20_000
+SAMPLE = 10_000
 
 STYLE = (
     "log words, bytes a word, upper-case share, symbols a byte, points and commas a word, digits a byte, "

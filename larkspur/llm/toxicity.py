@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import table
 from larkspur.llm.linear import SAMPLE, Model, fit, labelled, sigmoid, style
+from larkspur.session import durable
 
 FOLDS = 3
 #: words each category may add to the features
-LEXICON = 256
+LEXICON = 128
 #: a word must be in this many sample documents
 SUPPORT = 5
 THRESHOLD = 0.5
@@ -65,20 +66,20 @@ def features(texts, words: np.ndarray) -> np.ndarray:
     return x
 
 
-def telling(ids: list[np.ndarray], y: np.ndarray, count: int) -> np.ndarray:
-    """The words whose shares differ most between the two classes, by a two-sample z."""
-    if not len(ids) or y.min() == y.max():
-        return np.zeros(0, dtype=np.uint32)
-    words, at = np.unique(np.concatenate(ids), return_inverse=True)
-    owner = np.repeat(y, [len(i) for i in ids])
-    seen = np.bincount(at, minlength=len(words)).astype(float)
-    hit = np.bincount(at, weights=owner, minlength=len(words))
-    n, pos = len(y), y.sum()
-    rate = seen / n
-    z = (hit / pos - (seen - hit) / (n - pos)) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / pos + 1 / (n - pos)))
-    z[seen < SUPPORT] = 0
-    best = np.lexsort((words, -np.abs(z)))[:count]
-    return words[best[z[best] != 0]]
+def telling(words: DataFrame, category: str, rows: int, positive: int, count: int) -> list[int]:
+    """The words whose shares differ most between the two classes, by a two-sample z.
+
+    ``words`` has one row for each distinct word of a document: id and the categories.
+    """
+    if not 0 < positive < rows:
+        return []
+    seen, hit = F.count("*").cast("double"), F.sum(category).cast("double")
+    rate = F.col("seen") / rows
+    gap = F.col("hit") / positive - (F.col("seen") - F.col("hit")) / (rows - positive)
+    z = F.abs(gap) / F.sqrt(rate * (1 - rate) * (1 / positive + 1 / (rows - positive)))
+    sums = words.groupBy("id").agg(seen.alias("seen"), hit.alias("hit")).filter((F.col("seen") >= SUPPORT) & (F.col("seen") < rows))
+    best = sums.select("id", z.alias("z")).filter("z > 0").orderBy(F.desc("z"), "id").limit(count)
+    return [r["id"] for r in best.collect()]
 
 
 def train(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> list[Model]:
@@ -95,29 +96,43 @@ def train(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> list[Model]:
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> Chain:
-    """The chain, from at most ``sample`` labelled documents; ``labels`` has doc_id and 0/1 categories."""
-    rows = labelled(docs, labels, categories, sample)
+    """The chain, from at most ``sample`` labelled documents; ``labels`` has doc_id and 0/1 categories.
+
+    Words are counted in tasks; the driver gets the chosen words and the features of the sample.
+    """
+    rows = durable(labelled(docs, labels, categories, sample))
+    width = len(style(b""))
+
+    def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.iloc[at : at + 256]
+                ids = [word_ids(t or b"").astype(np.int64) for t in part["text"]]
+                many = [len(i) for i in ids]
+                yield pd.DataFrame({"id": np.concatenate(ids)} | {c: np.repeat((part[c].to_numpy() > 0).astype(np.int32), many) for c in categories})
+
+    kinds = ", ".join(f"{c} int" for c in categories)
+    words = durable(rows.mapInPandas(words_of, f"id long, {kinds}"))
+    sums = rows.agg(F.count("*").alias("rows"), *[F.coalesce(F.sum((F.col(c) > 0).cast("int")), F.lit(0)).alias(c) for c in categories]).first()
+    chosen = {i for c in categories for i in telling(words, c, sums["rows"], sums[c], LEXICON)}
+    lexicon = np.array(sorted(chosen), dtype=np.uint32)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [t or b"" for t in b["text"]]
             out = b[["doc_id", *categories]].copy()
-            out["form"], out["ids"] = [style(t) for t in texts], [word_ids(t).astype(np.int64) for t in texts]
+            x = features(b["text"], lexicon)
+            out["form"] = list(x[:, :width])
+            out["present"] = [np.flatnonzero(r).astype(np.int32) for r in x[:, width:]]
             yield out
 
-    kinds = ", ".join(f"{c} int" for c in categories)
-    got = rows.mapInPandas(read, f"doc_id long, {kinds}, form array<double>, ids array<long>").toPandas().sort_values("doc_id")
+    got = rows.mapInPandas(read, f"doc_id long, {kinds}, form array<double>, present array<int>").toPandas().sort_values("doc_id")
     y = (got[categories].to_numpy() > 0).astype(float).reshape(len(got), len(categories))
-    ids = [np.asarray(i, dtype=np.uint32) for i in got["ids"]]
-    words = np.unique(np.concatenate([telling(ids, y[:, j], LEXICON) for j in range(len(categories))])).astype(np.uint32)
-    x = np.zeros((len(got), len(style(b"")) + len(words)))
-    for row, form, own in zip(x, got["form"], ids):
-        row[: len(form)] = form
-        if len(words):
-            at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-            row[len(form) + at[words[at] == own]] = 1.0
+    x = np.zeros((len(got), width + len(lexicon)))
+    for row, form, present in zip(x, got["form"], got["present"]):
+        row[:width] = form
+        row[width + np.asarray(present, dtype=int)] = 1.0
     folds = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in got["doc_id"]])
-    return Chain(categories, words, train(x, y, folds))
+    return Chain(categories, lexicon, train(x, y, folds))
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
