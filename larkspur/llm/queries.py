@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, topk, toxicity, warc
+from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.query,
     "op6_pseudonyms": pseudonyms.query,
     "op7_simhash_classes": simhash.query,
+    "op8_repeated_bytes": suffixes.query,
     "op9_packing": packing.query,
     "op10_warc": warc.query,
 }
