@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import table
-from larkspur.llm.linear import SAMPLE, Model, fit, labelled, sigmoid, style
+from larkspur.llm.linear import SAMPLE, STYLE, Model, fit, labelled, style
 from larkspur.session import durable
 
 THRESHOLD = 0.5
@@ -36,17 +36,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pd.DataFrame({"quality": b["quality"], "x": [style(t or b"") for t in b["text"]]})
 
     rows = labelled(docs, labels, ["quality"], sample).select("quality", "text").mapInPandas(run, "quality int, x array<double>").toPandas()
-    return fit(np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), -1), (rows["quality"] > 0).to_numpy(float))
+    return fit(np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), len(STYLE)), (rows["quality"] > 0).to_numpy(float))
 
 
 def evidence(model: Model):
     """Log-odds of a text (as binary) under the model."""
-    width = len(model.weights)
-
     @F.pandas_udf("double")
     def log_odds(texts: pd.Series) -> pd.Series:
-        x = np.array([style(t or b"") for t in texts], dtype=float).reshape(len(texts), -1)
-        return pd.Series(model.logit(x if width else np.zeros((len(texts), 0))))
+        x = np.array([style(t or b"") for t in texts], dtype=float).reshape(len(texts), len(STYLE))
+        return pd.Series(model.logit(x))
 
     return log_odds
 
