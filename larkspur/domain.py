@@ -85,7 +85,7 @@ def customers(spark, sf_dir):
 
 def products(spark, sf_dir):
     key, size = F.col("p_partkey"), F.col("p_size")
-    price = dec("p_retailprice", 8, 2)
+    price = dec("p_retailprice", 10, 2)
     return table(spark, sf_dir, "part").select(
         key.alias("product_id"),
         F.concat(F.col("p_name"), F.lit(" Model-"), text_id(key)).alias("product_name"),
@@ -150,9 +150,9 @@ def order_items(spark, sf_dir):
 
 def line_amounts(items: DataFrame) -> DataFrame:
     """Adds subtotal, discount and net of each line, exact to four decimals."""
-    qty = F.col("quantity").cast("decimal(4,0)")
+    qty = F.col("quantity").cast("decimal(7,0)")
     rate = cents(F.col("discount_percent")).cast("decimal(3,2)")
-    subtotal = qty * F.col("unit_price").cast("decimal(9,2)")
+    subtotal = qty * F.col("unit_price").cast("decimal(10,2)")
     return (
         items.withColumn("subtotal", dec(subtotal))
         .withColumn("line_discount", dec(subtotal * rate))
@@ -237,7 +237,7 @@ def order_detail(spark, sf_dir):
         F.col("product_id").alias("menu_item_id"),
         "quantity",
         "unit_price",
-        dec(F.col("quantity").cast("decimal(4,0)") * F.col("unit_price").cast("decimal(9,2)")).alias("price"),
+        dec(F.col("quantity").cast("decimal(7,0)") * F.col("unit_price").cast("decimal(10,2)")).alias("price"),
     )
 
 
@@ -281,7 +281,7 @@ def location(spark, sf_dir):
 
 
 def menu(spark, sf_dir):
-    size, price = F.col("p_size"), dec("p_retailprice", 8, 2)
+    size, price = F.col("p_size"), dec("p_retailprice", 10, 2)
     metrics = F.format_string(
         '{"menu_item_health_metrics":[{"metric":"calories","value":%d},'
         '{"metric":"fat","value":%d},{"metric":"sodium","value":%d}]}',
@@ -295,7 +295,7 @@ def menu(spark, sf_dir):
         F.col("p_type").alias("menu_type"),
         F.concat(F.lit("Truck "), F.initcap("p_type")).alias("truck_brand_name"),
         F.col("p_name").alias("menu_item_name"),
-        dec(price * F.lit(Decimal("0.04")) * size.cast("decimal(4,0)")).alias("cost_of_goods_usd"),
+        dec(price * F.lit(Decimal("0.04")) * size.cast("decimal(7,0)")).alias("cost_of_goods_usd"),
         dec(price).alias("sale_price_usd"),
         metrics.alias("health_metrics"),
     )

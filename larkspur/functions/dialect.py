@@ -63,7 +63,7 @@ def charindex(needle: str, text) -> Column:
 
 def regexp_like(text, pattern: str) -> Column:
     """True when the whole text matches."""
-    return _c(text).rlike(f"^(?:{pattern})$")
+    return _c(text).rlike(rf"\A(?:{pattern})\z")
 
 
 def tokens(text, delimiters: str = " ") -> Column:

@@ -108,7 +108,7 @@ def _numbered_all(df: DataFrame, order: list, alias: str, start: int, step: int)
     sizes = rows.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("n"))
     # one row per block, so at most as many as there are shuffle partitions
     carry = _carry(sizes, [], {"n": "sum"}).withColumnRenamed(BLOCK, "_c_blk")
-    joined = rows.join(F.broadcast(carry), F.col(BLOCK) == F.col("_c_blk"))
+    joined = rows.join(carry, F.col(BLOCK) == F.col("_c_blk"))
     position = F.coalesce("_before_n", F.lit(0)) + F.col("_i")
     return joined.select(*df.columns, (position * step + start).alias(alias))
 
@@ -145,12 +145,11 @@ def running(df: DataFrame, keys: list[str], order: list, value: str) -> DataFram
 def neighbours(df: DataFrame, keys: list[str], order: list, value: str, wanted: dict[str, tuple[int, object]], chunk: int = 100_000) -> DataFrame:
     """Adds offset values: ``wanted`` maps an alias to (offset, default); a negative offset looks ahead.
 
-    Numbered rows are cut into chunks of fixed size and every chunk borrows as many rows
+    Numbered rows are cut into chunks, at least twice the largest offset, and every chunk borrows as many rows
     on either side as the largest offset, so the window inside a chunk sees all it needs.
     """
     halo = max(abs(offset) for offset, _ in wanted.values())
-    if halo >= chunk:
-        raise ValueError("offset must be smaller than the chunk")
+    chunk = max(chunk, 2 * halo)
     rows = numbered(df, order, "_pos", start=0, keys=keys)
     home = F.floor(F.col("_pos") / chunk)
     inside = F.col("_pos") % chunk

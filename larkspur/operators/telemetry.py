@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ERROR_TEXT_LIMIT = 500
-
 
 def event_rows(df: DataFrame, trace_id: Column, timestamp: Column, record_type: Column, step: Column, attributes: Column, error: Column) -> DataFrame:
-    """LOG and SPAN rows with attributes as JSON; error texts are cut to the column width."""
+    """LOG and SPAN rows with attributes as JSON; error texts are kept whole."""
     return df.select(
         trace_id.alias("trace_id"),
         timestamp.alias("event_timestamp"),
@@ -17,5 +15,5 @@ def event_rows(df: DataFrame, trace_id: Column, timestamp: Column, record_type:
         step.alias("process_step"),
         F.to_json(attributes).alias("attributes"),
         error.isNotNull().alias("error_flag"),
-        F.left(error, F.lit(ERROR_TEXT_LIMIT)).alias("error_message"),
+        error.alias("error_message"),
     )

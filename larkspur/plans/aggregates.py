@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur import domain as D
 from larkspur.registry import query
@@ -269,24 +270,29 @@ def _describe_sql(col: str) -> str:
     )
 
 
-DESCRIBED = ("l_quantity", "l_extendedprice", "l_tax")
+DESCRIBED = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
+
+
+def numeric_columns(df) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 @query("agg_describe", " UNION ALL ".join(_describe_sql(c) for c in DESCRIBED))
 def agg_describe(spark, sf):
     """count, mean, stddev, min, max of each numeric column, in one pass."""
+    lines = D.table(spark, sf, "lineitem")
     per_column = [
         F.struct(
             F.lit(c).alias("column_name"),
             F.count(c).alias("n"),
             F.round(F.avg(c), 4).alias("mean"),
             F.round(F.stddev(c), 4).alias("stddev"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
+            F.min(c).cast("double").alias("min"),
+            F.max(c).cast("double").alias("max"),
         )
-        for c in DESCRIBED
+        for c in numeric_columns(lines)
     ]
-    return D.table(spark, sf, "lineitem").agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
+    return lines.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
 
 
 @query("agg_group_count", "SELECT label, count(*) AS n FROM (SELECT CAST(label AS BIGINT) AS label FROM embeddings) GROUP BY 1")
@@ -364,10 +370,11 @@ def agg_histogram(spark, sf):
 
 
 def histogram(df, col, bins: int):
-    """Equal-width bins 1..bins; the maximum belongs to the last one."""
+    """Equal-width bins 1..bins; the maximum belongs to the last one, a constant column to the first."""
     x = F.col(col)
-    lo, hi = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
-    slot = F.least(F.floor((x - lo) * bins / (hi - lo)), F.lit(bins - 1)) + 1
+    bounds = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, width = bounds["lo"], bounds["hi"] - bounds["lo"]
+    slot = F.when(width > 0, F.least(F.floor((x - lo) * bins / F.nullif(width, F.lit(0))), F.lit(bins - 1)) + 1).when(x.isNotNull(), 1)
     return df.groupBy(slot.cast("bigint").alias("bin")).agg(n_rows())
 
 

@@ -223,7 +223,7 @@ def build_fact_sales(items, orders, dim_customer, dim_product):
     buyers = dim_customer.filter("is_current").select("customer_id", "customer_sk")
     goods = dim_product.filter("is_current").select("product_id", "product_sk", "cost_price")
     heads = orders.select("order_id", "customer_id", "order_date", "order_status", "payment_method").join(buyers, "customer_id")
-    cost = D.dec(F.col("quantity").cast("decimal(4,0)") * F.col("cost_price"))
+    cost = D.dec(F.col("quantity").cast("decimal(7,0)") * F.col("cost_price"))
     return (
         D.line_amounts(items)
         .join(heads, "order_id")
@@ -502,10 +502,11 @@ def brand_sales(header, trucks, menu):
   CAST(sum(order_total) AS DOUBLE) / count(*) AS avg_order_value
 FROM v_header h JOIN v_location l ON CAST(h.location_id AS BIGINT) = l.location_id JOIN v_truck t ON h.truck_id = t.truck_id GROUP BY 1, 2, 3, 4""",
 )
-def regional_sales(spark, sf):
+def regional_sales(spark, sf, header=None):
+    header = D.order_header(spark, sf) if header is None else header
     place = D.location(spark, sf).select("location_id", "city", "country")
     return (
-        _with_amounts(D.order_header(spark, sf))
+        _with_amounts(header)
         .join(place, "location_id")
         .join(D.truck(spark, sf).select("truck_id", "region"), "truck_id")
         .groupBy("sales_date", "city", "country", "region")
@@ -529,9 +530,10 @@ SELECT heads.customer_id, strftime(heads.d, '%Y-%m-%d') AS activity_date, order_
   array_to_string(places, ',') AS visited_locations, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_order_timestamp FROM heads LEFT JOIN goods
   ON heads.d = goods.d AND heads.customer_id IS NOT DISTINCT FROM goods.customer_id""",
 )
-def customer_activity(spark, sf):
+def customer_activity(spark, sf, header=None):
     """Orders are counted from headers and items from lines, so that no total repeats per line."""
-    header = D.order_header(spark, sf).withColumn("activity_date", F.to_date("order_ts"))
+    header = D.order_header(spark, sf) if header is None else header
+    header = header.withColumn("activity_date", F.to_date("order_ts"))
     heads = header.groupBy("customer_id", "activity_date").agg(
         n_rows("order_count"),
         F.sum(F.coalesce("order_total", F.lit(0))).alias("total_spent"),
@@ -559,8 +561,9 @@ def customer_activity(spark, sf):
   CAST(sum(d.quantity) AS BIGINT) AS total_quantity, CAST(sum(d.price) AS DOUBLE) AS total_revenue, CAST(sum(d.price) AS DOUBLE) / count(*) AS avg_price
 FROM v_detail d JOIN v_menu m USING (menu_item_id) JOIN v_header h USING (order_id) GROUP BY 1, 2, 3, 4""",
 )
-def menu_item_performance(spark, sf):
-    days = D.order_header(spark, sf).select("order_id", F.to_date("order_ts").alias("performance_date"))
+def menu_item_performance(spark, sf, header=None):
+    header = D.order_header(spark, sf) if header is None else header
+    days = header.select("order_id", F.to_date("order_ts").alias("performance_date"))
     sold = (
         D.order_detail(spark, sf)
         .join(days, "order_id")

@@ -44,19 +44,19 @@ def load_csv_fixed(spark, sf):
 
 @query(
     "load_csv_options",
-    """SELECT doc_id, text, lang, CASE WHEN lang <> 'fr' THEN source END AS source FROM (SELECT doc_id, trim(replace(replace(text, chr(10), ' '), chr(13), ' '), ' ') AS text, lang, source FROM documents)""",
+    "SELECT doc_id, text, lang, CASE WHEN lang <> 'fr' THEN source END AS source FROM documents",
 )
 def load_csv_options(spark, sf):
-    """Semicolons, quotes, a NULL token and padded values."""
+    """Semicolons, quotes, a NULL token, padded values and texts with line breaks; files are of bounded size, as they cannot be split."""
     docs = D.table(spark, sf, "documents").select(
         "doc_id",
-        F.trim(F.translate("text", "\n\r", "  ")).alias("text"),
+        "text",
         F.concat(F.lit("  "), "lang").alias("lang"),
         F.when(F.col("lang") == "fr", "\\N").otherwise(F.col("source")).alias("source"),
     )
-    path = _staged(spark, docs, "documents", sep=";", quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    path = _staged(spark, docs, "documents", max_records=100_000, sep=";", quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     schema = "doc_id bigint, text string, lang string, source string"
-    loaded = S.read_csv(spark, path, schema, sep=";", nullValue="\\N")
+    loaded = S.read_csv(spark, path, schema, sep=";", nullValue="\\N", multiLine=True)
     return loaded.withColumn("lang", F.trim("lang"))
 
 
@@ -104,7 +104,7 @@ def _with_bad_rows(spark, sf) -> str:
     rows = _customers(spark, sf).withColumn(
         "c_acctbal", F.when(bad, "n/a").otherwise(F.col("c_acctbal").cast("string"))
     )
-    rows = rows.withColumn("folder", F.col("c_mktsegment")).repartition("folder")
+    rows = rows.withColumn("folder", F.col("c_mktsegment"))
     return _staged(spark, rows, "bad-rows", partition_by="folder")
 
 
@@ -254,55 +254,6 @@ def continuous_file_ingest(spark, sf):
     return consumer.result().groupBy("event_type").agg(n_rows(), F.sum(D.dec("value")).alias("total"))
 
 
-@query("row_generator", "SELECT i AS seq, strftime(DATE '1995-01-01' + CAST(i % 365 AS INTEGER), '%Y-%m-%d') AS day FROM range((SELECT count(*) FROM orders)) r(i)")
-def row_generator(spark, sf):
-    """As many rows as there are orders, numbered from 0 (the count comes from file footers)."""
-    n = D.table(spark, sf, "orders").count()
-    return spark.range(n).select(
-        F.col("id").alias("seq"), F.date_add(F.to_date(F.lit("1995-01-01")), (F.col("id") % 365).cast("int")).alias("day")
-    )
-
-
-def pick(seed: str, *values: str):
-    """Repeatable choice by hash of the row id; repeat a value to give it more weight."""
-    slot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(len(values)))
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (slot + 1).cast("int"))
-
-
-def between(seed: str, low: int, high: int):
-    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(high - low + 1)) + low
-
-
-@query("synthetic_sales")
-def synthetic_sales(spark, sf):
-    """Generated orders, one to five lines each, for as many orders as the orders table has."""
-    n = D.table(spark, sf, "orders").count()
-    people = D.table(spark, sf, "customer").agg(F.count(F.lit(1))).scalar()
-    goods = D.table(spark, sf, "part").agg(F.count(F.lit(1))).scalar()
-    heads = spark.range(n).select(
-        "id",
-        F.col("id").alias("order_id"),
-        F.pmod(F.xxhash64("id", F.lit("customer")), people).alias("customer_id"),
-        F.date_sub(F.lit(D.AS_OF_ORDERS), between("day", 0, 365).cast("int")).alias("order_date"),
-        pick("status", "PENDING", "PROCESSING", "CANCELLED", *["COMPLETED"] * 7).alias("order_status"),
-        pick("payment", *D.PAYMENT_METHODS.values()).alias("payment_method"),
-        F.concat_ws("-", F.lit("+1"), between("p1", 200, 999), between("p2", 100, 999), between("p3", 1000, 9999)).alias("phone"),
-        between("lines", 2, 5).alias("lines"),
-    )
-    lines = heads.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("lines"))).alias("line_number"))
-    return lines.select(
-        "order_id",
-        "line_number",
-        "customer_id",
-        "order_date",
-        "order_status",
-        "payment_method",
-        "phone",
-        F.pmod(F.xxhash64("id", "line_number", F.lit("product")), goods).alias("product_id"),
-        (F.pmod(F.xxhash64("id", "line_number", F.lit("quantity")), F.lit(5)) + 1).alias("quantity"),
-    )
-
-
 ZIPF_RANKS = 10
 
 

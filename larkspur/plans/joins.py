@@ -239,9 +239,9 @@ FROM (SELECT DISTINCT order_date FROM v_orders) d CROSS JOIN (SELECT DISTINCT pa
 LEFT JOIN v_orders o ON o.order_date = d.order_date AND o.payment_method = m.payment_method GROUP BY 1, 2""",
 )
 def join_cross(spark, sf):
-    """Every day paired with every payment method; the method list is fixed, so the pairing is an explode."""
+    """Every day paired with every payment method; the few methods are those of the data, and the pairing is an explode."""
     sold = D.orders(spark, sf).groupBy("order_date", "payment_method").agg(F.count(F.lit(1)).alias("orders"))
-    methods = F.array(*[F.lit(m) for m in D.PAYMENT_METHODS.values()])
+    methods = sold.agg(F.collect_set("payment_method")).scalar()
     # count per day and method in one pass, then lay the methods out beside each day
     by_day = sold.groupBy("order_date").agg(F.map_from_entries(F.collect_list(F.struct("payment_method", "orders"))).alias("m"))
     return by_day.select("order_date", F.explode(methods).alias("payment_method"), "m").select(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
-from larkspur.functions.completion import complete_columns
 from larkspur.operators.ordered import numbered
 from larkspur.registry import query
 
@@ -51,30 +50,6 @@ def packed_history(spark, sf, part_size: int):
     return packed.select("conv_id", "part", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
 
 
-def _stub_complete(prompts):
-    return "[" + prompts.str.len().astype(str) + "] " + prompts.str.upper()
-
-
-def _stub_summary(texts):
-    return texts.str.split(" ").str[:3].str.join(" ")
-
-
-def _stub_sentiment(texts):
-    return texts.str.contains("RED").map({True: "positive", False: "neutral"})
-
-
-@query(
-    "batch_complete",
-    """SELECT p_partkey, '[' || length(prompt) || '] ' || upper(prompt) AS answer, array_to_string(string_split('[' || length(prompt) || '] ' || upper(prompt), ' ')[1:3], ' ') AS summary,
-  CASE WHEN contains(upper(prompt), 'RED') THEN 'positive' ELSE 'neutral' END AS sentiment FROM (SELECT p_partkey, 'Describe ' || p_name AS prompt FROM part)""",
-)
-def batch_complete(spark, sf, complete=_stub_complete, summarise=_stub_summary, sentiment=_stub_sentiment):
-    """Complete, then summarise the answer, then score it; the model functions come from the caller."""
-    rows = D.table(spark, sf, "part").select("p_partkey", F.concat(F.lit("Describe "), "p_name").alias("prompt"))
-    steps = [("prompt", "answer", complete), ("answer", "summary", summarise), ("answer", "sentiment", sentiment)]
-    return complete_columns(rows, steps).drop("prompt")
-
-
 @query(
     "token_budget",
     """SELECT doc_id, words, chars_estimate, words > 1000 OR chars_estimate > 1500 AS over_limit FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \\n\\t\\r]+'), lambda w: w <> ''))

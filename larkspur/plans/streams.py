@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
 from larkspur.operators.refresh import summarise_sales
 from larkspur.plans import datasets as P
 from larkspur.plans.aggregates import n_rows
-from larkspur.registry import query
-from larkspur.streaming.consume import Consumer, append_stream, daily_windows, lookback_windows, once, stream_table
+from larkspur.registry import query, sql_of
+from larkspur.streaming.consume import Consumer, append_stream, daily_parts, daily_totals, is_folder, lookback_parts, lookback_totals, once, stream_table
 from larkspur.streaming.refresh import RefreshedTable
-from larkspur.streaming.steps import Step, run_steps
 
 
 def follow(spark, sf, name: str):
-    """One of the given tables as a stream of files."""
-    schema = D.table(spark, sf, name).schema
+    """One of the given tables as a stream of its files; a table is one file or a folder of part files."""
+    schema, path = D.table(spark, sf, name).schema, f"{sf}/{name}.parquet"
+    if is_folder(spark, path):
+        return stream_table(spark, path, schema)
     return stream_table(spark, sf, schema, pattern=f"{name}.parquet")
 
 
@@ -62,7 +61,7 @@ def city_sales_live(spark, sf, city: str = P.CITY):
     def compute(days):
         return transform(_order_day(D.table(spark, sf, "orders")).join(days, "date", "left_semi").drop("date"))
 
-    live = RefreshedTable(spark, ["date"], lambda batch: _order_day(batch).select("date").distinct(), compute, "city-live")
+    live = RefreshedTable.scratch(spark, ["date"], lambda batch: _order_day(batch).select("date").distinct(), compute, "city-live")
     live.refresh(follow(spark, sf, "orders"))
     return live.read()
 
@@ -87,17 +86,6 @@ def consume_changes_once(spark, sf):
     return consumer.result().groupBy("origin").agg(F.sum("inserts").alias("inserts"), F.sum("payload").alias("payload"))
 
 
-@query("has_data_guard", "SELECT 1 AS run, 1 AS batches, count(*) AS rows_loaded FROM orders UNION ALL SELECT 2, 0, 0")
-def has_data_guard(spark, sf):
-    """Batches made by a first run and by a second one without new files."""
-    consumer = Consumer.scratch(spark, "guard")
-    made = [consumer.run(follow(spark, sf, "orders"), lambda batch: batch.select("o_orderkey")) for _ in range(2)]
-    loaded = consumer.result().agg(n_rows("rows_loaded"))
-    first = loaded.select(F.lit(1).alias("run"), F.lit(made[0]).alias("batches"), "rows_loaded")
-    second = loaded.select(F.lit(2).alias("run"), F.lit(made[1]).alias("batches"), F.lit(0).cast("bigint").alias("rows_loaded"))
-    return first.unionByName(second)
-
-
 @query("dynamic_table_refresh", P.DAILY_PLAIN_SQL)
 def dynamic_table_refresh(spark, sf):
     """Daily sales summary kept current from arriving orders."""
@@ -106,65 +94,79 @@ def dynamic_table_refresh(spark, sf):
         return batch.select(F.to_date("o_orderdate").alias("summary_date")).distinct()
 
     def compute(days):
-        keys = days.select(F.date_format("summary_date", "yyyyMMdd").cast("int").alias("date_sk"))
-        fact = P.fact_sales(spark, sf).join(keys, "date_sk", "left_semi")
+        # orders of the days first, so that only their lines are priced
+        kept = D.orders(spark, sf).join(days.withColumnRenamed("summary_date", "order_date"), "order_date", "left_semi")
+        items = D.order_items(spark, sf).join(kept.select("order_id"), "order_id", "left_semi")
+        fact = P.build_fact_sales(items, kept, P.initial_customer_dim(spark, sf), P.initial_product_dim(spark, sf))
         return summarise_sales(fact, P.dim_date(spark, sf))
 
-    table = RefreshedTable(spark, ["summary_date"], touched, compute, "daily-refresh")
+    table = RefreshedTable.scratch(spark, ["summary_date"], touched, compute, "daily-refresh")
+    table.refresh(follow(spark, sf, "orders"))
+    return table.read()
+
+
+def _followed(spark, sf, day: str, summarise, label: str):
+    """A summary of order headers by day, kept current from arriving orders."""
+
+    def touched(batch):
+        return _order_day(batch).select(F.col("date").alias(day)).distinct()
+
+    def compute(days):
+        raw = _order_day(D.table(spark, sf, "orders")).join(days.withColumnRenamed(day, "date"), "date", "left_semi").drop("date")
+        return summarise(D.order_header(spark, sf, raw=raw))
+
+    table = RefreshedTable.scratch(spark, [day], touched, compute, label)
     table.refresh(follow(spark, sf, "orders"))
     return table.read()
 
 
+@query("brand_sales_live", sql_of("daily_sales_by_brand"))
+def brand_sales_live(spark, sf):
+    return _followed(spark, sf, "sales_date", lambda h: P.brand_sales(h, D.truck(spark, sf), D.menu(spark, sf)), "brand-live")
+
+
+@query("regional_sales_live", sql_of("regional_sales"))
+def regional_sales_live(spark, sf):
+    return _followed(spark, sf, "sales_date", lambda h: P.regional_sales(spark, sf, header=h), "region-live")
+
+
+@query("customer_activity_live", sql_of("customer_activity"))
+def customer_activity_live(spark, sf):
+    return _followed(spark, sf, "activity_date", lambda h: P.customer_activity(spark, sf, header=h), "customer-live")
+
+
+@query("menu_item_performance_live", sql_of("menu_item_performance"))
+def menu_item_performance_live(spark, sf):
+    return _followed(spark, sf, "performance_date", lambda h: P.menu_item_performance(spark, sf, header=h), "menu-live")
+
+
 @query(
     "stream_daily_window",
     """SELECT strftime(day, '%Y-%m-%d %H:%M:%S') AS day, n, CAST(total AS DOUBLE) AS total FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n,
-  sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY 1) WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+  sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY 1)""",
 )
 def stream_daily_window(spark, sf):
+    consumer = Consumer.scratch(spark, "daily-window")
     stream = follow(spark, sf, "events").select("ts", D.dec("value").alias("value"))
-    return append_stream(daily_windows(stream, "ts", "value"), "daily-window")
+    consumer.run(stream, lambda batch: daily_parts(batch, "ts", "value"))
+    return daily_totals(consumer.result())
 
 
 @query(
     "stream_lookback",
     """SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n FROM
-(SELECT time_bucket(INTERVAL 15 MINUTE, ts) - to_minutes(15 * i) AS s FROM events, range(4) r(i) WHERE event_type = 'error')
-WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error') GROUP BY 1, 2""",
+(SELECT time_bucket(INTERVAL 15 MINUTE, ts) - to_minutes(15 * i) AS s FROM events, range(4) r(i) WHERE event_type = 'error') GROUP BY 1, 2""",
 )
 def stream_lookback(spark, sf):
+    consumer = Consumer.scratch(spark, "lookback")
     errors = follow(spark, sf, "events").filter("event_type = 'error'").select("ts")
-    return append_stream(lookback_windows(errors, "ts", "1 hour", "15 minutes"), "lookback")
+    consumer.run(errors, lambda batch: lookback_parts(batch, "ts", "1 hour", "15 minutes"))
+    return lookback_totals(consumer.result())
 
 
 @query("stream_dedup_once", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1")
 def stream_dedup_once(spark, sf):
     """Every event is delivered twice; each counts once."""
-    twice = follow(spark, sf, "events").select("event_id", "ts", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
-    kept = append_stream(once(twice, "ts", ["event_id"], "2 days"), "dedup")
+    twice = follow(spark, sf, "events").select("event_id", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    kept = append_stream(once(twice, ["event_id"]), "dedup")
     return kept.groupBy("event_type").agg(n_rows())
-
-
-@query(
-    "step_run",
-    """SELECT 'new_orders' AS step, 'SUCCEEDED' AS status, count(*) AS rows FROM v_orders WHERE order_date >= DATE '2001-01-01'
-UNION ALL SELECT 'city_totals', 'SUCCEEDED', count(DISTINCT (CAST(order_ts AS DATE), location_id)) FROM v_header JOIN v_orders USING (order_id) WHERE order_date >= DATE '2001-01-01'
-UNION ALL SELECT 'future_orders', 'SUCCEEDED', 0 UNION ALL SELECT 'future_report', 'SKIPPED', 0""",
-)
-def step_run(spark, sf, since: date = date(2001, 1, 1)):
-    """Steps of one run with their row counts; a step without input rows ends its branch early."""
-    raw = D.table(spark, sf, "orders")
-    day = F.to_date("o_orderdate")
-    steps = [
-        Step("new_orders", lambda _: raw.filter(day >= F.lit(since))),
-        Step(
-            "city_totals",
-            lambda r: D.order_header(spark, sf, raw=r["new_orders"])
-            .groupBy(F.to_date("order_ts").alias("date"), "location_id")
-            .agg(F.sum("order_total").alias("total")),
-            ("new_orders",),
-        ),
-        Step("future_orders", lambda _: raw.filter(day > F.lit(D.AS_OF_ORDERS)).select("o_orderkey")),
-        Step("future_report", lambda r: r["future_orders"].agg(n_rows()), ("future_orders",)),
-    ]
-    _, log = run_steps(spark, steps)
-    return spark.createDataFrame(log, "step string, status string, rows bigint")

@@ -197,7 +197,7 @@ def tel_metrics(spark, sf, as_of=datetime(2024, 1, 30, 23), offset=datetime(2024
 @query(
     "tel_event_append",
     """SELECT trace_id, count(*) AS events, count(*) FILTER (event_type = 'error') AS errors, max(length(error_message)) AS longest_message FROM
-(SELECT user_id || '-' || strftime(ts, '%Y%m%d') AS trace_id, event_type, CASE WHEN event_type = 'error' THEN left(repeat('failed with code ' || regexp_extract(props, '(\\d+)', 1) || ' ', 40), 500) END AS error_message FROM events) GROUP BY 1""",
+(SELECT user_id || '-' || strftime(ts, '%Y%m%d') AS trace_id, event_type, CASE WHEN event_type = 'error' THEN repeat('failed with code ' || regexp_extract(props, '(\\d+)', 1) || ' ', 40) END AS error_message FROM events) GROUP BY 1""",
 )
 def tel_event_append(spark, sf):
     """Append event rows to the log and read it back per trace."""

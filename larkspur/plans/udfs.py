@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
 from larkspur.functions.units import fahrenheit_to_celsius, inch_to_millimeter, winsorize
-from larkspur.operators.merge import keep_recent
 from larkspur.plans.aggregates import n_rows
 from larkspur.registry import query
-from larkspur.sources.versioned import VersionedTable
-from larkspur.streaming.consume import Consumer
 
 
 @query(
@@ -66,6 +61,19 @@ def udtf_prices_above(spark, sf):
     return prices_above(spark, sf, 940).filter(F.col("item").ilike("%BOLT%"))
 
 
+@query(
+    "udtf_token_rows",
+    """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS BIGINT) AS position, token FROM
+(SELECT doc_id, i, w[i] AS token FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM
+(SELECT doc_id, string_split(replace(text, chr(10), ' '), ' ') AS w FROM documents))) WHERE token <> ''""",
+)
+def udtf_token_rows(spark, sf):
+    """One row per token of the whole text, with its place; no shuffle."""
+    from larkspur.functions.dialect import tokens
+
+    return D.table(spark, sf, "documents").select("doc_id", F.posexplode(tokens("text", " \n")).alias("position", "token"))
+
+
 @query(
     "udtf_split_rows",
     """SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2""",
@@ -76,38 +84,3 @@ def udtf_split_rows(spark, sf):
 
     words = D.table(spark, sf, "documents").select("doc_id", F.explode(tokens("text", " \n")).alias("token"))
     return words.groupBy("doc_id", "token").agg(n_rows())
-
-
-@query(
-    "proc_steps",
-    """SELECT 'delete_old' AS procedure, 'Deleted orders before ' || strftime(max(order_date) - 180, '%Y-%m-%d') || ', kept ' || count(*) FILTER (order_date >= m - 180) AS message FROM
-(SELECT *, max(order_date) OVER () AS m FROM v_orders) UNION ALL
-SELECT 'load_changes', 'Loaded ' || count(*) || ' rows' FROM events UNION ALL SELECT 'load_changes', 'No new rows'""",
-)
-def proc_steps(spark, sf):
-    """Stored procedures are functions that return a message."""
-    consumer = Consumer.scratch(spark, "procedure")
-    messages = [
-        ("delete_old", delete_old_orders(spark, sf, 180)),
-        ("load_changes", load_changes(spark, sf, consumer)),
-        ("load_changes", load_changes(spark, sf, consumer)),
-    ]
-    return spark.createDataFrame(messages, "procedure string, message string")
-
-
-def delete_old_orders(spark, sf, days: int) -> str:
-    table = VersionedTable.scratch(spark, "procedure-orders")
-    stored = table.write(D.orders(spark, sf).select("order_id", "order_date"))
-    newest: date = stored.agg(F.max("order_date")).first()[0]
-    kept = table.write(keep_recent(stored, "order_date", days)).count()
-    return f"Deleted orders before {date.fromordinal(newest.toordinal() - days)}, kept {kept}"
-
-
-def load_changes(spark, sf, consumer: Consumer) -> str:
-    from larkspur.plans.streams import follow
-
-    seen = len(consumer.batches)
-    if not consumer.run(follow(spark, sf, "events"), lambda batch: batch.select("event_id", "event_type")):
-        return "No new rows"
-    new = consumer.result().filter(F.col("batch_id").isin(consumer.batches[seen:])).count()
-    return f"Loaded {new} rows"

@@ -57,6 +57,11 @@ def query(key: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
+def sql_of(key: str) -> str:
+    """The SQL of a query that is registered already."""
+    return _QUERIES[key].sql
+
+
 def load_all() -> dict[str, Query]:
     for name in PLAN_MODULES:
         importlib.import_module(f"larkspur.plans.{name}")

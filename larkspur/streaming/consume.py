@@ -29,6 +29,16 @@ def stream_table(spark: SparkSession, folder: str, schema: T.StructType, pattern
     return reader.load(folder)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(where).isDirectory()
+
+
 def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.foreachBatch(on_batch)
@@ -44,7 +54,9 @@ class Consumer:
     """Transforms pending rows and appends the result exactly once.
 
     A batch writes to its own folder and overwrites it, so a batch that is replayed
-    after a failure leaves one copy.
+    after a failure leaves one copy. Sink and checkpoint are all the state there is: a
+    new object on the same paths goes on where the last one stopped. ``batches`` are
+    those of this object.
     """
 
     spark: SparkSession
@@ -60,25 +72,29 @@ class Consumer:
     def run(self, stream: DataFrame, transform: BatchFn) -> int:
         """Process what is pending; returns the number of batches this run made."""
         before = len(self.batches)
+        self.schema = transform(self.spark.createDataFrame([], stream.schema)).schema
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            out = transform(batch)
-            self.schema = out.schema
-            out.write.mode("overwrite").parquet(f"{self.sink}/batch_id={batch_id}")
+            transform(batch).write.mode("overwrite").parquet(f"{self.sink}/batch_id={batch_id}")
             self.batches.append(batch_id)
 
         run_available(stream, self.checkpoint, write)
         return len(self.batches) - before
 
     def result(self) -> DataFrame:
-        if self.schema is None:
-            raise RuntimeError("nothing has been consumed yet")
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.IntegerType())])
-        return self.spark.read.schema(schema).option("basePath", self.sink).parquet(self.sink)
+        """All rows consumed so far, by this object or an earlier one."""
+        if not path_exists(self.spark, self.sink):
+            if self.schema is None:
+                raise RuntimeError("nothing has been consumed yet")
+            return self.spark.createDataFrame([], self.schema).withColumn("batch_id", F.lit(None).cast("int"))
+        reader = self.spark.read.option("basePath", self.sink)
+        if self.schema is not None:
+            reader = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.IntegerType())]))
+        return reader.parquet(self.sink)
 
 
 def append_stream(stream: DataFrame, label: str) -> DataFrame:
-    """Run an append-mode stream (closed windows, deduplicated rows) into files and read them back."""
+    """Run an append-mode stream, such as deduplicated rows, into files and read them back."""
     spark = stream.sparkSession
     sink, state = scratch_dir(spark, label), scratch_dir(spark, f"{label}-state")
     query = (
@@ -93,38 +109,28 @@ def append_stream(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(sink)
 
 
-def daily_windows(stream: DataFrame, ts: str, value: str, late: str = "1 hour") -> DataFrame:
-    """Totals per day of arriving rows, emitted once the day is closed.
+def daily_parts(batch: DataFrame, ts: str, value: str) -> DataFrame:
+    """Totals per day of the rows of one batch; ``daily_totals`` adds the batches up.
 
-    Rows later than the watermark are not counted; use the keyed refresh where late
-    rows must still change a closed day.
+    Sums of parts need no watermark, so a row counts however late or in whatever file it comes.
     """
-    w = F.window("_t", "1 day")
-    return (
-        stream.withColumn("_t", F.col(ts).cast("timestamp"))
-        .withWatermark("_t", late)
-        .groupBy(w.alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-        .select(F.col("w.start").alias("day"), "n", "total")
-    )
+    return batch.groupBy(F.date_trunc("day", F.col(ts).cast("timestamp")).alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
 
 
-def lookback_windows(stream: DataFrame, ts: str, width: str, every: str, late: str = "1 hour") -> DataFrame:
-    """Counts over sliding windows: 'the last hour, looked at every quarter'."""
-    return (
-        stream.withColumn("_t", F.col(ts).cast("timestamp"))
-        .withWatermark("_t", late)
-        .groupBy(F.window("_t", width, every).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
-    )
+def daily_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("day").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
-def once(stream: DataFrame, ts: str, keys: list[str], within: str) -> DataFrame:
-    """Drop redeliveries that arrive within the watermark."""
-    return (
-        stream.withColumn("_t", F.col(ts).cast("timestamp"))
-        .withWatermark("_t", within)
-        .dropDuplicatesWithinWatermark(keys)
-        .drop("_t")
-    )
+def lookback_parts(batch: DataFrame, ts: str, width: str, every: str) -> DataFrame:
+    """Counts of one batch over sliding windows: 'the last hour, looked at every quarter'."""
+    w = F.window(F.col(ts).cast("timestamp"), width, every)
+    return batch.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
+
+
+def lookback_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "window_end").agg(F.sum("n").alias("n"))
+
+
+def once(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Drops redeliveries for good: the keys seen are kept in the checkpoint, however old."""
+    return stream.dropDuplicates(keys)

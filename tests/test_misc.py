@@ -32,16 +32,6 @@ def test_random_columns_have_their_shape(spark, small):
     assert row[3] >= 1 and row[4] <= files.ZIPF_RANKS and row[5] > row[6] and row[7] == row[8]
 
 
-def test_synthetic_sales_repeat_and_fit(spark, small):
-    a, b = files.synthetic_sales(spark, small), files.synthetic_sales(spark, small)
-    assert a.exceptAll(b).count() == 0
-    assert a.select("order_id").distinct().count() == D.table(spark, small, "orders").count()
-    assert a.join(D.products(spark, small), "product_id", "left_anti").count() == 0
-    assert a.join(D.customers(spark, small), "customer_id", "left_anti").count() == 0
-    lines = a.groupBy("order_id").count()
-    assert lines.agg(F.min("count"), F.max("count")).first() == (2, 5)
-
-
 def test_split_is_a_partition(spark, small):
     rows = classifier.encoded(spark, small)
     train, test = classifier.hash_split(rows, 0.9, "month", "day")

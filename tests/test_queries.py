@@ -6,7 +6,7 @@ from larkspur.registry import callables, check_sql
 from tests.compare import compare_one, open_tables
 
 FNS, SQLS = callables(), check_sql()
-ROWS_ONLY = {"aggf_approx", "row_hash_number", "list_files", "synthetic_sales", "random_columns", "ml_split", "ml_train_score"}
+ROWS_ONLY = {"aggf_approx", "row_hash_number", "list_files", "random_columns", "ml_split", "ml_train_score"}
 
 
 @pytest.fixture(scope="module")
