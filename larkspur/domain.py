@@ -98,9 +98,9 @@ def products(spark, sf_dir):
     )
 
 
-def _days(raw: DataFrame, since: date | None, until: date | None) -> DataFrame:
-    """Raw orders dated in [since, until], as a range on the stored column so that the scan can prune."""
-    day = F.col("o_orderdate")
+def _days(raw: DataFrame, since: date | None, until: date | None, stored: str = "o_orderdate") -> DataFrame:
+    """Raw rows dated in [since, until], as a range on the stored column so that the scan can prune."""
+    day = F.col(stored)
     if since is not None:
         raw = raw.filter(day >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
@@ -161,9 +161,9 @@ def line_amounts(items: DataFrame) -> DataFrame:
     )
 
 
-def inventory_movements(spark, sf_dir):
+def inventory_movements(spark, sf_dir, since: date | None = None, until: date | None = None):
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return table(spark, sf_dir, "lineitem").select(
+    return _days(table(spark, sf_dir, "lineitem"), since, until, "l_shipdate").select(
         F.col("l_partkey").alias("product_id"),
         F.when((flag == "N") & (status == "F"), "PURCHASE")
         .when(flag == "N", "SALE")
@@ -458,9 +458,9 @@ def wage_attributes(spark, sf_dir):
     )
 
 
-def price_series(spark, sf_dir):
+def price_series(spark, sf_dir, since: date | None = None, until: date | None = None):
     """One price point per line, variable = product number's type via the part table."""
-    l = table(spark, sf_dir, "lineitem")
+    l = _days(table(spark, sf_dir, "lineitem"), since, until, "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     return l.join(p, l.l_partkey == p.p_partkey).select(
         F.col("p_type").alias("variable"),

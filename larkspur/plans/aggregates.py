@@ -82,10 +82,14 @@ def net_movement():
   nullif(count(value) FILTER (variable_name ILIKE '%annual wages%'), 0) AS avg_wages FROM v_wages JOIN v_wage_attributes USING (variable) GROUP BY 1""",
 )
 def agg_conditional_avg(spark, sf):
-    joined = D.wage_series(spark, sf).join(D.wage_attributes(spark, sf), "variable")
-    wage = F.when(F.col("variable_name").ilike("%annual wages%"), F.col("value"))
-    return joined.groupBy(F.year("date").alias("year")).agg(
-        F.try_divide(F.sum(wage).cast("double"), F.count(wage)).alias("avg_wages")
+    """Five hot variables: points are added up per variable and year before they meet its name."""
+    points = D.wage_series(spark, sf).groupBy("variable", F.year("date").alias("year"))
+    sums = points.agg(F.sum("value").alias("total"), F.count("value").alias("points"))
+    wage = F.col("variable_name").ilike("%annual wages%")
+    return (
+        sums.join(D.wage_attributes(spark, sf), "variable")
+        .groupBy("year")
+        .agg(F.try_divide(F.sum(F.when(wage, F.col("total"))).cast("double"), F.sum(F.when(wage, F.col("points")))).alias("avg_wages"))
     )
 
 

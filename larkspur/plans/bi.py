@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
@@ -16,7 +17,8 @@ PERCENT_SQL = "floor(CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER ()
 
 
 def percent_of_total(counts, n: str, alias: str):
-    total = counts.agg(F.sum(n)).scalar()
+    """``counts`` has a few rows, so one window over all of them reads the base once."""
+    total = F.sum(n).over(Window.partitionBy())
     return counts.withColumn(alias, round_half_up(F.col(n).cast("double") * 100 / total, 2))
 
 
@@ -235,10 +237,9 @@ FROM ({P.INVENTORY_SQL}) LEFT JOIN (SELECT product_id, CAST(sum(quantity) AS DOU
 )
 def bi_stockout_days(spark, sf, as_of: date = D.AS_OF_ORDERS, days: int = 365):
     """Stock on hand divided by the sales rate of the last year."""
-    start = F.date_sub(F.lit(as_of), days)
     rate = (
-        D.inventory_movements(spark, sf)
-        .filter((F.col("movement_type") == "SALE") & (F.col("movement_date") > start) & (F.col("movement_date") <= F.lit(as_of)))
+        D.inventory_movements(spark, sf, as_of - timedelta(days=days - 1), as_of)
+        .filter(F.col("movement_type") == "SALE")
         .groupBy("product_id")
         .agg((F.sum("quantity").cast("double") / days).alias("daily_sales"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -30,8 +30,12 @@ FROM v_orders JOIN v_customers USING (customer_id) LEFT JOIN
 )
 def enriched_orders(spark, sf, **only):
     """One row per order; an order without lines keeps null amounts. ``only`` filters the orders (see the orders view)."""
+    orders, items = D.orders(spark, sf, **only), D.order_items(spark, sf)
+    if any(v is not None for v in only.values()):
+        # few orders are asked for: their lines are found before any is priced
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
     per_order = (
-        D.line_amounts(D.order_items(spark, sf))
+        D.line_amounts(items)
         .groupBy("order_id")
         .agg(
             n_rows("total_items"),
@@ -42,8 +46,7 @@ def enriched_orders(spark, sf, **only):
     buyers = D.customers(spark, sf).drop("phone", "signup_date")
     total = F.col("subtotal") - F.col("item_discount") - F.col("discount_amount") + F.col("shipping_cost")
     return (
-        D.orders(spark, sf, **only)
-        .join(buyers, "customer_id")
+        orders.join(buyers, "customer_id")
         .join(per_order, "order_id", "left")
         .select(
             "order_id",
@@ -344,12 +347,19 @@ def city_orders(spark, sf, since=None, until=None):
     )
 
 
-def city_line_sales(spark, sf, since=None, until=None):
-    """Line sales per day and city; lines are reduced to one row per order before the join."""
-    per_order = D.order_detail(spark, sf).groupBy("order_id").agg(F.sum("price").alias("price"))
+def city_line_sales(spark, sf, since=None, until=None, city=None):
+    """Line sales per day and city; lines are reduced to one row per order before the join.
+
+    A period or city narrows the lines to its orders before they are added up.
+    """
+    header, detail = _header_city(spark, sf, since, until), D.order_detail(spark, sf)
+    if city is not None:
+        header = header.filter(F.col("city_name") == city)
+    if since is not None or until is not None or city is not None:
+        detail = detail.join(header.select("order_id"), "order_id", "left_semi")
+    per_order = detail.groupBy("order_id").agg(F.sum("price").alias("price"))
     return (
-        _header_city(spark, sf, since, until)
-        .join(per_order, "order_id")
+        header.join(per_order, "order_id")
         .groupBy("date", "city_name", "country")
         .agg(F.sum("price").alias("daily_sales"))
     )
@@ -374,8 +384,7 @@ LEFT JOIN (SELECT date, sum(daily_sales) AS daily_sales FROM ({CITY_SALES_SQL})
 def city_daily_sales(spark, sf, city: str = CITY, start: date = MONTH_START, end: date = MONTH_END):
     """Sales of one city per day of a period; days without orders show 0."""
     sold = (
-        city_line_sales(spark, sf, start, end)
-        .filter(F.col("city_name") == city)
+        city_line_sales(spark, sf, start, end, city)
         .groupBy("date")
         .agg(F.sum("daily_sales").alias("daily_sales"))
     )
@@ -420,12 +429,12 @@ FROM ({CITY_WEATHER_SQL}) w LEFT JOIN ({CITY_SALES_SQL}) s USING (date, city_nam
 
 
 @query("daily_city_metrics", METRICS_SQL)
-def daily_city_metrics(spark, sf, since: date | None = None, until: date | None = None):
+def daily_city_metrics(spark, sf, since: date | None = None, until: date | None = None, city: str | None = None):
     """Sales and weather per day and city. Both sides are one row per key, so neither inflates the other."""
     f, inch = F.col("temperature_f"), F.col("precipitation_in")
     return (
         city_weather(spark, sf)
-        .join(city_line_sales(spark, sf, since, until), ["date", "city_name", "country"], "left")
+        .join(city_line_sales(spark, sf, since, until, city), ["date", "city_name", "country"], "left")
         .select(
             "date",
             "city_name",
@@ -442,7 +451,7 @@ def daily_city_metrics(spark, sf, since: date | None = None, until: date | None
 
 @query("weather_city", f"SELECT * FROM ({METRICS_SQL}) WHERE city_name = '{CITY}' AND date LIKE '1997-02-%'")
 def weather_city(spark, sf, city: str = CITY, start: date = MONTH_START, end: date = MONTH_END):
-    return _city_month(daily_city_metrics(spark, sf, start, end), city, start, end)
+    return _city_month(daily_city_metrics(spark, sf, start, end, city), city, start, end)
 
 
 def _with_amounts(header):
@@ -581,6 +590,11 @@ def menu_item_performance(spark, sf, header=None):
 # --- time series ----------------------------------------------------------
 
 
+def added_up(points, period):
+    """Exact total and number of the points of each variable and period."""
+    return points.groupBy("variable", period).agg(F.sum("value").alias("total"), F.count("value").alias("points"))
+
+
 @query(
     "annual_wages_cpi",
     """WITH j AS (SELECT year(w.date) AS year, wa.variable_name AS wn, pa.variable_name AS pn, w.value AS wv, p.n, p.total
@@ -599,21 +613,23 @@ def annual_wages_cpi(spark, sf, geo: str = "country/USA", first: int = 1996, las
     """Average wage and price index per year.
 
     The source pairs all wage rows with all price rows of a year. Averages survive
-    that duplication, so both sides are reduced to one row per year before they meet.
+    that duplication, so both sides are reduced to one row per year before they meet. The
+    variables are few and hot: points are added up per variable before they meet its name.
     """
-    w = D.wage_series(spark, sf, date(first, 1, 1), date(last, 12, 31)).filter(F.col("geo_id") == geo)
-    wage = F.when(F.col("variable_name").ilike("%annual wages%"), F.col("value"))
+    years = date(first, 1, 1), date(last, 12, 31)
+    w = added_up(D.wage_series(spark, sf, *years).filter(F.col("geo_id") == geo), F.year("date").alias("year"))
+    named = F.col("variable_name").ilike("%annual wages%")
+    total, points = F.sum(F.when(named, F.col("total"))), F.sum(F.when(named, F.col("points")).otherwise(0))
     wages = (
         w.join(D.wage_attributes(spark, sf), "variable")
-        .groupBy(F.year("date").alias("year"))
-        .agg(F.try_divide(F.sum(wage).cast("double"), F.count(wage)).alias("w"), F.count(wage).alias("n_wages"))
+        .groupBy("year")
+        .agg(F.try_divide(total.cast("double"), points).alias("w"), points.alias("n_wages"))
     )
     prices = (
-        D.price_series(spark, sf)
-        .filter(F.col("geo_id") == geo)
+        added_up(D.price_series(spark, sf, *years).filter(F.col("geo_id") == geo), F.year("date").alias("year"))
         .join(D.price_attributes(spark, sf).filter(F.col("variable_name").ilike("%CPI%")), "variable")
-        .groupBy(F.year("date").alias("year"))
-        .agg(D.mean("value").alias("c"))
+        .groupBy("year")
+        .agg(F.try_divide(F.sum("total").cast("double"), F.sum("points")).alias("c"))
     )
     return (
         wages.join(prices, "year", "left")
@@ -634,16 +650,16 @@ AND date_trunc('month', date) BETWEEN DATE '1998-08-01' AND DATE '2001-08-01' GR
 )
 def monthly_cpi(spark, sf, as_of: date = D.AS_OF_ORDERS, years: int = 3):
     cpi = D.price_attributes(spark, sf).filter(F.col("variable_name").ilike("%CPI%"))
-    month = F.trunc("date", "month")
+    # whole months whose first day lies in the period
+    start = as_of.replace(year=as_of.year - years)
+    start = start if start.day == 1 else (start.replace(day=1) + timedelta(days=32)).replace(day=1)
+    end = (as_of.replace(day=1) + timedelta(days=32)).replace(day=1) - timedelta(days=1)
+    prices = D.price_series(spark, sf, start, end).filter(F.col("geo_id") == "country/USA")
     return (
-        D.price_series(spark, sf)
-        .filter(
-            (F.col("geo_id") == "country/USA")
-            & month.between(F.add_months(F.lit(as_of), -12 * years), F.lit(as_of))
-        )
+        added_up(prices, F.date_format("date", "yyyy-MM").alias("month"))
         .join(cpi, "variable")
-        .groupBy(F.date_format("date", "yyyy-MM").alias("month"))
-        .agg(round_half_up(D.mean("value"), 1).alias("avg_cpi"))
+        .groupBy("month")
+        .agg(round_half_up(F.sum("total").cast("double") / F.sum("points"), 1).alias("avg_cpi"))
     )
 
 

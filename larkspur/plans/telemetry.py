@@ -14,6 +14,7 @@ from larkspur.plans import datasets as P
 from larkspur.plans.aggregates import joined_texts, n_rows
 from larkspur.plans.windows import severity_rank
 from larkspur.registry import query
+from larkspur.session import durable
 
 AS_OF = D.AS_OF_EVENTS
 
@@ -141,6 +142,7 @@ def tel_daily_report(spark, sf, day: date = date(1998, 3, 10)):
     lines = P.brand_sales(header, D.truck(spark, sf), D.menu(spark, sf)).select(
         "truck_brand_name", "primary_city", "region", "total_orders", "total_revenue", "unique_customers", "avg_order_value"
     )
+    lines = durable(lines)  # a row per brand and city, worked out once for both parts
     total = lines.agg(
         F.lit("ALL").alias("truck_brand_name"),
         F.sum("total_orders").alias("total_orders"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
@@ -44,8 +45,8 @@ def win_share_of_total(spark, sf):
 
 
 def share_of_total(counts, n="n", alias="share"):
-    """Percent of the grand total, read as a scalar so that no window gathers the rows."""
-    total = counts.agg(F.sum(n)).scalar()
+    """Percent of the grand total of a few counted groups, over which one window runs; the base is read once."""
+    total = F.sum(n).over(Window.partitionBy())
     return counts.withColumn(alias, F.col(n).cast("double") * 100 / total)
 
 
