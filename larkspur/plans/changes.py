@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from larkspur.plans import datasets as P
 from larkspur.plans.aggregates import n_rows
 from larkspur.plans.joins import initial_customer_dim
 from larkspur.registry import query
+from larkspur.session import durable, scratch_dir
 from larkspur.sources.versioned import VersionedTable
 
 T1, T2 = datetime(2024, 1, 15), datetime(2024, 1, 30)
@@ -191,6 +193,22 @@ def delete_where(spark, sf):
     return table.write(M.delete_where(stored, (F.col("customer_id") > 500) & (F.col("order_amount") > 100000)))
 
 
+@query(
+    "delete_all",
+    "SELECT 'before' AS state, count(*) AS n FROM v_landing UNION ALL SELECT 'after', 0 UNION ALL SELECT 'reloaded', count(*) FROM v_landing WHERE customer_id IS NOT NULL",
+)
+def delete_all(spark, sf):
+    """A table emptied in one step keeps its schema and takes rows again."""
+    path = scratch_dir(spark, "truncated")
+    rows = D.landing_header(spark, sf).select("order_id", "customer_id")
+    counts = []
+    for state, kept in (("before", rows), ("after", rows.limit(0)), ("reloaded", rows.filter("customer_id IS NOT NULL"))):
+        kept.write.mode("overwrite").parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path).agg(n_rows())
+        counts.append(durable(stored).withColumn("state", F.lit(state)))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query(
     "retention_delete",
     "SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date FROM v_orders WHERE order_date >= (SELECT max(order_date) - 180 FROM v_orders)",
@@ -246,6 +264,31 @@ def retention_telemetry(spark, sf, as_of: datetime = datetime(2024, 1, 31), even
     return out[0].unionByName(out[1])
 
 
+BACKLOG_SQL = """SELECT '{name}' AS stream_name, count(*) AS pending_changes, strftime(min({ts}), '%Y-%m-%d %H:%M:%S') AS earliest_change_timestamp,
+  strftime(max({ts}), '%Y-%m-%d %H:%M:%S') AS latest_change_timestamp FROM {table} WHERE {ts} > TIMESTAMP '{since}'"""
+# stream, table, time of a change, and how far its consumer has come
+STREAMS = (
+    ("order_header_stream", "orders", "o_orderdate", datetime(2001, 6, 1)),
+    ("order_detail_stream", "lineitem", "l_shipdate", datetime(2001, 7, 1)),
+    ("event_stream", "events", "ts", datetime(2024, 1, 20)),
+    ("error_stream", "events", "ts", datetime(2030, 1, 1)),
+)
+
+
+@query("stream_backlogs", " UNION ALL ".join(BACKLOG_SQL.format(name=n, table=t, ts=c, since=s) for n, t, c, s in STREAMS))
+def stream_backlogs(spark, sf, streams=STREAMS):
+    """One row for each change stream, also where nothing is pending."""
+    out = []
+    for name, source, ts, offset in streams:
+        pending = D.table(spark, sf, source).filter(F.col(ts) > F.lit(offset).cast("timestamp_ntz"))
+        out.append(
+            pending.agg(n_rows("pending_changes"), F.min(ts).alias("earliest_change_timestamp"), F.max(ts).alias("latest_change_timestamp")).withColumn(
+                "stream_name", F.lit(name)
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @query(
     "stream_backlog",
     """SELECT origin AS stream_name, count(*) AS pending_changes, count(*) FILTER (action = 'INSERT') AS inserts, count(*) FILTER (action = 'DELETE') AS deletes,

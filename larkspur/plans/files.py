@@ -108,13 +108,19 @@ def _with_bad_rows(spark, sf) -> str:
     return _staged(spark, rows, "bad-rows", partition_by="folder")
 
 
+def _tolerant(spark, sf):
+    """The staged customers with their bad rows; the part files of a folder are one staged file."""
+    rows = S.load_tolerant(spark, _with_bad_rows(spark, sf), CUSTOMER)
+    return rows.withColumn("file_path", F.regexp_extract("file_path", "folder=([^/]+)", 1))
+
+
 @query(
     "load_error_policy",
     """SELECT 'CONTINUE' AS policy, count(*) AS n FROM customer WHERE NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000)
 UNION ALL SELECT 'SKIP_FILE', count(*) FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
 )
 def load_error_policy(spark, sf):
-    rows = S.load_tolerant(spark, _with_bad_rows(spark, sf), CUSTOMER)
+    rows = _tolerant(spark, sf)
     parts = [
         S.on_error(rows, policy).agg(n_rows()).select(F.lit(policy).alias("policy"), "n") for policy in ("CONTINUE", "SKIP_FILE")
     ]
@@ -128,10 +134,32 @@ def load_error_policy(spark, sf):
 (SELECT *, c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000 AS bad FROM customer) GROUP BY 1""",
 )
 def load_report(spark, sf):
-    report = S.load_report(S.load_tolerant(spark, _with_bad_rows(spark, sf), CUSTOMER))
-    return report.select(
-        F.regexp_extract("file_path", "folder=([^/]+)", 1).alias("folder"), "rows_parsed", "rows_loaded", "errors_seen", "status"
-    )
+    report = S.load_report(_tolerant(spark, sf))
+    return report.select(F.col("file_path").alias("folder"), "rows_parsed", "rows_loaded", "errors_seen", "status")
+
+
+@query(
+    "load_rejects",
+    """SELECT c_mktsegment AS folder, c_custkey || ',' || c_name || ',' || c_nationkey || ',n/a,' || c_mktsegment AS rejected_record
+FROM customer WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000""",
+)
+def load_rejects(spark, sf):
+    """Every rejected row of a load, with the file it stood in."""
+    return S.rejects(_tolerant(spark, sf)).withColumnRenamed("file_path", "folder")
+
+
+@query(
+    "load_history",
+    """SELECT CAST(run AS BIGINT) AS run, c_mktsegment AS folder, count(*) AS rows_parsed, count(*) FILTER (NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000)) AS rows_loaded,
+  CASE WHEN count(*) FILTER (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000) = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status
+FROM customer, range(1, 3) r(run) GROUP BY 1, 2""",
+)
+def load_history(spark, sf):
+    """Reports of two loads of the same files, the second one forced, as one history."""
+    rows = _tolerant(spark, sf)
+    reports = [S.load_report(rows).withColumn("run", F.lit(run)) for run in (1, 2)]
+    log = S.append_table(spark, reports, "load-history")
+    return log.select("run", F.col("file_path").alias("folder"), "rows_parsed", "rows_loaded", "status")
 
 
 @query("load_pattern", "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
@@ -254,6 +282,37 @@ def continuous_file_ingest(spark, sf):
     return consumer.result().groupBy("event_type").agg(n_rows(), F.sum(D.dec("value")).alias("total"))
 
 
+@query(
+    "ingest_forced",
+    "SELECT event_type, 2 * count(*) AS n FROM events GROUP BY 1",
+)
+def ingest_forced(spark, sf):
+    """A forced reload: a second consumer state loads the same files again into the same table."""
+    events = D.table(spark, sf, "events").select("event_id", "event_type")
+    path, sink = scratch_dir(spark, "forced"), scratch_dir(spark, "forced-table")
+    events.write.parquet(path)
+    for run in (1, 2):
+        loader = Consumer(spark, f"{sink}/run={run}", scratch_dir(spark, f"forced-state-{run}"))
+        loader.run(stream_table(spark, path, events.schema), lambda batch: batch)
+    return spark.read.option("basePath", sink).parquet(f"{sink}/run=*").groupBy("event_type").agg(n_rows())
+
+
+@query(
+    "ingest_purge",
+    "SELECT event_type, count(*) AS n, CAST(0 AS BIGINT) AS files_left FROM events GROUP BY 1",
+)
+def ingest_purge(spark, sf):
+    """Staged files are deleted once they are loaded; the loaded rows stay."""
+    events = D.table(spark, sf, "events").select("event_id", "event_type")
+    path = scratch_dir(spark, "purged")
+    events.write.parquet(path)
+    loader = Consumer.scratch(spark, "purge")
+    loader.run(stream_table(spark, path, events.schema), lambda batch: batch)
+    S.purge(spark, path)
+    left = S.list_files(spark, path, with_md5=False).agg(n_rows("files_left")).scalar()
+    return loader.result().groupBy("event_type").agg(n_rows()).withColumn("files_left", left)
+
+
 ZIPF_RANKS = 10
 
 

@@ -48,6 +48,38 @@ def _metric_rows(spark, menu):
     )
 
 
+@query(
+    "json_flatten_object",
+    """SELECT event_id, CASE WHEN event_type <> 'view' THEN 'k' END AS key, CASE WHEN event_type <> 'view' THEN json_extract_string(props, '$.k') END AS value FROM events""",
+)
+def json_flatten_object(spark, sf):
+    """Keys and values of objects; an empty object keeps its row, as the outer form does."""
+    props = F.when(F.col("event_type") == "view", F.lit("{}")).otherwise(F.col("props"))
+    doc = F.from_json(props, "map<string,string>")
+    return D.table(spark, sf, "events").select("event_id", F.explode_outer(doc).alias("key", "value"))
+
+
+@query(
+    "json_kind_predicates",
+    """SELECT count(*) FILTER (event_type = 'view') AS is_array, count(*) FILTER (event_type = 'click') AS is_object, count(*) FILTER (event_type = 'error') AS is_null_value,
+  count(*) FILTER (event_type = 'purchase') AS is_decimal, count(*) FILTER (event_type NOT IN ('view', 'click', 'error', 'purchase')) AS is_varchar,
+  count(*) FILTER (event_type = 'purchase') AS is_number, CAST(0 AS BIGINT) AS is_boolean FROM events""",
+)
+def json_kind_predicates(spark, sf):
+    """The IS_* family over one column of mixed values."""
+    v = D.table(spark, sf, "events").select(F.parse_json(F.expr(MIXED)).alias("v"))
+    kinds = {
+        "is_array": ("array",),
+        "is_object": ("object",),
+        "is_null_value": ("null",),
+        "is_decimal": ("decimal",),
+        "is_varchar": ("string",),
+        "is_number": ("integer", "decimal", "double"),
+        "is_boolean": ("boolean",),
+    }
+    return v.agg(*[F.count_if(X.is_kind("v", *names)).alias(alias) for alias, names in kinds.items()])
+
+
 @query(
     "json_flatten_agg",
     "SELECT p_partkey AS menu_item_id, CAST(p_size * 13 AS DOUBLE) AS total, 3 AS metrics FROM part",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.session import durable, scratch_dir
+from larkspur.session import durable, remove_path, scratch_dir
 
 # Named reader options; pass one of these, or your own, to the loaders.
 CSV_FORMAT = {
@@ -86,6 +86,18 @@ def on_error(rows: DataFrame, policy: str, limit: int = 0) -> DataFrame:
     raise ValueError(f"unknown policy {policy}")
 
 
+def rejects(rows: DataFrame) -> DataFrame:
+    """The text of every row that was not loaded, with its file."""
+    return rows.filter(F.col(CORRUPT).isNotNull()).select("file_path", F.col(CORRUPT).alias("rejected_record"))
+
+
+def purge(spark: SparkSession, path: str) -> None:
+    """Deletes the files of a staging folder; the folder stays."""
+    remove_path(spark, path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(where)
+
+
 def load_report(rows: DataFrame) -> DataFrame:
     """Per file: rows parsed, loaded, bad rows, first bad row in text order, status."""
     bad = F.col(CORRUPT).isNotNull()
