@@ -32,6 +32,7 @@ BANDS, ROWS = 16, 4
 MIN_WORDS = 10
 
 _WORDS_KEPT = 300_000
+_TEXTS_SEEN = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,48 +123,97 @@ def places(docs: DataFrame, least: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, paragraph int, node binary")
 
 
+def _short(digests: list[bytes]) -> np.ndarray:
+    """The first half of each digest as a number: what travels with the band keys.
+
+    Should two texts share it, both are looked up; that only adds candidates.
+    """
+    return np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2)[:, 0].astype(np.int64)
+
+
 def buckets(docs: DataFrame, least: int, size: int, bands: int, rows: int) -> DataFrame:
-    """(bucket, node): the band keys of every node; the band number is part of the key."""
+    """(bucket, short): the band keys of the nodes; the band number is part of the key.
+
+    A task leaves out texts it has seen lately, so a very common line is sent a few times.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes, seen = _WordHashes(), set()
         offsets = np.arange(bands, dtype=np.uint64) * _ODD
         for batch in batches:
             for at in range(0, len(batch), 256):
-                texts = list({w for text in batch.column(0).slice(at, 256) for _, w in paragraphs(text.as_py()) if _enough(w, least)})
-                if not texts:
+                found = {w for text in batch.column(0).slice(at, 256) for _, w in paragraphs(text.as_py()) if _enough(w, least)}
+                digests = {xxhash.xxh3_128_digest(t): t for t in found}
+                fresh = [d for d in digests if d not in seen]
+                if len(seen) > _TEXTS_SEEN:
+                    seen.clear()
+                seen.update(fresh)
+                if not fresh:
                     continue
-                keys = (band_keys(texts, hashes, size, bands, rows) + offsets).view(np.int64).ravel()
-                nodes = [xxhash.xxh3_128_digest(t) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes).take(pa.array(np.repeat(np.arange(len(nodes)), bands)))], names=["bucket", "node"])
+                keys = (band_keys([digests[d] for d in fresh], hashes, size, bands, rows) + offsets).view(np.int64).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(_short(fresh), bands))], names=["bucket", "short"])
 
-    return _texts(docs).select("text").mapInArrow(run, "bucket long, node binary")
+    return _texts(docs).select("text").mapInArrow(run, "bucket long, short long")
 
 
-def _words_of(docs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """(node, words) of the given nodes."""
+def crowds(keys: DataFrame) -> DataFrame:
+    """(bucket, short, leader): buckets in which different nodes meet, with the least of each.
+
+    One shuffle brings a bucket together in order; what stands alone goes no further.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_bucket, leader, last, told = None, 0, 0, False
+        for batch in batches:
+            if not len(batch):
+                continue
+            bucket, short = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            goes_on = open_bucket is not None and bucket[0] == open_bucket
+            start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            own = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(bucket)]))
+            first = short[start].copy()
+            if goes_on:
+                first[0] = leader
+            lead = first[own]
+            before = np.r_[last if goes_on else short[0], short[:-1]]
+            new = (short != lead) & ((short != before) | np.r_[not goes_on, bucket[1:] != bucket[:-1]])
+            heads = np.unique(own[new])
+            if goes_on and told:
+                heads = heads[heads != 0]
+            out = (np.r_[bucket[new], bucket[start[heads]]], np.r_[short[new], first[heads]], np.r_[lead[new], first[heads]])
+            told = bool(new[own == own[-1]].any() or (goes_on and told and own[-1] == 0))
+            open_bucket, leader, last = bucket[-1], first[-1], short[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["bucket", "short", "leader"])
+
+    dealt = keys.repartition("bucket").sortWithinPartitions("bucket", "short")
+    return dealt.mapInArrow(run, "bucket long, short long, leader long")
+
+
+def _words_of(docs: DataFrame, shorts: DataFrame, least: int) -> DataFrame:
+    """(short, node, words) of the given nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 512):
                 texts = list({w for text in batch.column(0).slice(at, 512) for _, w in paragraphs(text.as_py()) if _enough(w, least)})
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()), pa.array(texts, pa.binary())], names=["node", "words"])
+                nodes = [xxhash.xxh3_128_digest(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(_short(nodes)), pa.array(nodes, pa.binary()), pa.array(texts, pa.binary())], names=["short", "node", "words"])
 
-    every = _texts(docs).select("text").mapInArrow(run, "node binary, words binary")
-    return every.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words"))
+    every = _texts(docs).select("text").mapInArrow(run, "short long, node binary, words binary")
+    return every.join(shorts, "short", "left_semi").groupBy("short", "node").agg(F.first("words").alias("words"))
 
 
 def _verified(pairs: DataFrame, words: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs (a, b) whose similarity is at least ``least``."""
+    """Links (a, b) of nodes among the pairs (x, y) of their short forms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             like = [similarity(x.as_py(), y.as_py(), size) >= least for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(like, pa.bool_()))
 
-    one = words.select(F.col("node").alias("a"), F.col("words").alias("wa"))
-    two = words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "wa", "wb").mapInArrow(run, "a binary, b binary")
+    one = words.select(F.col("short").alias("x"), F.col("node").alias("a"), F.col("words").alias("wa"))
+    two = words.select(F.col("short").alias("y"), F.col("node").alias("b"), F.col("words").alias("wb"))
+    return pairs.join(one, "x").join(two, "y").select("a", "b", "wa", "wb").mapInArrow(run, "a binary, b binary")
 
 
 def classes(
@@ -178,21 +228,19 @@ def classes(
     first. Documents without repeats give no row. Other columns are not read.
     """
     stood = durable(places(docs, min_words))
-    met = durable(buckets(docs, min_words, shingle, bands, rows).distinct())
-    shared = met.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("bucket", "a")
-    shared = durable(shared)
-    crowd = durable(met.join(shared, "bucket"))
-    words = durable(_words_of(docs, crowd.select("node").distinct(), min_words))
-    first = crowd.filter("node != a").select("a", F.col("node").alias("b")).distinct()
+    crowd = durable(crowds(buckets(docs, min_words, shingle, bands, rows)))
+    words = durable(_words_of(docs, crowd.select("short").distinct(), min_words))
+    first = crowd.filter("short != leader").select(F.col("leader").alias("x"), F.col("short").alias("y")).distinct()
     linked = durable(_verified(first, words, shingle, least))
     # nodes of one bucket that are not yet connected
-    root = durable(components(linked))
-    rooted = crowd.join(root, "node", "left").select("bucket", "a", "node", F.coalesce("root", "node").alias("root"))
+    root = components(linked)
+    ids = words.select("short", "node").join(root, "node", "left").select("short", F.coalesce("root", "node").alias("root"))
+    rooted = crowd.select("bucket", "short").join(durable(ids), "short")
     split = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket")
     torn = durable(rooted.join(split, "bucket"))
-    other = torn.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = torn.filter("node != a").join(other, "bucket").filter("root != root_b AND node < b").select(F.col("node").alias("a"), "b").distinct()
-    more = _verified(apart, words, shingle, least)
+    other = torn.select("bucket", F.col("short").alias("y"), F.col("root").alias("root_y"))
+    apart = torn.join(other, "bucket").filter("root != root_y AND short < y").select(F.col("short").alias("x"), "y").distinct()
+    more = _verified(apart.join(first, ["x", "y"], "left_anti"), words, shingle, least)
     root = durable(components(linked.unionByName(more)))
     named = stood.join(root, "node", "left").select("doc_id", "paragraph", F.coalesce("root", "node").alias("root"))
     sizes = named.groupBy("root").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("n_members")).filter("n_members > 1")

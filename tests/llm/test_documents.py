@@ -287,3 +287,21 @@ def test_pipeline(spark, docs, items, none, tmp_path):
     clash = docs  # columns named like the operators' own
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, clash, folder).columns == docs.columns
+
+
+@pytest.mark.parametrize("batch", [2, 1000])
+def test_crowds_over_batch_edges(spark, batch):
+    rng = np.random.default_rng(7)
+    rows = [(int(b), int(n)) for b, n in zip(rng.integers(0, 40, 300), rng.integers(-5, 5, 300))] + [(99, 3)] * 20 + [(98, n % 7) for n in range(60)]
+    nodes = defaultdict(set)
+    for b, n in rows:
+        nodes[b].add(n)
+    want = Counter((b, n, min(own)) for b, own in nodes.items() if len(own) > 1 for n in own)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch)
+    try:
+        got = Counter(plain(paragraphs.crowds(spark.createDataFrame(rows, "bucket long, short long"))))
+    finally:
+        spark.conf.set(key, before)
+    assert got == want
