@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +32,9 @@ BANDS, ROWS = 16, 4
 #: paragraphs of fewer words repeat by chance and are no removal
 MIN_WORDS = 10
 
+#: nodes of a bucket that are compared as one block
+CROWD_BLOCK = 256
+
 _WORDS_KEPT = 300_000
 _TEXTS_SEEN = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -216,6 +220,46 @@ def _verified(pairs: DataFrame, words: DataFrame, size: int, least: float) -> Da
     return pairs.join(one, "x").join(two, "y").select("a", "b", "wa", "wb").mapInArrow(run, "a binary, b binary")
 
 
+def _across(torn: DataFrame, size: int, least: float) -> DataFrame:
+    """Links (a, b) between nodes (bucket, node, root, words) of one bucket and different roots.
+
+    A bucket is cut into blocks and every two blocks meet in a group of their own, of bounded
+    size, which passes on links alone, one for two roots at most.
+    """
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        rows = [(p, n, r, shingles(w, size)) for p, n, r, w in zip(block["part"], block["node"], block["root"], block["words"])]
+        low, high = block["low"].iat[0], block["high"].iat[0]
+        left = [x for x in rows if x[0] == low]
+        right = left if low == high else [x for x in rows if x[0] == high]
+        joined: dict = {}
+
+        def top(r):
+            while r in joined:
+                r = joined[r]
+            return r
+
+        found = []
+        for i, (_, a, ra, x) in enumerate(left):
+            for _, b, rb, y in right[i + 1 :] if low == high else right:
+                if ra == rb or min(len(x), len(y)) < least * max(len(x), len(y)):
+                    continue
+                ta, tb = top(ra), top(rb)
+                if ta == tb:
+                    continue
+                both = len(x & y)
+                if both / (len(x) + len(y) - both) >= least:
+                    joined[ta] = tb
+                    found.append((a, b))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    counts = torn.groupBy("bucket").agg(F.ceil(F.count("*") / CROWD_BLOCK).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    dealt = torn.join(counts, "bucket").select("*", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "root", "words")
+    return dealt.groupBy("bucket", "low", "high").applyInPandas(run, "a binary, b binary")
+
+
 def classes(
     docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -238,9 +282,7 @@ def classes(
     rooted = crowd.select("bucket", "short").join(durable(ids), "short")
     split = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket")
     torn = durable(rooted.join(split, "bucket"))
-    other = torn.select("bucket", F.col("short").alias("y"), F.col("root").alias("root_y"))
-    apart = torn.join(other, "bucket").filter("root != root_y AND short < y").select(F.col("short").alias("x"), "y").distinct()
-    more = _verified(apart.join(first, ["x", "y"], "left_anti"), words, shingle, least)
+    more = _across(torn.join(words, "short").select("bucket", "node", "root", "words"), shingle, least)
     root = durable(components(linked.unionByName(more)))
     named = stood.join(root, "node", "left").select("doc_id", "paragraph", F.coalesce("root", "node").alias("root"))
     sizes = named.groupBy("root").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("n_members")).filter("n_members > 1")

@@ -99,8 +99,10 @@ def test_paragraphs(docs, none):
     assert plain(paragraphs.classes(none)) == []
 
 
-def test_paragraph_crowd(spark):
+@pytest.mark.parametrize("block", [256, 4])
+def test_paragraph_crowd(spark, monkeypatch, block):
     """Near copies that are alike only through others stay one class."""
+    monkeypatch.setattr(paragraphs, "CROWD_BLOCK", block)
     base = C.prose(30, 60).split(" ")
     rows = [(i, " ".join([*base[: 2 * i], *[f"w{i}x{j}" for j in range(2)], *base[2 * i + 2 :]])) for i in range(25)] + [(99, C.prose(31, 60))]
     got = Counter(plain(paragraphs.classes(spark.createDataFrame(rows, "doc_id long, text string"))))
