@@ -20,6 +20,7 @@ cannot occur twice. Whole copies of a text meet as digests and are not named aga
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import KEY, row_key, table
-from larkspur.session import durable
+from larkspur.session import durable, remove_path, scratch_dir
 
 LENGTH = 100
 GRAM = 50
@@ -291,6 +292,19 @@ def _form_keys(tile: Tile, names: np.ndarray, later: np.ndarray, form: int, leng
     return at, known[at + before], b
 
 
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch_dir(df.sparkSession, "suffixes")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _dropped(spark, path: str) -> None:
+    """Deletes a table that nothing reads any more, and lets Spark drop the shuffles that led to it."""
+    remove_path(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k_id, k_text, start, stop): runs of bytes to remove, those of a document apart or touching.
 
@@ -299,15 +313,19 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     if length != LENGTH:
         raise ValueError("names are built for strings of 100 bytes")
-    found = durable(_anchor_counts(docs, length))
+    spark = docs.sparkSession
+    found, found_at = _stored(_anchor_counts(docs, length))
     common = found.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash")
     shared = found.join(durable(common), "hash").select(*KEY, "hash")
-    regions = durable(_regions(docs, shared, length))
+    regions, regions_at = _stored(_regions(docs, shared, length))
+    del shared
+    _dropped(spark, found_at)
     tiles = durable(_tiles(regions))
     total = regions.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     count = max(int(total // SHARE), 1)
+    _dropped(spark, regions_at)
     names = tiles.select("tile", "body", "ends", F.lit(b"").alias("names"))
-    depth = FIRST
+    depth, names_at = FIRST, None
     for step in (None, *STEPS):
         depth += step or 0
 
@@ -318,7 +336,11 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             return row["tile"], row["body"], row["ends"], _gather(replies, *keys_of(row), count, np.uint64).tobytes()
 
         answered = _answer(_send(names, keys_of, count), _names)
-        names = durable(_back(names, answered, fold, "tile long, body binary, ends binary, names binary"))
+        names, at = _stored(_back(names, answered, fold, "tile long, body binary, ends binary, names binary"))
+        del answered
+        if names_at:
+            _dropped(spark, names_at)
+        names_at = at
     flags = names.select("*", F.lit(b"").alias("later"))
     for form in range(len(_FORMS)):
 
@@ -341,7 +363,10 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             return row["tile"], row["body"], row["ends"], row["names"], later.tobytes()
 
         answered = _answer(_send(flags, keys_of, count), _is_later)
-        flags = durable(_back(flags, answered, fold, "tile long, body binary, ends binary, names binary, later binary"))
+        flags, at = _stored(_back(flags, answered, fold, "tile long, body binary, ends binary, names binary, later binary"))
+        del answered
+        _dropped(spark, names_at)
+        names_at = at
     return _runs(flags.select("tile", "ends", "later").join(tiles.drop("ends"), "tile"), length)
 
 
