@@ -9,6 +9,9 @@ A bucket never becomes all its pairs: first every node is verified against the l
 each of its buckets, and then only nodes whose components still differ meet each other, so a
 crowd of near copies costs its size. Components of the verified links are the classes; all
 but the first paragraph of a class are removals.
+
+Short lines take part like all others. A line whose few shingles no other text can share
+(``_alone``) has only equal lines for company, which its node unites; it gets no band keys.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from larkspur.session import durable
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-#: paragraphs of fewer words repeat by chance and are no removal
-MIN_WORDS = 10
+#: paragraphs of fewer words take no part; every line with words does
+MIN_WORDS = 1
 
 #: nodes of a bucket that are compared as one block
 CROWD_BLOCK = 256
@@ -107,6 +110,23 @@ def _enough(words: bytes, least: int) -> bool:
     return words.count(b" ") + 1 >= least
 
 
+def _alone(words: bytes, size: int, least: float) -> bool:
+    """Whether no other text can have the similarity ``least``, so that only equal texts are one class.
+
+    A text shorter than a shingle is one run, which no other text has. With k shingles, other
+    sets come to k / (k + 1) at most; the same set in another text needs a run of size - 1 words
+    that stands twice, else there is one way to string the shingles together.
+    """
+    own = words.split(b" ")
+    n = len(own) - size + 1
+    if n < 1:
+        return True
+    if n >= least * (n + 1):
+        return False
+    joints = {b" ".join(own[i : i + size - 1]) for i in range(n + 1)}
+    return len(joints) == n + 1
+
+
 def places(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, paragraph, node): where each text stands; the node is a 128-bit digest of its words."""
 
@@ -135,7 +155,12 @@ def _short(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2)[:, 0].astype(np.int64)
 
 
-def buckets(docs: DataFrame, least: int, size: int, bands: int, rows: int) -> DataFrame:
+def _meeting(text: bytes | None, least_words: int, size: int, least: float) -> Iterator[bytes]:
+    """The words of the paragraphs that may be like other texts."""
+    return (w for _, w in paragraphs(text) if _enough(w, least_words) and not _alone(w, size, least))
+
+
+def buckets(docs: DataFrame, least_words: int, size: int, bands: int, rows: int, least: float) -> DataFrame:
     """(bucket, short): the band keys of the nodes; the band number is part of the key.
 
     A task leaves out texts it has seen lately, so a very common line is sent a few times.
@@ -146,7 +171,7 @@ def buckets(docs: DataFrame, least: int, size: int, bands: int, rows: int) -> Da
         offsets = np.arange(bands, dtype=np.uint64) * _ODD
         for batch in batches:
             for at in range(0, len(batch), 256):
-                found = {w for text in batch.column(0).slice(at, 256) for _, w in paragraphs(text.as_py()) if _enough(w, least)}
+                found = {w for text in batch.column(0).slice(at, 256) for w in _meeting(text.as_py(), least_words, size, least)}
                 digests = {xxhash.xxh3_128_digest(t): t for t in found}
                 fresh = [d for d in digests if d not in seen]
                 if len(seen) > _TEXTS_SEEN:
@@ -193,13 +218,13 @@ def crowds(keys: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "bucket long, short long, leader long")
 
 
-def _words_of(docs: DataFrame, shorts: DataFrame, least: int) -> DataFrame:
+def _words_of(docs: DataFrame, shorts: DataFrame, least_words: int, size: int, least: float) -> DataFrame:
     """(short, node, words) of the given nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 512):
-                texts = list({w for text in batch.column(0).slice(at, 512) for _, w in paragraphs(text.as_py()) if _enough(w, least)})
+                texts = list({w for text in batch.column(0).slice(at, 512) for w in _meeting(text.as_py(), least_words, size, least)})
                 nodes = [xxhash.xxh3_128_digest(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(_short(nodes)), pa.array(nodes, pa.binary()), pa.array(texts, pa.binary())], names=["short", "node", "words"])
 
@@ -272,8 +297,8 @@ def classes(
     first. Documents without repeats give no row. Other columns are not read.
     """
     stood = durable(places(docs, min_words))
-    crowd = durable(crowds(buckets(docs, min_words, shingle, bands, rows)))
-    words = durable(_words_of(docs, crowd.select("short").distinct(), min_words))
+    crowd = durable(crowds(buckets(docs, min_words, shingle, bands, rows, least)))
+    words = durable(_words_of(docs, crowd.select("short").distinct(), min_words, shingle, least))
     first = crowd.filter("short != leader").select(F.col("leader").alias("x"), F.col("short").alias("y")).distinct()
     linked = durable(_verified(first, words, shingle, least))
     # nodes of one bucket that are not yet connected

@@ -99,6 +99,32 @@ def test_paragraphs(docs, none):
     assert plain(paragraphs.classes(none)) == []
 
 
+def test_short_paragraphs(spark):
+    """Short lines that repeat are classes; so are the few short lines that differ and have the same shingles."""
+    lines = ["ok", "See the licence", "a b c d e", "one two three four five six seven", "Permission is granted to all who read this", *["ha " * n for n in (4, 5, 6, 7, 9)]]
+    lines += ["x y x y x y", "y x y x y x", "p q r p q r p", "q r p q r p q", "r p q r p q r", "c1 c2 c3 c4 c5 c6 c7 c8", "c1 c2 c3 c4 c5 c6 c7 c8 c9"]
+    rows = [(1, "\n".join(lines)), (2, "OK\n\nsee  the LICENCE\na b c d e f\nA b c d e"), (3, "ok\npermission is granted to all who read this\n" + lines[3]), (4, None)]
+    got = Counter(plain(paragraphs.classes(spark.createDataFrame(rows, "doc_id long, text string"))))
+    want = C.paragraph_classes(rows, min_words=1)
+    assert got == want and sum(x[-1] for x in want) >= 13
+
+
+def test_lines_that_stand_alone():
+    """What gets no band keys is like no other text, by brute force over all short texts of two and three words."""
+    import itertools
+
+    for letters, longest in (("ab", 10), ("abc", 8)):
+        texts = [" ".join(w).encode() for n in range(1, longest) for w in itertools.product(letters, repeat=n)]
+        sets = defaultdict(set)
+        for t in texts:
+            sets[frozenset(paragraphs.shingles(t))].add(t)
+        for t in texts:
+            if paragraphs._alone(t, 5, 0.8):
+                assert sets[frozenset(paragraphs.shingles(t))] == {t}
+        near = [t for t in texts[::37] if paragraphs._alone(t, 5, 0.8)]
+        assert near and not any(paragraphs.similarity(t, u) >= 0.8 for t in near for u in texts if u != t)
+
+
 @pytest.mark.parametrize("block", [256, 4])
 def test_paragraph_crowd(spark, monkeypatch, block):
     """Near copies that are alike only through others stay one class."""
