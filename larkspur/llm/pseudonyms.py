@@ -9,7 +9,8 @@ separators. What fails validation is left as it is.
 
 Formats: e-mail addresses (the part before the @), IPv4 addresses, card numbers (Luhn), social
 security numbers, dates of the years 1900 to 2099 (year-month-day with - or /, day.month.year,
-month/day/year), North American telephone numbers, and keys or passwords after their names.
+month/day/year), North American telephone numbers, and keys or passwords after their names, in
+whatever case these are written.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 DATE = r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./\-]\d)"
 CARD = r"(?<![\d+])\d(?:[ \-]?\d){12,18}(?!\d)"
 PHONE = r"(?:(?<![\d+])\+1[ .\-]?|(?<![\d+.\-]))(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}(?!\d)"
-NAMED = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_\-]{8})(?<=(?:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}+"
+NAMED = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_\-]{8})(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 ANY = "|".join([EMAIL, IPV4, SSN, DATE, CARD, PHONE, NAMED, CLOUD_KEY])
 

@@ -229,6 +229,22 @@ def test_pseudonyms_leave_what_is_not_valid(spark):
     assert [r["text"] for r in got] == texts
 
 
+def rewritten(spark, texts):
+    return [r["text"] for r in pseudonyms.pseudonymise(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
+
+
+def test_pseudonyms_of_named_secrets_in_any_case(spark):
+    value = "a1b2c3d4e5f60718293a4b5c6d7e8f9012345678"
+    names = ["token", "TOKEN", "Token", "Password", "PASSWD", "API_KEY", "Api_Key", "Secret", "sEcReT"]
+    signs = [' = "', ": ", "=", " : '"]
+    got = rewritten(spark, [f"{n}{s}{value} end" for n in names for s in signs])
+    found = set()
+    for text, (n, s) in zip(got, [(n, s) for n in names for s in signs]):
+        assert text.startswith(n + s) and text.endswith(" end") and value not in text
+        found.add(text[len(n + s) : -4])
+    assert len(found) == 1
+
+
 def labelled(spark):
     rng = np.random.default_rng(1)
     docs, labels = [], []
