@@ -5,7 +5,8 @@ reserved blocks), then permuted under a secret key within its own format: a card
 a card number with a right check digit, a date a date. A Feistel network changes one half
 by a keyed hash of the other, in turn, adding modulo the size of each place, so the mapping is
 one to one and equal values get equal pseudonyms in every document, whatever their
-separators. What fails validation is left as it is.
+separators. What fails validation is left as it is. A run of
+digits is searched for cards at each of its groups, so a neighbour does not hide a value.
 
 Formats: e-mail addresses (the part before the @), IPv4 addresses, card numbers (Luhn), social
 security numbers, dates of the years 1900 to 2099 (year-month-day with - or /, day.month.year,
@@ -27,11 +28,16 @@ EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 DATE = r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./\-]\d)"
-CARD = r"(?<![\d+])\d(?:[ \-]?\d){12,18}(?!\d)"
 PHONE = r"(?:(?<![\d+])\+1[ .\-]?|(?<![\d+.\-]))(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}(?!\d)"
+# a run of digits goes up to where a value of another kind begins; the cards are looked for inside it
+OTHERS = "|".join([EMAIL, IPV4, SSN, DATE, PHONE])
+CARD = rf"(?<![\d+])\d(?:\d|[ \-](?!{OTHERS})\d){{12,}}+"
+# digits of the groups as cards are written; the second form begins like one of the first
+GROUPED = ["4444", "465", "464", "4443", "4442", "4441", "445", "4333"]
+UNBROKEN, LONGEST = r"\d{13,19}|\d{6}[ \-]\d{13}", r"\d{4}(?:[ \-]\d{4}){3}[ \-]\d{3}"
 NAMED = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_\-]{8})(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
-ANY = "|".join([EMAIL, IPV4, SSN, DATE, CARD, PHONE, NAMED, CLOUD_KEY])
+ANY = "|".join([EMAIL, IPV4, SSN, DATE, PHONE, CARD, NAMED, CLOUD_KEY])
 
 # day numbers of 1900-01-01 and 2099-12-31; 73,049 days = 17 * 4,297
 FIRST_DAY, DAYS = -25567, (17, 4297)
@@ -124,11 +130,38 @@ def _card(x: Column, secret: str) -> Column:
         inner = permuted_text(F.substring(d, F.lit(2), n - 2), secret, "card")
         payload = F.concat(F.substring(d, 1, 1), inner)
         full = let(payload, lambda p: F.concat(p, F.pmod(-luhn_sum(F.concat(p, F.lit("0"))), F.lit(10)).cast("string")))
-        return F.when(luhn_sum(d) % 10 == 0, _refilled(x, full)).otherwise(x)
+        return _refilled(x, full)
 
     return let(_digits(x), whole)
 
 
+def _luhn(x: Column) -> Column:
+    return luhn_sum(_digits(x)) % 10 == 0
+
+
+def _cards(x: Column, secret: str) -> Column:
+    """A run of digits with the valid cards inside it replaced; what stands beside them stays.
+
+    A card is an unbroken number or has the groups of one, and may begin at any group of the
+    run. A run of 13 to 19 digits in other groups is a card if it is valid as a whole.
+    """
+    grouped = [r"[ \-]".join(rf"\d{{{n}}}" for n in form) for form in GROUPED]
+    forms = [LONGEST, "|".join([UNBROKEN, *grouped])]
+    starts = [F.regexp_extract_all(x, F.lit(rf"(?<!\d)(?=((?:{form})(?!\d)))"), F.lit(1)) for form in forms]
+
+    def inside(valid):
+        any_card = F.concat(F.lit(r"(?<!\d)(?:"), F.array_join(valid, "|"), F.lit(r")(?!\d)"))
+
+        def cut(pattern):
+            gaps, finds = F.split(x, pattern, -1), F.regexp_extract_all(x, pattern, F.lit(0))
+            return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(_card(F.get(finds, i), secret), F.lit("")))), "")
+
+        alone = F.char_length(_digits(x)).between(13, 19) & _luhn(x)
+        return F.when(F.size(valid) > 0, let(any_card, cut)).when(alone, _card(x, secret)).otherwise(x)
+
+    return let(F.filter(F.concat(*starts), _luhn), inside)
+
+
 def _phone(x: Column, secret: str) -> Column:
     """The last two digits of the area, the last two of the exchange and the line move."""
 
@@ -186,7 +219,7 @@ def _email(x: Column, secret: str) -> Column:
 
 def pseudonym(x: Column, secret: str) -> Column:
     """The pseudonym of one found value."""
-    kinds = [(EMAIL, _email), (IPV4, _ipv4), (SSN, _ssn), (DATE, _date), (CARD, _card), (PHONE, _phone)]
+    kinds = [(EMAIL, _email), (IPV4, _ipv4), (SSN, _ssn), (DATE, _date), (PHONE, _phone), (CARD, _cards)]
     out = F.when(x.rlike(f"^(?:{CLOUD_KEY})$"), F.concat(F.substring(x, 1, 4), permuted_text(F.substring(x, 5, 16), secret, "key")))
     out = out.otherwise(permuted_text(x, secret, "secret"))
     for pattern, make in reversed(kinds):

@@ -245,6 +245,36 @@ def test_pseudonyms_of_named_secrets_in_any_case(spark):
     assert len(found) == 1
 
 
+NEIGHBOURS = [
+    ["4111 1111 1111 1111", " 12/25"],
+    ["4111 1111 1111 1111", " 123 and"],
+    ["2024 ", "4111 1111 1111 1111"],
+    ["12 ", "4111-1111-1111-1111", " 7"],
+    ["4111 1111 1111 1111", " ", "5500 0000 0000 0004"],
+    ["4111111111111111", " ", "415-555-2671"],
+    ["3782 822463 10005", " 12/25"],
+    ["4111 1111 1111 1111", " ", "2024/05/01"],
+    ["4111 1111 1111 1111", " ", "70.123.182.155"],
+    ["4111 1111 1111 1111", " ", "01.02.2024"],
+    ["4111 1111 1111 1111", " ", "123-45-6789"],
+    ["415-555-2671", " 1234 Main St"],
+    ["415-555-2671", " ", "2024-05-01"],
+    ["415-555-2671", " ", "415-555-2672"],
+    ["415-555-2671", " ", "4111 1111 1111 1111", " 99"],
+    ["41111111 11111111"],
+]
+
+
+def test_pseudonyms_beside_other_numbers(spark):
+    """Each value (of ten digits or with a point or slash of its own) gets the pseudonym it has when it stands alone."""
+    is_value = lambda v: sum(c.isdigit() for c in v) >= 8
+    values = sorted({v for row in NEIGHBOURS for v in row if is_value(v)})
+    alone = dict(zip(values, rewritten(spark, values)))
+    assert all(k != v and re.sub(r"\d+", "0", k) == re.sub(r"\d+", "0", v) for k, v in alone.items())
+    got = rewritten(spark, ["".join(row) for row in NEIGHBOURS])
+    assert got == ["".join(alone.get(v, v) for v in row) for row in NEIGHBOURS]
+
+
 def labelled(spark):
     rng = np.random.default_rng(1)
     docs, labels = [], []
