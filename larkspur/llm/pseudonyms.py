@@ -10,7 +10,7 @@ digits is searched for cards at each of its groups, so a neighbour does not hide
 
 Formats: e-mail addresses (the part before the @), IPv4 addresses, card numbers (Luhn), social
 security numbers, dates of the years 1900 to 2099 (year-month-day with - or /, day.month.year,
-month/day/year), North American telephone numbers, and keys or passwords after their names, in
+month/day/year), North American telephone numbers and those with a + and country code, and keys or passwords after their names, in
 whatever case these are written.
 """
 
@@ -28,13 +28,20 @@ EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 DATE = r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./\-]\d)"
-PHONE = r"(?:(?<![\d+])\+1[ .\-]?|(?<![\d+.\-]))(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}(?!\d)"
+# +1 or brackets mark a telephone number whatever its digits; bare groups need codes that begin with 2-9
+NATIONAL = r"(?:(?<![\d+])\+1[ .\-]?(?:\(\d{3}\) ?|\d{3}[ .\-]?)|(?<![\d+.\-])\(\d{3}\) ?)\d{3}[ .\-]?\d{4}(?!\d)"
+BARE = r"(?<![\d+.\-])[2-9]\d{2}[ .\-][2-9]\d{2}[ .\-]\d{4}(?!\d)"
+# a country code and 6 to 14 more digits; it ends before a value of another kind
+ABROAD = rf"(?<![\d+])\+[1-9](?=(?:[ .\-()]{{0,3}}\d){{7}})(?:\d|[ .\-]?\(\d{{1,5}}\)|[ .\-](?!{SSN}|{DATE}|{IPV4}|{BARE}|(?:\d{{4}}[ \-]){{3}}\d{{4}}(?!\d))\d){{4,14}}(?!\d)"
+PHONE = f"{NATIONAL}|{BARE}|{ABROAD}"
 # a run of digits goes up to where a value of another kind begins; the cards are looked for inside it
 OTHERS = "|".join([EMAIL, IPV4, SSN, DATE, PHONE])
 CARD = rf"(?<![\d+])\d(?:\d|[ \-](?!{OTHERS})\d){{12,}}+"
 # digits of the groups as cards are written; the second form begins like one of the first
 GROUPED = ["4444", "465", "464", "4443", "4442", "4441", "445", "4333"]
 UNBROKEN, LONGEST = r"\d{13,19}|\d{6}[ \-]\d{13}", r"\d{4}(?:[ \-]\d{4}){3}[ \-]\d{3}"
+# country codes have one, two or three digits
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 NAMED = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_\-]{8})(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 ANY = "|".join([EMAIL, IPV4, SSN, DATE, PHONE, CARD, NAMED, CLOUD_KEY])
@@ -163,13 +170,20 @@ def _cards(x: Column, secret: str) -> Column:
 
 
 def _phone(x: Column, secret: str) -> Column:
-    """The last two digits of the area, the last two of the exchange and the line move."""
+    """North America: the last two digits of the area, the last two of the exchange and the line move.
+
+    Elsewhere all that follows the country code moves.
+    """
 
     def whole(d):
         own = F.substring(d, -10, 10)
         moving = F.concat(F.substring(own, 2, 2), F.substring(own, 5, 6))
         done = let(permuted_text(moving, secret, "phone"), lambda m: F.concat(F.substring(own, 1, 1), F.substring(m, 1, 2), F.substring(own, 4, 1), F.substring(m, 3, 6)))
-        return F.concat(F.substring(d, F.lit(1), F.char_length(d) - 10), done)
+        country = F.regexp_extract(d, f"^(?:{COUNTRY})", 0)
+        rest = F.substring(d, F.char_length(country) + 1, F.char_length(d))
+        abroad = F.concat(country, permuted_text(rest, secret, "phone abroad"))
+        national = ~F.startswith(x, F.lit("+")) | d.rlike(r"^1\d{10}$")
+        return F.when(national, F.concat(F.substring(d, F.lit(1), F.char_length(d) - 10), done)).otherwise(abroad)
 
     return _refilled(x, let(_digits(x), whole))
 

@@ -245,6 +245,23 @@ def test_pseudonyms_of_named_secrets_in_any_case(spark):
     assert len(found) == 1
 
 
+def test_pseudonyms_of_marked_telephone_numbers(spark):
+    """A country code or brackets make a number one, whatever digits its area begins with; bare groups need 2-9."""
+    marked = ["+1 (017) 555-7713", "+1 (117) 155-7713", "(017) 555-7713", "+1 017-555-7713", "+1.415.555.2671", "+14155552671", "+44 20 7946 0958", "+353 1 234 5678", "+49 (0)30 1234567", "+33 1 23 45 67 89", "+4915112345678"]
+    tails = ["", ", call", " 2024-05-01", " 415-555-2672"]
+    got = rewritten(spark, [v + t for v in marked for t in tails] + ["017-555-7713", "+5 apples 12", "2 + 3 (100) 4", "415-555-2671"])
+    alone = got[:: len(tails)][: len(marked)]
+    for n, v in enumerate(marked):
+        assert alone[n] != v and re.sub(r"\d", "0", alone[n]) == re.sub(r"\d", "0", v)
+        for k, t in enumerate(tails):
+            own = got[n * len(tails) + k]
+            assert own.startswith(alone[n]) and (own == alone[n] + t if k < 2 else t not in own)
+    assert alone[6].startswith("+44 ") and alone[7].startswith("+353 ")
+    digits = lambda v: re.sub(r"\D", "", v)[-10:]
+    assert digits(alone[4]) == digits(alone[5]) == digits(got[-1])
+    assert got[-4:-1] == ["017-555-7713", "+5 apples 12", "2 + 3 (100) 4"]
+
+
 NEIGHBOURS = [
     ["4111 1111 1111 1111", " 12/25"],
     ["4111 1111 1111 1111", " 123 and"],
