@@ -42,14 +42,17 @@ _GZIP = 16 + zlib.MAX_WBITS
 
 
 def url_key(url: str | None) -> str:
-    """Reversed host, then path and query: com,example,www)/path?query."""
+    """Reversed host, then path and query: com,example,www)/path?query.
+
+    All parts are percent-encoded, so that no key holds a blank or a line separator.
+    """
     text = (url or "").strip()
     try:
         parts = urlsplit(text)
         host, port = parts.hostname or "", parts.port
     except ValueError:
         return quote(text, safe="/?=&:;,)(%")
-    place = ",".join(reversed(host.split("."))) + (f":{port}" if port else "")
+    place = quote(",".join(reversed(host.split("."))), safe=",:[]") + (f":{port}" if port else "")
     rest = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
     return f"{place}){quote(rest, safe='/?=&:;,)(%')}"
 
@@ -226,7 +229,7 @@ def lookup(archive: Archive, keys: DataFrame) -> DataFrame:
         for b, block_keys in sorted(by_block.items()):
             place = directory.iloc[b]
             data = _read(store, base, files, place["file"], int(place["offset"]), int(place["length"]))
-            lines = zlib.decompress(data, _GZIP).decode().splitlines()
+            lines = zlib.decompress(data, _GZIP).decode().removesuffix("\n").split("\n")
             heads = [line.split(" ", 1)[0] for line in lines]
             for key in block_keys:
                 for line in lines[bisect.bisect_left(heads, key) : bisect.bisect_right(heads, key)]:

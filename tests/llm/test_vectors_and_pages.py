@@ -113,6 +113,17 @@ def test_url_keys_sort_by_reversed_host():
     assert warc.url_key(None) == ")/"
 
 
+def test_hosts_with_blanks_and_line_separators(spark):
+    urls = ["http://exa mple.com/x", "http://exa.com/", "http://mple.com/x", "http://b\u2028ad.com/y", "http://b\x85ad.com/y", "http://b\x1cad.com/", "http://bad.com/", "http://[::1]/z", "http://[exa mple/"]
+    df = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    archive = warc.write(df, block_lines=4)
+    assert Counter(r["page_id"] for r in warc.lookup(archive, archive.captures).collect()) == Counter(range(len(urls)))
+    for i, u in enumerate(urls):
+        key = warc.url_key(u)
+        assert len(key.split()) == 1 and key.isascii()
+        assert [r["page_id"] for r in warc.lookup(archive, spark.createDataFrame([(key,)], "key string")).collect()] == [i]
+
+
 def test_block_directory_is_sparse(spark):
     df = spark.range(500).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.example.com/"), F.col("id").cast("string")).alias("url"), F.lit("x").alias("html"))
     archive = warc.write(df, block_lines=100)
