@@ -80,9 +80,12 @@ def labelled(docs: DataFrame, labels: DataFrame, names: list[str], sample: int =
     """(doc_id, label columns, text) of at most ``sample`` labelled ids.
 
     Rows with a null id or label are no label; of several labels of a document the smallest counts.
+    Of several rows of a document one counts, the one whose text has the least hash.
     """
     clean = labels.select(F.col("doc_id").alias("l_id"), *names).na.drop()
     one = clean.groupBy("l_id").agg(*[F.min(n).cast("int").alias(n) for n in names])
     picked = one.orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
     # at most ``sample`` rows of a few numbers
-    return docs.join(F.broadcast(picked), docs["doc_id"] == F.col("l_id")).select("doc_id", *names, F.col("text").cast("binary").alias("text"))
+    rows = docs.join(F.broadcast(picked), docs["doc_id"] == F.col("l_id")).select("doc_id", *names, F.col("text").cast("binary").alias("text"))
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return rows.groupBy("doc_id").agg(*[F.min(n).alias(n) for n in names], least)

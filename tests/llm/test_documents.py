@@ -318,6 +318,14 @@ def test_classifiers_on_held_out_documents(spark):
     assert np.mean([(scores[i] >= 0.5) == ("idiot" in texts[i]) for i in held_out]) >= 0.97
 
 
+def test_labelled_rows_are_one_per_document(spark):
+    rows = [(1, "often")] * 500 + [(1, "other"), (1, None), (2, "once"), (3, None), (None, "x"), (4, "no label")]
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    got = [linear.labelled(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), labels, ["quality"]).collect() for n in (1, 5)]
+    one = [sorted(((r["doc_id"], r["quality"], r["text"] and bytes(r["text"])) for r in g), key=str) for g in got]
+    assert one[0] == one[1] and [x[:2] for x in one[0]] == [(1, 0), (2, 1), (3, 1)] and [x[2] for x in one[0][1:]] == [b"once", None]
+
+
 def test_chain_reads_earlier_categories():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 3))
