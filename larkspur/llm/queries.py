@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc
+from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repeated_bytes": suffixes.query,
     "op9_packing": packing.query,
     "op10_warc": warc.query,
+    "op13_whitening": whitening.query,
 }
 
 ORACLE_SQL = {
