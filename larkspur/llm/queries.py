@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc, whitening
+from larkspur.llm import decontaminate, lexical, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repeated_bytes": suffixes.query,
     "op9_packing": packing.query,
     "op10_warc": warc.query,
+    "op11_lexical_search": lexical.query,
     "op13_whitening": whitening.query,
 }
 
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op1_decontamination": decontaminate.ORACLE_SQL,
     "op4_top_k": topk.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op11_lexical_search": lexical.ORACLE_SQL,
 }
