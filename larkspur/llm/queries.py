@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import decontaminate, lexical, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc, whitening
+from larkspur.llm import bpe, decontaminate, lexical, packing, paragraphs, pseudonyms, quality, simhash, suffixes, topk, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_warc": warc.query,
     "op11_lexical_search": lexical.query,
+    "op12_bpe": bpe.query,
     "op13_whitening": whitening.query,
 }
 
