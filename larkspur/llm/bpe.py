@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ ROLL, MEAN_CHUNK, LEAST_CHUNK = 32, 1024, 256
 _START = np.uint32(1 << 31)
 _ID = np.uint32((1 << 31) - 1)
 _SLICE = 1 << 20
-_PIECES_KEPT, _PIECE_CHARS = 400_000, 48
+_PIECES_KEPT, _PIECE_CHARS = 300_000, 48
 #: first stretch after a join that is encoded again
 _STRETCH = 64
 
@@ -41,6 +42,7 @@ _STRETCH = 64
 # U+00C0 to U+017F; texts with other characters go through the library's pattern
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 _BLANKS = " \t-\r"
+_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PLAIN = re.compile(f"[\x00-\x7f{_LETTERS}]*").fullmatch
 _PIECES = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
@@ -57,13 +59,12 @@ def _byte_characters() -> list[str]:
 class Pieces(dict):
     """Packed ids of a piece by its text, or by its bytes in mapped characters; the first id carries a mark."""
 
-    def __init__(self, merge, mapped: bool):
+    def __init__(self, ids_of):
         super().__init__()
-        self.merge, self.characters = merge, None if mapped else _byte_characters()
+        self.ids_of = ids_of
 
     def __missing__(self, piece: str) -> bytes:
-        mapped = piece if self.characters is None else "".join([self.characters[b] for b in piece.encode()])
-        ids = np.array([t.id for t in self.merge(mapped)], dtype="<u4")
+        ids = np.array(self.ids_of(piece), dtype="<u4")
         ids[0] |= _START
         packed = ids.tobytes()
         if len(piece) <= _PIECE_CHARS:
@@ -74,10 +75,16 @@ class Pieces(dict):
 
 
 class Codec:
-    """Encodes texts to marked ids and knows the bytes of every id."""
+    """Encodes texts to marked ids and knows the bytes of every id.
+
+    The library's own merges are slow over many different pieces. Where every id is the number of
+    its merge, which is checked, ids are ranks and tiktoken merges plain pieces by them; all that is
+    not plain goes through the library.
+    """
 
     def __init__(self, vocabulary: str):
         import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         with open(public_tokenizers.path(vocabulary), encoding="utf-8") as file:
@@ -87,22 +94,27 @@ class Codec:
             raise ValueError(f"{vocabulary} is no byte-level vocabulary with the usual pieces")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
             raise ValueError(f"{vocabulary} has added tokens that match by their surroundings")
+        byte_of = {c: b for b, c in enumerate(_byte_characters())}
+        vocab = spec["model"]["vocab"]
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if all(c in byte_of for c in t)}
+        merged = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        if len(ranks) != len(vocab) or any(vocab["".join(m)] != 256 + i for i, m in enumerate(merged)):
+            raise ValueError(f"{vocabulary} does not number its merges in order")
         tokenizer = Tokenizer.from_str(json.dumps(spec))
-        self.split, merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-        self.pieces, self.mapped = Pieces(merge, False), Pieces(merge, True)
-        names = sorted((t["content"] for t in added), key=len, reverse=True)
-        self.special = {t["content"]: np.array([t["id"] | int(_START)], dtype="<u4").tobytes() for t in added}
-        self.specials = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        merge = tokenizer.model.tokenize
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        names = {t["content"]: t["id"] for t in added}
+        self.fast = tiktoken.Encoding(vocabulary, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=names)
+        self.pieces, self.mapped = Pieces(self.fast.encode_ordinary), Pieces(lambda m: [t.id for t in merge(m)])
+        self.special = {n: np.array([i | int(_START)], dtype="<u4").tobytes() for n, i in names.items()}
+        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + ")") if names else None
         #: bytes after the end of a piece that can still change it
         self.margin = max((len(n.encode()) for n in names), default=0) + 8
-        byte_of = {c: b for b, c in enumerate(_byte_characters())}
-        tokens = {i: bytes(byte_of[c] for c in t) for t, i in spec["model"]["vocab"].items()}
-        tokens |= {t["id"]: t["content"].encode() for t in added}
-        self.bytes_of = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-        self.sizes = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        tokens = {i: b for b, i in ranks.items()} | {i: n.encode() for n, i in names.items()}
+        self.sizes = np.array([len(tokens.get(i, b"")) for i in range(max(tokens) + 1)], dtype=np.int64)
 
-    def encode(self, text: bytes) -> np.ndarray:
-        """Ids of a text that is encoded for itself, a mark on the first of each piece."""
+    def encode(self, text: bytes, marked: bool = True) -> np.ndarray:
+        """Ids of a text that is encoded for itself, if asked with a mark on the first of each piece."""
         whole = text.decode()
         parts = self.specials.split(whole) if self.specials else [whole]
         packed = []
@@ -110,10 +122,14 @@ class Codec:
             if n % 2:
                 packed.append(self.special[part])
             elif _PLAIN(part):
-                packed += map(self.pieces.__getitem__, _PIECES(part))
+                if marked:
+                    packed += map(self.pieces.__getitem__, _PIECES(part))
+                else:
+                    packed.append(np.array(self.fast.encode_ordinary(part), dtype="<u4").tobytes())
             else:
                 packed += [self.mapped[mapped] for mapped, _ in self.split(part)]
-        return np.frombuffer(b"".join(packed), dtype="<u4")
+        ids = np.frombuffer(b"".join(packed), dtype="<u4")
+        return ids if marked else ids & _ID
 
     def borders(self, ids: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
         """(places in the text, places in ids) of all beginnings of pieces, and the end."""
@@ -160,17 +176,15 @@ class Codec:
             stretch *= 2
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
-
-
-_OPEN: dict[str, Codec] = {}
+        return self.fast.decode_bytes(ids.tolist()).decode("utf-8", "replace")
 
 
 def _codec(vocabulary: str) -> Codec:
-    """The codec of a worker, made once for all its tasks."""
-    if vocabulary not in _OPEN:
-        _OPEN[vocabulary] = Codec(vocabulary)
-    return _OPEN[vocabulary]
+    """The codec of a worker process, made once for all its tasks; modules sent with a task do not outlive it."""
+    kept = vars(sys).setdefault("_larkspur_codecs", {})
+    if vocabulary not in kept:
+        kept[vocabulary] = Codec(vocabulary)
+    return kept[vocabulary]
 
 
 _MIXED = np.frombuffer(b"".join(hashlib.sha256(bytes([b])).digest()[:4] for b in range(256)), "<u4").astype(np.uint32)
@@ -208,7 +222,8 @@ def _text() -> Column:
 
 
 def _key(text: Column) -> Column:
-    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("k")
+    # never null, so that no join on it filters the texts, which would keep their shuffle from being reused
+    return F.coalesce(F.substring(F.unhex(F.sha2(text, 256)), 1, 16), F.lit(b"")).alias("k")
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -270,7 +285,7 @@ def _assemble(texts: DataFrame, vocabulary: str) -> DataFrame:
 
 def _whole(codec: Codec, text: bytes, given: list[dict] | None) -> np.ndarray:
     if not given:
-        return codec.encode(text) & _ID
+        return codec.encode(text, marked=False)
     parts, at = [], 0
     for g in sorted(given, key=lambda g: g["begin"]):
         if g["begin"] > at:

@@ -29,7 +29,7 @@ def library(text):
 def test_encode_alone(bits):
     text = "".join(bits)
     ids = CODEC.encode(text.encode()) & bpe._ID
-    assert ids.tolist() == library(text)
+    assert ids.tolist() == library(text) == CODEC.encode(text.encode(), marked=False).tolist()
     assert CODEC.decode(ids) == LIBRARY.decode(ids.tolist(), skip_special_tokens=False)
 
 
@@ -91,9 +91,15 @@ def test_chunks_are_shared(spark, docs):
     found = [(bytes(r["k"]), r["begin"], r["end"], bytes(r["h"])) for r in bpe._chunks(texts).collect()]
     many = Counter(h for *_, h in found)
     assert sum(e - b for _, b, e, h in found if many[h] > 1) > 60_000
+
+
+def test_texts_are_shuffled_once(spark, docs):
     plan = bpe.encode_texts(docs)
     plan.collect()
-    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
+    shown = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # four uses of the distinct texts, three of them from the shuffle of the first
+    assert shown.count("ReusedExchange [k") == 3
+    assert shown.count("any_value(text") + shown.count("REPARTITION_BY_NUM") == 1
 
 
 def test_decode(spark, docs):
