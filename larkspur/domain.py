@@ -108,13 +108,13 @@ def _days(raw: DataFrame, since: date | None, until: date | None, stored: str =
     return raw
 
 
-def orders(spark, sf_dir, status=None, payment=None, since: date | None = None, until: date | None = None):
+def orders(spark, sf_dir, status=None, payment=None, since: date | None = None, until: date | None = None, raw: DataFrame | None = None):
     """Orders; the optional filters apply to the stored codes and dates and reach the scan.
 
     ``status`` is one name or several. A filter on the renamed columns gives the same
     rows but hides behind the CASE mapping, where no scan can use it.
     """
-    raw = _days(table(spark, sf_dir, "orders"), since, until)
+    raw = _days(table(spark, sf_dir, "orders") if raw is None else raw, since, until)
     if status is not None:
         names = [status] if isinstance(status, str) else list(status)
         raw = raw.filter(F.col("o_orderstatus").isin([code for code, name in ORDER_STATUS.items() if name in names]))
@@ -132,12 +132,13 @@ def orders(spark, sf_dir, status=None, payment=None, since: date | None = None,
     )
 
 
-def order_items(spark, sf_dir):
-    """Order lines with their stored unit price; the line key is built from the row itself, so no shuffle numbers it."""
+def order_items(spark, sf_dir, raw: DataFrame | None = None):
+    """Order lines, or those of ``raw`` rows of the table such as a stream of it, with their stored unit price; the line key is built from the row itself, so no shuffle numbers it."""
     # floor(x + 0.5) stays on primitive doubles; round() would box every value
     whole_cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     unit_cents = F.call_function("div", whole_cents, F.col("l_quantity").cast("bigint"))
-    return table(spark, sf_dir, "lineitem").select(
+    raw = table(spark, sf_dir, "lineitem") if raw is None else raw
+    return raw.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -229,8 +230,8 @@ def landing_header(spark, sf_dir, since: date | None = None):
     )
 
 
-def order_detail(spark, sf_dir):
-    return order_items(spark, sf_dir).select(
+def order_detail(spark, sf_dir, raw: DataFrame | None = None):
+    return order_items(spark, sf_dir, raw).select(
         F.col("order_item_id").alias("order_detail_id"),
         "order_id",
         "line_number",

@@ -72,6 +72,24 @@ def tokens(text, delimiters: str = " ") -> Column:
     return F.filter(F.split(_c(text), f"[{inner}]"), lambda t: t != "")
 
 
+def token_counts(text, delimiters: str = " ") -> Column:
+    """(token, n) of each different token: runs of equal ones in the sorted array."""
+
+    def runs(words: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(words))
+        heads = F.filter(places, lambda i: (i == 1) | (F.get(words, i - 1) != F.get(words, i - 2)))
+        return _once(heads, lambda h: F.transform(h, lambda i, j: F.struct(F.get(words, i - 1).alias("token"), (F.coalesce(F.get(h, j + 1), F.size(words) + 1) - i).cast("bigint").alias("n"))))
+
+    # no sequence counts down from 1 to 0: a text without tokens has no runs
+    found = F.when(F.size(tokens(text, delimiters)) > 0, F.array_sort(tokens(text, delimiters)))
+    return _once(found, lambda words: F.when(words.isNotNull(), runs(words)))
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strtok(text, delimiters: str = " ", part: int = 1) -> Column:
     return F.try_element_at(tokens(text, delimiters), F.lit(part))
 

@@ -12,13 +12,22 @@ def summarise_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
     Lines are first reduced to one row per order, which makes the order count a plain
     count. ``avg_line_value`` is the mean per line, not per order.
     """
-    per_order = fact.groupBy("date_sk", "order_id", "customer_sk").agg(
+    return summarise_orders(per_order(fact), dates)
+
+
+def per_order(fact: DataFrame) -> DataFrame:
+    """One row per order, day and buyer; these rows add up, whatever lines came when."""
+    return fact.groupBy("date_sk", "order_id", "customer_sk").agg(
         F.sum("net_amount").alias("net"),
         F.sum("profit_amount").alias("profit"),
         F.sum("quantity").alias("quantity"),
         F.count("net_amount").alias("lines"),
     )
-    per_day = per_order.groupBy("date_sk").agg(
+
+
+def summarise_orders(orders: DataFrame, dates: DataFrame) -> DataFrame:
+    """Daily totals of one row per order."""
+    per_day = orders.groupBy("date_sk").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("net").alias("total_revenue"),
         F.sum("profit").alias("total_profit"),

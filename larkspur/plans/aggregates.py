@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur import domain as D
+from larkspur.operators.quantiles import exact_quantiles
 from larkspur.registry import query
 
 
@@ -541,13 +542,8 @@ SELECT l_returnflag, l_linestatus, median(l_quantity) AS median, quantile_cont(l
   any_value(mode) AS mode FROM lineitem JOIN m USING (l_returnflag, l_linestatus) GROUP BY 1, 2""",
 )
 def aggf_quantile(spark, sf):
-    """Exact quantiles keep one counter per distinct value; quantities have a small fixed domain."""
-    return _lines(spark, sf).agg(
-        F.median("l_quantity").alias("median"),
-        F.expr("percentile_cont(0.9) WITHIN GROUP (ORDER BY l_quantity)").alias("p90_cont"),
-        F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY l_quantity)").alias("p90_disc"),
-        F.mode("l_quantity", True).alias("mode"),
-    )
+    """Counts per value instead of buffers of whole groups: a group may hold any share of the rows."""
+    return exact_quantiles(D.table(spark, sf, "lineitem"), KEYS, "l_quantity", {"median": 0.5, "p90_cont": 0.9}, {"p90_disc": 0.9}, "mode")
 
 
 @query("aggf_approx")

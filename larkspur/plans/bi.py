@@ -30,19 +30,20 @@ def completed(spark, sf, **only):
     "bi_top_customers",
     f"""SELECT customer_name, customer_segment, country, count(*) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
   CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_value FROM ({P.ENRICHED_SQL})
-WHERE order_date >= DATE '2001-07-02' AND order_status = 'COMPLETED' GROUP BY customer_id, 1, 2, 3 ORDER BY total_revenue DESC NULLS LAST, customer_name LIMIT 10""",
+WHERE order_date >= DATE '2001-07-02' AND order_status = 'COMPLETED' GROUP BY customer_id, 1, 2, 3 ORDER BY total_revenue DESC NULLS LAST, customer_name, customer_id LIMIT 10""",
 )
 def bi_top_customers(spark, sf, as_of: date = D.AS_OF_ORDERS, days: int = 30, k: int = 10):
     return (
         completed(spark, sf, since=as_of - timedelta(days=days))
-        .groupBy("customer_name", "customer_segment", "country")
+        .groupBy("customer_id", "customer_name", "customer_segment", "country")
         .agg(
             n_rows("order_count"),
             F.sum("total_amount").alias("total_revenue"),
             F.try_divide(F.sum("total_amount").cast("double"), F.count("total_amount")).alias("avg_order_value"),
         )
-        .orderBy(F.desc_nulls_last("total_revenue"), "customer_name")
+        .orderBy(F.desc_nulls_last("total_revenue"), "customer_name", "customer_id")
         .limit(k)
+        .drop("customer_id")
     )
 
 

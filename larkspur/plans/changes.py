@@ -17,6 +17,7 @@ from larkspur.plans.aggregates import n_rows
 from larkspur.plans.joins import initial_customer_dim
 from larkspur.registry import query
 from larkspur.session import durable, scratch_dir
+from larkspur.sources.partitioned import PartitionedTable
 from larkspur.sources.versioned import VersionedTable
 
 T1, T2 = datetime(2024, 1, 15), datetime(2024, 1, 30)
@@ -67,15 +68,18 @@ def change_append_only(spark, sf):
 
 @query("merge_upsert", P.DAILY_PLAIN_SQL)
 def merge_upsert(spark, sf, cut: date = date(2001, 5, 31), overlap: date = date(2001, 5, 1)):
-    """Stored summary up to ``cut``, merged with a later run that restates the last month and adds new days."""
-    table = VersionedTable.scratch(spark, "daily-summary")
+    """Stored summary up to ``cut``, merged with a later run that restates the last month and adds new days.
+
+    It is stored by month, and the merge reads and writes only the months the later run has rows in.
+    """
+    table = PartitionedTable.scratch(spark, "daily-summary", "month", F.date_format("summary_date", "yyyy-MM"))
     dates = P.dim_date(spark, sf)
     # the first run knew the restated month only in part: its pending orders had not arrived
     first = P.fact_sales(spark, sf, until=cut)
     known = (F.col("order_status") != "PENDING") | (F.col("date_sk") < int(overlap.strftime("%Y%m%d")))
-    target = table.write(summarise_sales(first.filter(known), dates))
+    table.write(summarise_sales(first.filter(known), dates))
     source = summarise_sales(P.fact_sales(spark, sf, since=overlap), dates)
-    return table.write(M.merge_upsert(target, source, ["summary_date"]))
+    return table.merge(source, ["summary_date"])
 
 
 AS_OF = D.AS_OF_ORDERS
@@ -176,11 +180,12 @@ def surrogate_key(spark, sf, start: int = 2, step: int = 10):
   CAST(CASE WHEN order_status = 'PENDING' AND order_date < DATE '1996-01-01' THEN 0 ELSE shipping_cost END AS DOUBLE) AS shipping_cost FROM v_orders""",
 )
 def update_where(spark, sf):
+    """The table lies by date, so the stale orders are in few files; only those are written again."""
     table = VersionedTable.scratch(spark, "orders")
-    stored = table.write(D.orders(spark, sf))
+    table.write(D.orders(spark, sf).repartitionByRange("order_date"))
     stale = (F.col("order_status") == "PENDING") & (F.col("order_date") < F.lit(date(1996, 1, 1)))
-    updated = M.update_where(stored, stale, {"order_status": F.lit("CANCELLED"), "shipping_cost": F.lit(0)})
-    return table.write(updated).select("order_id", "order_status", "shipping_cost")
+    values = {"order_status": F.lit("CANCELLED"), "shipping_cost": F.lit(0)}
+    return table.rewrite(stale, lambda rows: M.update_where(rows, stale, values)).select("order_id", "order_status", "shipping_cost")
 
 
 @query(
@@ -189,8 +194,9 @@ def update_where(spark, sf):
 )
 def delete_where(spark, sf):
     table = VersionedTable.scratch(spark, "landing")
-    stored = table.write(D.landing_header(spark, sf).select("order_id", "customer_id", "order_amount"))
-    return table.write(M.delete_where(stored, (F.col("customer_id") > 500) & (F.col("order_amount") > 100000)))
+    table.write(D.landing_header(spark, sf).select("order_id", "customer_id", "order_amount").repartitionByRange("order_amount"))
+    large = (F.col("customer_id") > 500) & (F.col("order_amount") > 100000)
+    return table.rewrite(large, lambda rows: M.delete_where(rows, large))
 
 
 @query(
@@ -214,9 +220,12 @@ def delete_all(spark, sf):
     "SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date FROM v_orders WHERE order_date >= (SELECT max(order_date) - 180 FROM v_orders)",
 )
 def retention_delete(spark, sf, days: int = 180):
-    table = VersionedTable.scratch(spark, "orders-retention")
+    """Months before the last one to keep are dropped as folders; only that one is written again."""
+    month = F.date_format("order_date", "yyyy-MM")
+    table = PartitionedTable.scratch(spark, "orders-retention", "month", month)
     stored = table.write(D.orders(spark, sf).select("order_id", "order_date"))
-    return table.write(M.keep_recent(stored, "order_date", days))
+    cutoff = F.lit(stored.agg(F.date_sub(F.max("order_date"), days)).first()[0])
+    return table.retain(F.col("order_date") >= cutoff, F.date_format(cutoff, "yyyy-MM"))
 
 
 @query("snapshot_as_of", _state_sql("2024-01-15"))
@@ -232,7 +241,8 @@ def bad_update_repair(spark, sf):
     """Find the rows a wrong update touched and their values from before it."""
     table = VersionedTable.scratch(spark, "state")
     before = table.write(C.snapshot_as_of(D.change_log(spark, sf), "key", VALUES, T2))
-    after = table.write(M.update_where(before, F.col("origin") == "view", {"payload": F.col("payload") + 100}))
+    wrong = F.col("origin") == "view"
+    after = table.rewrite(wrong, lambda rows: M.update_where(rows, wrong, {"payload": F.col("payload") + 100}))
     return C.changed_rows(table.read(1), after, "key", "payload")
 
 
@@ -258,7 +268,7 @@ def retention_telemetry(spark, sf, as_of: datetime = datetime(2024, 1, 31), even
     for name, (rows, old) in rules.items():
         table = VersionedTable.scratch(spark, name)
         stored = table.write(rows)
-        kept = table.write(M.delete_where(stored, old))
+        kept = table.rewrite(old, lambda rows, old=old: M.delete_where(rows, old))
         counts = stored.agg(n_rows("rows_before")).select(F.lit(name).alias("table_name"), "rows_before")
         out.append(counts.withColumn("rows_kept", kept.agg(n_rows()).scalar()))
     return out[0].unionByName(out[1])

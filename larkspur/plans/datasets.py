@@ -485,22 +485,24 @@ def daily_sales_by_brand(spark, sf):
     return brand_sales(D.order_header(spark, sf), D.truck(spark, sf), D.menu(spark, sf))
 
 
-def brand_sales(header, trucks, menu):
-    """The menu lists a brand once per item, so brands are made distinct before the join, not after it."""
+BRAND_KEYS = ["sales_date", "truck_brand_name", "primary_city", "region", "country"]
+
+
+def brand_rows(header, trucks, menu):
+    """Headers with their brand and place. The menu lists a brand once per item, so brands are made distinct before the join, not after it."""
     brands = menu.select("menu_type_id", "truck_brand_name").distinct()
     trucks = trucks.select("truck_id", "primary_city", "region", "country", "menu_type_id")
-    return (
-        _with_amounts(header)
-        .join(trucks.join(brands, "menu_type_id"), "truck_id")
-        .groupBy("sales_date", "truck_brand_name", "primary_city", "region", "country")
-        .agg(
-            n_rows("total_orders"),
-            F.sum("order_total").alias("total_revenue"),
-            F.sum("order_tax_amount").alias("total_tax"),
-            F.sum("order_discount_amount").alias("total_discount"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            D.mean("order_total").alias("avg_order_value"),
-        )
+    return _with_amounts(header).join(trucks.join(brands, "menu_type_id"), "truck_id")
+
+
+def brand_sales(header, trucks, menu):
+    return brand_rows(header, trucks, menu).groupBy(*BRAND_KEYS).agg(
+        n_rows("total_orders"),
+        F.sum("order_total").alias("total_revenue"),
+        F.sum("order_tax_amount").alias("total_tax"),
+        F.sum("order_discount_amount").alias("total_discount"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        D.mean("order_total").alias("avg_order_value"),
     )
 
 
@@ -511,24 +513,25 @@ def brand_sales(header, trucks, menu):
   CAST(sum(order_total) AS DOUBLE) / count(*) AS avg_order_value
 FROM v_header h JOIN v_location l ON CAST(h.location_id AS BIGINT) = l.location_id JOIN v_truck t ON h.truck_id = t.truck_id GROUP BY 1, 2, 3, 4""",
 )
-def regional_sales(spark, sf, header=None):
-    header = D.order_header(spark, sf) if header is None else header
-    place = D.location(spark, sf).select("location_id", "city", "country")
-    return (
-        _with_amounts(header)
-        .join(place, "location_id")
-        .join(D.truck(spark, sf).select("truck_id", "region"), "truck_id")
-        .groupBy("sales_date", "city", "country", "region")
-        .agg(
-            n_rows("order_count"),
-            F.sum("order_total").alias("total_revenue"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("truck_id").alias("unique_trucks"),
-            D.mean("order_total").alias("avg_order_value"),
-        )
+def regional_sales(spark, sf):
+    return regional_rows(spark, sf, D.order_header(spark, sf)).groupBy(*REGION_KEYS).agg(
+        n_rows("order_count"),
+        F.sum("order_total").alias("total_revenue"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count_distinct("truck_id").alias("unique_trucks"),
+        D.mean("order_total").alias("avg_order_value"),
     )
 
 
+REGION_KEYS = ["sales_date", "city", "country", "region"]
+
+
+def regional_rows(spark, sf, header):
+    place = D.location(spark, sf).select("location_id", "city", "country")
+    trucks = D.truck(spark, sf).select("truck_id", "region")
+    return _with_amounts(header).join(place, "location_id").join(trucks, "truck_id")
+
+
 @query(
     "customer_activity",
     """WITH heads AS (SELECT customer_id, CAST(order_ts AS DATE) AS d, count(*) AS order_count, sum(order_total) AS spent, max(order_ts) AS last_ts,
@@ -539,27 +542,37 @@ SELECT heads.customer_id, strftime(heads.d, '%Y-%m-%d') AS activity_date, order_
   array_to_string(places, ',') AS visited_locations, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_order_timestamp FROM heads LEFT JOIN goods
   ON heads.d = goods.d AND heads.customer_id IS NOT DISTINCT FROM goods.customer_id""",
 )
-def customer_activity(spark, sf, header=None):
+def customer_activity(spark, sf):
     """Orders are counted from headers and items from lines, so that no total repeats per line."""
-    header = D.order_header(spark, sf) if header is None else header
-    header = header.withColumn("activity_date", F.to_date("order_ts"))
-    heads = header.groupBy("customer_id", "activity_date").agg(
+    header = D.order_header(spark, sf)
+    heads = visits(header).groupBy("customer_id", "activity_date").agg(
         n_rows("order_count"),
-        F.sum(F.coalesce("order_total", F.lit(0))).alias("total_spent"),
-        F.sort_array(F.collect_set(F.col("location_id").cast("bigint"))).alias("visited_locations"),
+        F.sum("total_spent").alias("total_spent"),
+        F.sort_array(F.collect_set("location_id")).alias("visited_locations"),
         F.max("order_ts").alias("last_order_timestamp"),
     )
+    bought = D.order_detail(spark, sf).join(buyers(header), "order_id").select("customer_id", "activity_date", "menu_item_id").distinct()
+    return with_favorites(heads, bought, D.menu(spark, sf))
+
+
+def visits(header):
+    total = F.coalesce("order_total", F.lit(0)).cast("decimal(18,4)").alias("total_spent")
+    place = F.col("location_id").cast("bigint").alias("location_id")
+    return header.select("customer_id", F.to_date("order_ts").alias("activity_date"), place, total, "order_ts")
+
+
+def buyers(header):
+    return header.select("order_id", "customer_id", F.to_date("order_ts").alias("activity_date"))
+
+
+def with_favorites(heads, bought, menu):
+    """Adds the names of the different items bought; orders without a customer form a group of their own."""
     names = (
-        D.order_detail(spark, sf)
-        .select("order_id", "menu_item_id")
-        .distinct()
-        .join(header.select("order_id", "customer_id", "activity_date"), "order_id")
-        .join(D.menu(spark, sf).select("menu_item_id", "menu_item_name"), "menu_item_id")
+        bought.join(menu.select("menu_item_id", "menu_item_name"), "menu_item_id")
         .groupBy("customer_id", "activity_date")
         .agg(F.sort_array(F.collect_set("menu_item_name")).alias("favorite_menu_items"))
         .withColumnsRenamed({"customer_id": "c", "activity_date": "d"})
     )
-    # orders without a customer form a group of their own
     same = F.col("customer_id").eqNullSafe(F.col("c")) & (F.col("activity_date") == F.col("d"))
     return heads.join(names, same, "left").drop("c", "d")
 
@@ -570,9 +583,8 @@ def customer_activity(spark, sf, header=None):
   CAST(sum(d.quantity) AS BIGINT) AS total_quantity, CAST(sum(d.price) AS DOUBLE) AS total_revenue, CAST(sum(d.price) AS DOUBLE) / count(*) AS avg_price
 FROM v_detail d JOIN v_menu m USING (menu_item_id) JOIN v_header h USING (order_id) GROUP BY 1, 2, 3, 4""",
 )
-def menu_item_performance(spark, sf, header=None):
-    header = D.order_header(spark, sf) if header is None else header
-    days = header.select("order_id", F.to_date("order_ts").alias("performance_date"))
+def menu_item_performance(spark, sf):
+    days = D.order_header(spark, sf).select("order_id", F.to_date("order_ts").alias("performance_date"))
     sold = (
         D.order_detail(spark, sf)
         .join(days, "order_id")

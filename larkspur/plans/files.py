@@ -12,6 +12,7 @@ from larkspur.plans.aggregates import n_rows
 from larkspur.registry import query
 from larkspur.session import scratch_dir
 from larkspur.sources import files as S
+from larkspur.sources.load_log import LoggedTable
 from larkspur.sources.versioned import VersionedTable
 from larkspur.streaming.consume import Consumer, stream_table
 
@@ -60,6 +61,35 @@ def load_csv_options(spark, sf):
     return loaded.withColumn("lang", F.trim("lang"))
 
 
+@query(
+    "load_csv_bytes",
+    """SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN source || chr(65533) || '(' WHEN doc_id % 3 = 1 THEN source || chr(65533) ELSE source END AS source FROM documents""",
+)
+def load_csv_bytes(spark, sf):
+    """Files with bytes that are no UTF-8: a lead byte without its follower, a stray byte."""
+    bad = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("C328"))).when(F.col("doc_id") % 3 == 1, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    line = F.concat(F.concat_ws("|", "doc_id", "lang", "source").cast("binary"), bad).cast("string")
+    path = scratch_dir(spark, "bytes")
+    D.table(spark, sf, "documents").select(line.alias("value")).write.text(path)
+    return S.read_bytes(spark, path, "doc_id bigint, lang string, source string", sep="|")
+
+
+@query(
+    "load_csv_dates",
+    """SELECT o_orderkey, d AS iso, d AS day_first, d AS month_first, d AS named, CASE WHEN o_orderkey % 3 <> 2 THEN d END AS mixed
+FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)""",
+)
+def load_csv_dates(spark, sf):
+    """Date columns of unknown patterns, one of them mixed and with values that are no dates."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    mixed = F.when(key % 3 == 0, F.date_format(day, "yyyyMMdd")).when(key % 3 == 1, F.date_format(day, "dd.MM.yyyy")).otherwise("n/a")
+    written = {"iso": "yyyy-MM-dd", "day_first": "dd/MM/yyyy", "month_first": "MM/dd/yyyy", "named": "dd-MMM-yyyy"}
+    staged = D.table(spark, sf, "orders").select("o_orderkey", *[F.date_format(day, f).alias(n) for n, f in written.items()], mixed.alias("mixed"))
+    columns = [*written, "mixed"]
+    raw = S.read_csv(spark, _staged(spark, staged, "dates"), "o_orderkey bigint, " + ", ".join(f"{c} string" for c in columns))
+    return S.parse_dates(raw, S.detect_dates(raw, columns))
+
+
 @query("select_from_files", "SELECT 'part' AS kind, c_mktsegment AS segment, count(*) AS n, TRUE AS has_name FROM customer GROUP BY 2")
 def select_from_files(spark, sf):
     """Positions instead of names, with the source file of every row."""
@@ -130,12 +160,12 @@ def load_error_policy(spark, sf):
 @query(
     "load_report",
     """SELECT c_mktsegment AS folder, CAST(count(*) AS BIGINT) AS rows_parsed, count(*) FILTER (NOT bad) AS rows_loaded, count(*) FILTER (bad) AS errors_seen,
-  CASE WHEN count(*) FILTER (bad) = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status FROM
-(SELECT *, c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000 AS bad FROM customer) GROUP BY 1""",
+  min(record) FILTER (bad) AS first_error, CASE WHEN count(*) FILTER (bad) = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status FROM
+(SELECT *, c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000 AS bad, c_custkey || ',' || c_name || ',' || c_nationkey || ',n/a,' || c_mktsegment AS record FROM customer) GROUP BY 1""",
 )
 def load_report(spark, sf):
     report = S.load_report(_tolerant(spark, sf))
-    return report.select(F.col("file_path").alias("folder"), "rows_parsed", "rows_loaded", "errors_seen", "status")
+    return report.select(F.col("file_path").alias("folder"), "rows_parsed", "rows_loaded", "errors_seen", "first_error", "status")
 
 
 @query(
@@ -150,16 +180,24 @@ def load_rejects(spark, sf):
 
 @query(
     "load_history",
-    """SELECT CAST(run AS BIGINT) AS run, c_mktsegment AS folder, count(*) AS rows_parsed, count(*) FILTER (NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000)) AS rows_loaded,
-  CASE WHEN count(*) FILTER (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000) = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status
-FROM customer, range(1, 3) r(run) GROUP BY 1, 2""",
+    """SELECT CAST(run AS BIGINT) AS run, c_mktsegment AS folder, CAST(count(*) AS BIGINT) AS rows_parsed, count(*) FILTER (NOT bad) AS rows_loaded, count(*) FILTER (bad) AS errors_seen,
+  min(record) FILTER (bad) AS first_error, CASE WHEN count(*) FILTER (bad) = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status, count(*) FILTER (NOT bad) AS rows_in_table, TRUE AS timed
+FROM (SELECT *, c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000 AS bad, c_custkey || ',' || c_name || ',' || c_nationkey || ',n/a,' || c_mktsegment AS record FROM customer), range(1, 3) r(run) GROUP BY 1, 2""",
 )
 def load_history(spark, sf):
-    """Reports of two loads of the same files, the second one forced, as one history."""
-    rows = _tolerant(spark, sf)
-    reports = [S.load_report(rows).withColumn("run", F.lit(run)) for run in (1, 2)]
-    log = S.append_table(spark, reports, "load-history")
-    return log.select("run", F.col("file_path").alias("folder"), "rows_parsed", "rows_loaded", "status")
+    """Three loads of the same files: the second finds all of them logged and loads none, the third is forced."""
+    folder, table = _with_bad_rows(spark, sf), LoggedTable.scratch(spark, "load-history", CUSTOMER)
+    for force in (False, False, True):
+        table.load(folder, force)
+    status = F.when(F.sum("errors_seen") == 0, "LOADED").otherwise("PARTIALLY_LOADED")
+    log = table.history().groupBy("run", F.regexp_extract("file_path", "folder=([^/]+)", 1).alias("folder")).agg(
+        *[F.sum(c).alias(c) for c in ("rows_parsed", "rows_loaded", "errors_seen")],
+        F.min("first_error").alias("first_error"),
+        status.alias("status"),
+        F.bool_and(F.col("loaded_at") >= F.col("last_modified")).alias("timed"),
+    )
+    held = table.rows().groupBy("run", F.col("c_mktsegment").alias("folder")).agg(n_rows("rows_in_table"))
+    return log.join(held, ["run", "folder"])
 
 
 @query("load_pattern", "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
@@ -201,12 +239,19 @@ def infer_schema(spark, sf):
     return S.infer_schema(spark, _staged(spark, _customers(spark, sf), "infer"))
 
 
-@query("list_files")
-def list_files(spark, sf):
-    """The given tables as files: name, size, digest."""
-    return S.list_files(spark, sf, pattern="*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "size", "md5"
-    )
+@query(
+    "list_files",
+    """SELECT CAST(c_custkey // 5000 AS BIGINT) AS part, md5(string_agg(line || chr(10), '' ORDER BY c_custkey)) AS md5, CAST(sum(strlen(line) + 1) AS BIGINT) AS size, TRUE AS timed
+FROM (SELECT c_custkey, c_custkey || '|' || c_name || '|' || c_mktsegment AS line FROM customer) GROUP BY 1""",
+)
+def list_files(spark, sf, whole: int = 100_000):
+    """Staged files by size, digest and time; those above ``whole`` bytes are digested without being read into one row."""
+    line = F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value")
+    rows = _customers(spark, sf).select("c_custkey", line, F.expr("c_custkey div 5000").alias("part"))
+    path = scratch_dir(spark, "listed")
+    rows.repartition("part").sortWithinPartitions("part", "c_custkey").select("value", "part").write.partitionBy("part").text(path)
+    part = F.regexp_extract("file_path", "part=([^/]+)/", 1).cast("bigint").alias("part")
+    return S.list_files(spark, path, pattern="*.txt", whole=whole).select(part, "md5", "size", F.col("last_modified").isNotNull().alias("timed"))
 
 
 @query("ctas", "SELECT customer_segment, country, count(*) AS n FROM v_customers GROUP BY 1, 2")
@@ -299,18 +344,28 @@ def ingest_forced(spark, sf):
 
 @query(
     "ingest_purge",
-    "SELECT event_type, count(*) AS n, CAST(0 AS BIGINT) AS files_left FROM events GROUP BY 1",
+    """SELECT event_type, count(*) AS n, count(*) FILTER (event_type IN ('error', 'purchase')) AS loaded_late, TRUE AS late_files_kept, CAST(0 AS BIGINT) AS files_left FROM events GROUP BY 1""",
 )
 def ingest_purge(spark, sf):
-    """Staged files are deleted once they are loaded; the loaded rows stay."""
+    """Staged files are deleted once they are loaded; one that arrives between load and purge stays and is loaded next."""
     events = D.table(spark, sf, "events").select("event_id", "event_type")
-    path = scratch_dir(spark, "purged")
-    events.write.parquet(path)
+    path, late = scratch_dir(spark, "purged"), F.col("event_type").isin("error", "purchase")
     loader = Consumer.scratch(spark, "purge")
+
+    def files_left() -> int:
+        return S.list_files(spark, path, with_md5=False, pattern="*.parquet").agg(n_rows("n")).first()["n"]
+
+    events.filter(~late).write.parquet(path)
+    loader.run(stream_table(spark, path, events.schema), lambda batch: batch)
+    loaded = files_left()
+    events.filter(late).write.mode("append").parquet(path)
+    arrived = files_left() - loaded
+    loader.purge()
+    kept = files_left() == arrived > 0
     loader.run(stream_table(spark, path, events.schema), lambda batch: batch)
-    S.purge(spark, path)
-    left = S.list_files(spark, path, with_md5=False).agg(n_rows("files_left")).scalar()
-    return loader.result().groupBy("event_type").agg(n_rows()).withColumn("files_left", left)
+    loader.purge()
+    rows = loader.result().groupBy("event_type").agg(n_rows(), F.count_if(F.col("batch_id") > 0).alias("loaded_late"))
+    return rows.withColumns({"late_files_kept": F.lit(kept), "files_left": F.lit(files_left()).cast("long")})
 
 
 ZIPF_RANKS = 10

@@ -236,19 +236,17 @@ def join_semi_exists(spark, sf):
     "join_cross",
     """SELECT strftime(d.order_date, '%Y-%m-%d') AS order_date, m.payment_method, count(o.order_id) AS orders
 FROM (SELECT DISTINCT order_date FROM v_orders) d CROSS JOIN (SELECT DISTINCT payment_method FROM v_orders) m
-LEFT JOIN v_orders o ON o.order_date = d.order_date AND o.payment_method = m.payment_method GROUP BY 1, 2""",
+LEFT JOIN v_orders o ON o.order_date = d.order_date AND o.payment_method IS NOT DISTINCT FROM m.payment_method GROUP BY 1, 2""",
 )
 def join_cross(spark, sf):
-    """Every day paired with every payment method; the few methods are those of the data, and the pairing is an explode."""
+    """Every day paired with every payment method of the data, an unknown or missing one too; the pairing is an explode."""
     sold = D.orders(spark, sf).groupBy("order_date", "payment_method").agg(F.count(F.lit(1)).alias("orders"))
-    methods = sold.agg(F.collect_set("payment_method")).scalar()
+    methods = sold.agg(F.collect_set(F.struct("payment_method"))).scalar()
     # count per day and method in one pass, then lay the methods out beside each day
-    by_day = sold.groupBy("order_date").agg(F.map_from_entries(F.collect_list(F.struct("payment_method", "orders"))).alias("m"))
-    return by_day.select("order_date", F.explode(methods).alias("payment_method"), "m").select(
-        "order_date",
-        "payment_method",
-        F.coalesce(F.col("m")[F.col("payment_method")], F.lit(0)).alias("orders"),
-    )
+    by_day = sold.groupBy("order_date").agg(F.collect_list(F.struct("payment_method", "orders")).alias("m"))
+    paired = by_day.select("order_date", F.explode(methods).alias("p"), "m").select("order_date", "p.payment_method", "m")
+    own = F.filter("m", lambda x: x["payment_method"].eqNullSafe(F.col("payment_method")))
+    return paired.select("order_date", "payment_method", F.coalesce(F.get(own, 0)["orders"], F.lit(0)).alias("orders"))
 
 
 @query(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur import domain as D
-from larkspur.operators.refresh import summarise_sales
+from larkspur.operators.refresh import per_order, summarise_orders
 from larkspur.plans import datasets as P
 from larkspur.plans.aggregates import n_rows
 from larkspur.registry import query, sql_of
 from larkspur.streaming.consume import Consumer, append_stream, daily_parts, daily_totals, is_folder, lookback_parts, lookback_totals, once, stream_table
-from larkspur.streaming.refresh import RefreshedTable
+from larkspur.streaming.partials import PartialTable
 
 
 def follow(spark, sf, name: str):
@@ -49,21 +49,22 @@ def city_sales_incremental(spark, sf, city: str = P.CITY):
     return consumer.result().groupBy("date").agg(F.sum("total_sales").alias("total_sales"))
 
 
-def _order_day(raw):
-    return raw.withColumn("date", F.to_date(F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)))
-
-
 @query("city_sales_live", CITY_TOTAL_SQL)
 def city_sales_live(spark, sf, city: str = P.CITY):
-    """The same totals as a refreshed table: touched days are computed again from all orders."""
-    transform = city_totals(spark, sf, city)
+    """The same totals kept as partial sums per day; a batch reads no order but its own."""
+    place = D.location(spark, sf).filter(F.col("city") == city).select("location_id")
+
+    def partial(batch):
+        header = D.order_header(spark, sf, raw=batch).withColumn("location_id", F.col("location_id").cast("bigint"))
+        day, total = F.to_date("order_ts").alias("date"), F.coalesce("order_total", F.lit(0)).cast("decimal(28,4)").alias("total_sales")
+        return header.join(place, "location_id").select(day, total, ONE)
+
+    table = PartialTable.scratch(spark, "city-live", ["date"], ["total_sales", "n"])
+    table.refresh(follow(spark, sf, "orders"), partial)
+    return table.read().drop("n")
 
-    def compute(days):
-        return transform(_order_day(D.table(spark, sf, "orders")).join(days, "date", "left_semi").drop("date"))
 
-    live = RefreshedTable.scratch(spark, ["date"], lambda batch: _order_day(batch).select("date").distinct(), compute, "city-live")
-    live.refresh(follow(spark, sf, "orders"))
-    return live.read()
+ONE = F.lit(1).cast("bigint").alias("n")
 
 
 @query(
@@ -86,58 +87,109 @@ def consume_changes_once(spark, sf):
     return consumer.result().groupBy("origin").agg(F.sum("inserts").alias("inserts"), F.sum("payload").alias("payload"))
 
 
-@query("dynamic_table_refresh", P.DAILY_PLAIN_SQL)
-def dynamic_table_refresh(spark, sf):
-    """Daily sales summary kept current from arriving orders."""
-
-    def touched(batch):
-        return batch.select(F.to_date("o_orderdate").alias("summary_date")).distinct()
-
-    def compute(days):
-        # orders of the days first, so that only their lines are priced
-        kept = D.orders(spark, sf).join(days.withColumnRenamed("summary_date", "order_date"), "order_date", "left_semi")
-        items = D.order_items(spark, sf).join(kept.select("order_id"), "order_id", "left_semi")
-        fact = P.build_fact_sales(items, kept, P.initial_customer_dim(spark, sf), P.initial_product_dim(spark, sf))
-        return summarise_sales(fact, P.dim_date(spark, sf))
+def order_lines(spark, sf, heads, line_columns: list[str]):
+    """Lines joined to their orders as both arrive, in any order: each pair comes once, and no table is read but as a stream."""
+    lines = D.order_detail(spark, sf, raw=follow(spark, sf, "lineitem")).select("order_id", *line_columns)
+    return lines.join(heads(D.order_header(spark, sf, raw=follow(spark, sf, "orders"))), "order_id")
 
-    table = RefreshedTable.scratch(spark, ["summary_date"], touched, compute, "daily-refresh")
-    table.refresh(follow(spark, sf, "orders"))
-    return table.read()
 
+@query("dynamic_table_refresh", P.DAILY_PLAIN_SQL)
+def dynamic_table_refresh(spark, sf):
+    """Daily sales summary kept current from arriving orders and lines; its state is one narrow row per order."""
+    table = PartialTable.scratch(spark, "daily-refresh", ["date_sk", "order_id", "customer_sk"], ["net", "profit", "quantity", "lines"])
+    table.count = "lines"
+    raw_lines = follow(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    raw_orders = follow(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    both = raw_lines.join(raw_orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-def _followed(spark, sf, day: str, summarise, label: str):
-    """A summary of order headers by day, kept current from arriving orders."""
-
-    def touched(batch):
-        return _order_day(batch).select(F.col("date").alias(day)).distinct()
-
-    def compute(days):
-        raw = _order_day(D.table(spark, sf, "orders")).join(days.withColumnRenamed(day, "date"), "date", "left_semi").drop("date")
-        return summarise(D.order_header(spark, sf, raw=raw))
+    def partial(batch):
+        items = D.order_items(spark, sf, raw=batch)
+        # a batch holds an order once per line
+        heads = D.orders(spark, sf, raw=batch.dropDuplicates(["o_orderkey"]))
+        return per_order(P.build_fact_sales(items, heads, P.initial_customer_dim(spark, sf), P.initial_product_dim(spark, sf)))
 
-    table = RefreshedTable.scratch(spark, [day], touched, compute, label)
-    table.refresh(follow(spark, sf, "orders"))
-    return table.read()
+    table.refresh(both, partial)
+    return summarise_orders(table.read(), P.dim_date(spark, sf))
 
 
 @query("brand_sales_live", sql_of("daily_sales_by_brand"))
 def brand_sales_live(spark, sf):
-    return _followed(spark, sf, "sales_date", lambda h: P.brand_sales(h, D.truck(spark, sf), D.menu(spark, sf)), "brand-live")
+    measures = ["order_total", "order_tax_amount", "order_discount_amount"]
+    table = PartialTable.scratch(spark, "brand-live", [*P.BRAND_KEYS, "customer_id"], [*measures, "n"])
+
+    def partial(batch):
+        rows = P.brand_rows(D.order_header(spark, sf, raw=batch), D.truck(spark, sf), D.menu(spark, sf))
+        return rows.select(*P.BRAND_KEYS, "customer_id", *[F.col(m).cast("decimal(28,4)").alias(m) for m in measures], ONE)
+
+    table.refresh(follow(spark, sf, "orders"), partial)
+    return table.read().groupBy(*P.BRAND_KEYS).agg(
+        F.sum("n").alias("total_orders"),
+        F.sum("order_total").alias("total_revenue"),
+        F.sum("order_tax_amount").alias("total_tax"),
+        F.sum("order_discount_amount").alias("total_discount"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        (F.sum("order_total").cast("double") / F.sum("n")).alias("avg_order_value"),
+    )
 
 
 @query("regional_sales_live", sql_of("regional_sales"))
 def regional_sales_live(spark, sf):
-    return _followed(spark, sf, "sales_date", lambda h: P.regional_sales(spark, sf, header=h), "region-live")
+    table = PartialTable.scratch(spark, "region-live", [*P.REGION_KEYS, "customer_id", "truck_id"], ["order_total", "n"])
+
+    def partial(batch):
+        rows = P.regional_rows(spark, sf, D.order_header(spark, sf, raw=batch))
+        return rows.select(*P.REGION_KEYS, "customer_id", "truck_id", F.col("order_total").cast("decimal(28,4)").alias("order_total"), ONE)
+
+    table.refresh(follow(spark, sf, "orders"), partial)
+    return table.read().groupBy(*P.REGION_KEYS).agg(
+        F.sum("n").alias("order_count"),
+        F.sum("order_total").alias("total_revenue"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count_distinct("truck_id").alias("unique_trucks"),
+        (F.sum("order_total").cast("double") / F.sum("n")).alias("avg_order_value"),
+    )
 
 
 @query("customer_activity_live", sql_of("customer_activity"))
 def customer_activity_live(spark, sf):
-    return _followed(spark, sf, "activity_date", lambda h: P.customer_activity(spark, sf, header=h), "customer-live")
+    """Two tables of partial rows: places and totals from the orders, items from orders joined to their lines."""
+    who = ["customer_id", "activity_date"]
+    places = PartialTable.scratch(spark, "customer-live", [*who, "location_id"], ["total_spent", "n"], ["order_ts"])
+    items = PartialTable.scratch(spark, "customer-items", [*who, "menu_item_id"], ["n"])
+
+    def visited(batch):
+        rows = P.visits(D.order_header(spark, sf, raw=batch))
+        return rows.select(*who, "location_id", F.col("total_spent").cast("decimal(28,4)").alias("total_spent"), "order_ts", ONE)
+
+    places.refresh(follow(spark, sf, "orders"), visited)
+    items.refresh(order_lines(spark, sf, P.buyers, ["menu_item_id"]), lambda batch: batch.select(*who, "menu_item_id", ONE))
+    heads = places.read().groupBy(*who).agg(
+        F.sum("n").alias("order_count"),
+        F.sum("total_spent").alias("total_spent"),
+        F.sort_array(F.collect_set("location_id")).alias("visited_locations"),
+        F.max("order_ts").alias("last_order_timestamp"),
+    )
+    return P.with_favorites(heads, items.read().select(*who, "menu_item_id"), D.menu(spark, sf))
 
 
 @query("menu_item_performance_live", sql_of("menu_item_performance"))
 def menu_item_performance_live(spark, sf):
-    return _followed(spark, sf, "performance_date", lambda h: P.menu_item_performance(spark, sf, header=h), "menu-live")
+    table = PartialTable.scratch(spark, "menu-live", ["performance_date", "menu_item_id"], ["quantity", "price", "n"])
+    sold = order_lines(spark, sf, lambda h: h.select("order_id", F.to_date("order_ts").alias("performance_date")), ["menu_item_id", "quantity", "price"])
+
+    def partial(batch):
+        return batch.select("performance_date", "menu_item_id", F.col("quantity").cast("bigint").alias("quantity"), F.col("price").cast("decimal(28,4)").alias("price"), ONE)
+
+    table.refresh(sold, partial)
+    rows = table.read().select(
+        "performance_date",
+        "menu_item_id",
+        F.col("n").alias("times_ordered"),
+        F.col("quantity").alias("total_quantity"),
+        F.col("price").alias("total_revenue"),
+        (F.col("price").cast("double") / F.col("n")).alias("avg_price"),
+    )
+    return rows.join(D.menu(spark, sf).select("menu_item_id", "menu_item_name", "truck_brand_name"), "menu_item_id")
 
 
 @query(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from larkspur import domain as D
 from larkspur.functions.units import fahrenheit_to_celsius, inch_to_millimeter, winsorize
-from larkspur.plans.aggregates import n_rows
 from larkspur.registry import query
 
 
@@ -79,8 +78,8 @@ def udtf_token_rows(spark, sf):
     """SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2""",
 )
 def udtf_split_rows(spark, sf):
-    """One row per token of the whole text, counted per document."""
-    from larkspur.functions.dialect import tokens
+    """One row per different token of each whole text with its count, all within the row: no token is shuffled."""
+    from larkspur.functions.dialect import token_counts
 
-    words = D.table(spark, sf, "documents").select("doc_id", F.explode(tokens("text", " \n")).alias("token"))
-    return words.groupBy("doc_id", "token").agg(n_rows())
+    counted = D.table(spark, sf, "documents").select("doc_id", F.explode(token_counts("text", " \n")).alias("t"))
+    return counted.select("doc_id", "t.token", "t.n")

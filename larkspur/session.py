@@ -24,6 +24,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # files are compressed: judge a side by its size in memory before it is broadcast
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # state of streams grows with the keys ever seen: on disk, checkpointed by its changes
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -1,16 +1,25 @@
-"""Tables that can be rewritten while they are read.
+"""Tables on immutable files that can be rewritten while they are read.
 
-Parquet has no UPDATE or MERGE. A rewrite goes to a new version folder and only then
-is the version number appended to the table's version log; readers follow the highest
-logged number, so they never see a half-written state.
+Parquet has no UPDATE or MERGE. A rewrite puts new files beside the old ones and then
+publishes the names of the live files under the next version number, in one append of one
+file; readers follow the highest number, so they never see a half-written state, and a
+rewrite that broke before it was published is simply done again. Two writers of one table
+must take turns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.session import scratch_dir
+from larkspur.sources.files import list_files, literal_path
+from larkspur.streaming.consume import path_exists
+
+FILE = "_file"
 
 
 class VersionedTable:
@@ -21,29 +30,44 @@ class VersionedTable:
     def scratch(cls, spark: SparkSession, label: str) -> "VersionedTable":
         return cls(spark, scratch_dir(spark, label))
 
-    @property
-    def _log(self) -> str:
-        return f"{self.path}/versions"
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+    def _published(self) -> DataFrame:
+        if not path_exists(self.spark, f"{self.path}/live"):
+            return self.spark.createDataFrame([], "version int, file string")
+        return self.spark.read.schema("version int, file string").parquet(f"{self.path}/live")
 
     def version(self) -> int:
-        if not self._exists(self._log):
-            return 0
-        return self.spark.read.schema("version int").parquet(self._log).agg(F.max("version")).first()[0]
+        return self._published().agg(F.max("version")).first()[0] or 0
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """Store the next version and return it as read from storage."""
-        nxt = self.version() + 1
-        df.write.mode("overwrite").parquet(self._folder(nxt))
-        self.spark.range(1).select(F.lit(nxt).alias("version")).write.mode("append").parquet(self._log)
-        return self.read()
+    def files(self, version: int | None = None) -> list[str]:
+        """The live files of a version; names only, never contents."""
+        wanted = version or self.version()
+        return [r["file"] for r in self._published().filter(F.col("version") == wanted).select("file").toLocalIterator()]
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self._folder(version or self.version()))
+        return self._open(self.files(version))
+
+    def _open(self, files: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*[literal_path(unquote(f)) for f in files])
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """Store the whole table anew as the next version and return it as read from storage."""
+        return self._store(df, [])
+
+    def rewrite(self, matches: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Applies ``change`` to the rows of the files that hold a matching row; all other files stay as they are."""
+        live = self.files()
+        hit = self._open(live).filter(matches).select(F.col("_metadata.file_path").alias(FILE)).distinct()
+        touched = {r[FILE] for r in hit.toLocalIterator()}
+        if not touched:
+            return self.read()
+        return self._store(change(self._open(sorted(touched))), [f for f in live if f not in touched])
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/v{version:08d}"
+    def _store(self, df: DataFrame, kept: list[str]) -> DataFrame:
+        version = self.version() + 1
+        folder = f"{self.path}/data/v{version:08d}"
+        df.write.mode("overwrite").parquet(folder)
+        new = list_files(self.spark, folder, with_md5=False, pattern="*.parquet").select(F.col("file_path").alias("file"))
+        old = self.spark.createDataFrame([(f,) for f in kept], "file string")
+        listing = new.unionByName(old).select(F.lit(version).alias("version"), "file")
+        listing.coalesce(1).write.mode("append").parquet(f"{self.path}/live")
+        return self.read(version)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.session import scratch_dir
+from larkspur.session import remove_path, scratch_dir
 
 BatchFn = Callable[[DataFrame], DataFrame]
 
@@ -39,6 +39,27 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(where).isDirectory()
 
 
+def committed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(path) of every file a checkpoint has read in a batch that was committed.
+
+    Commits name the batches that are done, the offsets of the last of them say how far the log of
+    source files counts. Files that arrived later, or stand in a batch that never finished, are not in it.
+    """
+    none = spark.createDataFrame([], "path string")
+    if not path_exists(spark, f"{checkpoint}/commits"):
+        return none
+    commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits")
+    last = commits.agg(F.max(F.element_at(F.split("path", "/"), -1).try_cast("long"))).first()[0]
+    if last is None:
+        return none
+    offsets = spark.read.text(f"{checkpoint}/offsets/{last}").select(F.get_json_object("value", "$.logOffset").cast("long").alias("offset"))
+    reach = offsets.agg(F.max("offset")).first()[0]
+    entries = spark.read.text(f"{checkpoint}/sources/0").select(F.from_json("value", "path string, batchId long").alias("e"))
+    # the log escapes its paths as URIs do
+    path = F.url_decode(F.replace("e.path", F.lit("+"), F.lit("%2B")))
+    return entries.filter((F.col("e.path").isNotNull()) & (F.col("e.batchId") <= reach)).select(path.alias("path")).distinct()
+
+
 def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.foreachBatch(on_batch)
@@ -81,6 +102,15 @@ class Consumer:
         run_available(stream, self.checkpoint, write)
         return len(self.batches) - before
 
+    def purge(self) -> int:
+        """Deletes the source files whose rows are in committed batches, and no others; returns how many there were."""
+        gone = 0
+        for row in committed_files(self.spark, self.checkpoint).toLocalIterator():
+            if path_exists(self.spark, row["path"]):
+                remove_path(self.spark, row["path"])
+                gone += 1
+        return gone
+
     def result(self) -> DataFrame:
         """All rows consumed so far, by this object or an earlier one."""
         if not path_exists(self.spark, self.sink):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ _HERE = "_present"
 class RefreshedTable:
     """Keeps ``compute(keys)`` stored per key, a key having any number of rows.
 
-    ``touched(batch)`` returns the distinct, non-null keys of a micro-batch and
+    For results that no partial sums can give; ``PartialTable`` reads nothing but the batch.
+    ``touched(batch)`` returns the distinct keys of a micro-batch, null keys too, and
     ``compute(keys)`` recomputes exactly those from the base tables, so late rows change
     closed keys too. A batch writes the rows of its keys, and a marker for each key, to its own
     folder; a reader takes for each key what the latest batch wrote. So writes grow with
@@ -50,5 +52,7 @@ class RefreshedTable:
         if not path_exists(self.spark, self.path):
             raise RuntimeError("nothing has been refreshed yet")
         rows = self.spark.read.option("basePath", self.path).parquet(self.path)
-        latest = rows.filter(~F.col(_HERE)).groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
-        return rows.filter(_HERE).join(latest, [*self.keys, "batch_id"]).drop("batch_id", _HERE)
+        names = {k: f"_l_{k}" for k in [*self.keys, "batch_id"]}
+        latest = rows.filter(~F.col(_HERE)).groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id")).withColumnsRenamed(names)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+        return rows.filter(_HERE).join(latest, same).drop("batch_id", _HERE, *names.values())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import changes as C
 from larkspur.operators import merge as M
+from larkspur.sources.partitioned import PartitionedTable
 from larkspur.sources.versioned import VersionedTable
 
 LOG = "key int, commit_ts timestamp_ntz, commit_id bigint, step int, action string, is_update boolean, payload int"
@@ -138,3 +139,71 @@ def test_versions(spark):
     one = table.write(spark.range(3))
     two = table.write(one.filter("id > 0"))  # rewrites what it reads
     assert (one.count(), two.count(), table.version(), table.read(1).count()) == (3, 2, 2, 3)
+
+
+def test_rewrite_leaves_other_files(spark):
+    table = VersionedTable.scratch(spark, "t-files")
+    table.write(spark.range(100).select("id", (F.col("id") % 7).alias("v")).repartitionByRange(5, "id"))
+    before = set(table.files())
+    hit = F.col("id") == 41
+    out = table.rewrite(hit, lambda rows: M.update_where(rows, hit, {"v": F.lit(99)}))
+    assert as_set(out) == {(i, 99 if i == 41 else i % 7) for i in range(100)}
+    assert len(before & set(table.files())) == len(before) - 1
+    assert as_set(table.read(1)) == {(i, i % 7) for i in range(100)}  # the old version is still there
+    assert table.rewrite(F.col("id") == 1000, lambda rows: rows).count() == 100 and table.version() == 2
+    gone = table.rewrite(F.col("id") >= 0, lambda rows: M.delete_where(rows, F.col("id") >= 0))
+    assert gone.columns == ["id", "v"] and gone.count() == 0
+
+
+def test_rewrite_is_done_again_after_a_break(spark):
+    table = VersionedTable.scratch(spark, "t-again")
+    table.write(spark.range(10).repartitionByRange(2, "id"))
+    # files of a rewrite that broke before it was published
+    spark.range(500, 600).write.parquet(f"{table.path}/data/v00000002")
+    assert table.version() == 1 and table.read().count() == 10
+    hit = F.col("id") < 3
+    assert as_set(table.rewrite(hit, lambda rows: M.delete_where(rows, hit))) == {(i,) for i in range(3, 10)}
+
+
+def month_table(spark, label):
+    table = PartitionedTable.scratch(spark, label, "month", F.date_format("day", "yyyy-MM"))
+    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-06-30')) AS day").withColumn("v", F.lit(1))
+    return table, days
+
+
+def month_files(spark, table):
+    return {m: {r["f"] for r in g} for m, g in _grouped(table.read(True).select("month", F.col("_metadata.file_path").alias("f")).distinct().collect())}
+
+
+def _grouped(found):
+    out = {}
+    for r in found:
+        out.setdefault(r["month"], []).append(r)
+    return out.items()
+
+
+def test_merge_writes_touched_months_only(spark):
+    table, days = month_table(spark, "t-months")
+    table.merge(days, ["day"])  # into nothing: the source alone
+    before = month_files(spark, table)
+    source = spark.createDataFrame([(date(2024, 3, 5), 7), (date(2024, 9, 1), 8)], "day date, v int")
+    out = {r["day"]: r["v"] for r in table.merge(source, ["day"]).collect()}
+    assert len(out) == 183 and out[date(2024, 3, 5)] == 7 and out[date(2024, 9, 1)] == 8 and sum(out.values()) == 181 + 15
+    after = month_files(spark, table)
+    assert {m for m in after if after[m] != before.get(m)} == {"2024-03", "2024-09"}
+    assert sorted(map(str, table.merge(source.limit(0), ["day"]).select("day").collect())) == sorted(map(str, table.read().select("day").collect()))
+
+
+def test_retention_drops_whole_months(spark):
+    table, days = month_table(spark, "t-retain")
+    table.write(days)
+    before = month_files(spark, table)
+    cut = F.lit(date(2024, 3, 10))
+    kept = table.retain(F.col("day") >= cut, F.date_format(cut, "yyyy-MM"))
+    assert {r["day"] for r in kept.collect()} == {r["day"] for r in days.collect() if r["day"] >= date(2024, 3, 10)}
+    after = month_files(spark, table)
+    assert set(after) == {"2024-03", "2024-04", "2024-05", "2024-06"}
+    assert {m for m in after if after[m] != before[m]} == {"2024-03"}
+    first = F.lit(date(2024, 4, 1))
+    table.retain(F.col("day") >= first, F.date_format(first, "yyyy-MM"))
+    assert month_files(spark, table)["2024-05"] == before["2024-05"]

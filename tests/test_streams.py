@@ -12,6 +12,8 @@ from larkspur.plans.streams import city_totals
 from larkspur.registry import callables
 from larkspur.session import scratch_dir
 from larkspur.streaming.consume import Consumer, append_stream, daily_parts, daily_totals, lookback_parts, lookback_totals, once, stream_table
+from larkspur.streaming.consume import committed_files
+from larkspur.streaming.partials import PartialTable
 from larkspur.streaming.refresh import RefreshedTable
 
 
@@ -188,3 +190,119 @@ def test_summaries_follow_several_batches(spark, folders, monkeypatch):
     for live, whole in (("brand_sales_live", "daily_sales_by_brand"), ("regional_sales_live", "regional_sales"), ("menu_item_performance_live", "menu_item_performance"), ("customer_activity_live", "customer_activity")):
         a, b = callables()[live](spark, folders), callables()[whole](spark, folders)
         assert a.select(b.columns).exceptAll(b).isEmpty() and a.count() == b.count()
+
+
+MOVES = "day string, who bigint, amount bigint, sign int"
+
+
+def moves_partial(batch):
+    sign = F.col("sign").cast("bigint")
+    return batch.select("day", "who", (F.col("amount") * sign).alias("amount"), sign.alias("n"), F.col("amount").alias("top"))
+
+
+def moves_stream(spark, path, max_files=None):
+    return stream_table(spark, path, spark.createDataFrame([], MOVES).schema, max_files=max_files)
+
+
+@pytest.mark.parametrize("bound", [1, 32])
+def test_partials_retract_compact_and_restart(spark, bound):
+    """Distinct counts are exact after retractions, null keys are keys, and late rows reach closed days."""
+    src, path, state = (scratch_dir(spark, f"t-partial{i}") for i in range(3))
+
+    def table():
+        return PartialTable(spark, ["day", "who"], ["amount", "n"], path, state, ["top"], bound=bound)
+
+    batches = [
+        [("a", 1, 5, 1), ("a", 1, 6, 1), ("a", 2, 7, 1), (None, None, 1, 1)],
+        [("b", 1, 1, 1), ("a", 1, 5, -1)],
+        [("a", 1, 6, -1), ("a", 3, 2, 1), (None, None, 2, 1)],
+        [("b", 1, 1, -1)],
+    ]
+    for rows_ in batches:
+        spark.createDataFrame(rows_, MOVES).coalesce(1).write.mode("append").parquet(src)
+        assert table().refresh(moves_stream(spark, src), moves_partial) == 1
+    assert table().refresh(moves_stream(spark, src), moves_partial) == 0
+    got = table().read().groupBy("day").agg(F.count("who").alias("people"), F.sum("amount").alias("amount")).collect()
+    assert {tuple(r) for r in got} == {("a", 2, 9), (None, 0, 3)}
+    assert len(table()._live()[1]) <= bound + 1
+
+
+def test_partials_replay_leaves_one_copy(spark):
+    src = scratch_dir(spark, "t-partial-src")
+    spark.createDataFrame([("a", 1, 5, 1)], MOVES).coalesce(1).write.parquet(src)
+    table = PartialTable.scratch(spark, "t-partial-replay", ["day", "who"], ["amount", "n"])
+    table.refresh(moves_stream(spark, src), moves_partial)
+    # the same batch again, as after a failure before its commit
+    table.fold(moves_partial(spark.read.schema(MOVES).parquet(src))).write.mode("overwrite").parquet(f"{table.path}/parts/batch_id=0")
+    assert [r["amount"] for r in table.read().collect()] == [5]
+
+
+@pytest.mark.parametrize("files,each", [(1, 1), (4, 1), (40, 10)])
+def test_summary_equals_batch_whatever_the_files(spark, small, tmp_path_factory, monkeypatch, files, each):
+    """Orders and lines in any number of files, lines often before their orders; a batch scans neither table."""
+    out = tmp_path_factory.mktemp(f"split{files}")
+    for name in "region nation customer supplier part lineitem orders".split():
+        split = {"orders": (files, "o_orderkey"), "lineitem": (files, "l_partkey")}.get(name)
+        df = spark.read.parquet(f"{small}/{name}.parquet")
+        (df.repartition(*split) if split else df.coalesce(1)).write.parquet(f"{out}/{name}.parquet")
+    plans = []
+    fold = PartialTable.fold
+
+    def watched(self, rows_):
+        plans.append(rows_._jdf.queryExecution().optimizedPlan().toString())
+        return fold(self, rows_)
+
+    monkeypatch.setattr(PartialTable, "fold", watched)
+    monkeypatch.setattr(streams, "stream_table", lambda *a, **k: stream_table(*a, **{**k, "max_files": each}))
+    got = rows(callables()["dynamic_table_refresh"](spark, str(out)).select("summary_date", "total_orders", "unique_customers", "total_revenue", "total_profit", "total_quantity"))
+    want = rows(callables()["daily_sales_summary"](spark, small).select("summary_date", "total_orders", "unique_customers", "total_revenue", "total_profit", "total_quantity"))
+    assert got == want
+    for plan in plans[:-1]:
+        # columns of the two tables come from the batch only, which is no file relation
+        scans = [line for line in plan.split("\n") if "Relation" in line]
+        assert scans and not any("o_orderkey" in s or "l_orderkey" in s for s in scans)
+
+
+def test_state_of_streams_is_on_disk(spark):
+    spark_conf = "spark.sql.streaming.stateStore.providerClass"
+    callables()  # a query configures its session
+    from larkspur.session import configure
+
+    assert "RocksDB" in configure(spark).conf.get(spark_conf)
+    src, state, sink = (scratch_dir(spark, f"t-rocks{i}") for i in range(3))
+
+    def run():
+        stream = once(stream_table(spark, src, spark.range(1).schema), ["id"])
+        query = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+
+    spark.range(10).coalesce(1).write.parquet(src)
+    assert "RocksDB" in run().lastProgress["stateOperators"][0]["customMetrics"].__str__().replace("rocksdb", "RocksDB")
+    spark.range(5, 15).coalesce(1).write.mode("append").parquet(src)
+    run()  # a new query on the same checkpoint still knows the keys
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == list(range(15))
+
+
+def test_committed_files_are_those_of_finished_batches(spark):
+    src = scratch_dir(spark, "t committed+%20")
+    consumer = Consumer.scratch(spark, "t-committed")
+    schema = spark.range(1).schema
+    assert committed_files(spark, consumer.checkpoint).collect() == []
+    for n in range(12):  # beyond the tenth batch the log of files is compacted
+        spark.range(n, n + 1).coalesce(1).write.mode("append").parquet(src)
+        consumer.run(stream_table(spark, src, schema), lambda b: b)
+    assert committed_files(spark, consumer.checkpoint).count() == 12
+
+    def broken(batch):
+        if batch.isEmpty():
+            return batch
+        raise RuntimeError("no")
+
+    spark.range(50, 51).coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(Exception):
+        consumer.run(stream_table(spark, src, schema), broken)
+    assert consumer.purge() == 12 and consumer.purge() == 0
+    # the file of the batch that failed is still there and is loaded next
+    assert consumer.run(stream_table(spark, src, schema), lambda b: b) == 1
+    assert sorted(r["id"] for r in consumer.result().collect()) == [*range(12), 50]
