@@ -43,6 +43,17 @@ def lookup(col: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def renamed(col: Column, mapping: dict) -> Column:
+    """Codes as names; a code the dictionary does not know stays itself, so that its rows are still told apart."""
+    return lookup(col, mapping, col)
+
+
+def codes_of(names, mapping: dict) -> list:
+    """The stored codes of names; a name of no code is a code itself."""
+    known = set(mapping.values())
+    return [code for code, name in mapping.items() if name in names] + [name for name in names if name not in known]
+
+
 def dec(col: Column | str, precision: int = 18, scale: int = 4) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     return col.cast(f"decimal({precision},{scale})")
@@ -117,16 +128,16 @@ def orders(spark, sf_dir, status=None, payment=None, since: date | None = None,
     raw = _days(table(spark, sf_dir, "orders") if raw is None else raw, since, until)
     if status is not None:
         names = [status] if isinstance(status, str) else list(status)
-        raw = raw.filter(F.col("o_orderstatus").isin([code for code, name in ORDER_STATUS.items() if name in names]))
+        raw = raw.filter(F.col("o_orderstatus").isin(codes_of(names, ORDER_STATUS)))
     if payment is not None:
-        raw = raw.filter(F.col("o_orderpriority").isin([code for code, name in PAYMENT_METHODS.items() if name == payment]))
+        raw = raw.filter(F.col("o_orderpriority").isin(codes_of([payment], PAYMENT_METHODS)))
     key = F.col("o_orderkey")
     return raw.select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("order_date"),
-        lookup(F.col("o_orderstatus"), ORDER_STATUS).alias("order_status"),
-        lookup(F.col("o_orderpriority"), PAYMENT_METHODS).alias("payment_method"),
+        renamed(F.col("o_orderstatus"), ORDER_STATUS).alias("order_status"),
+        renamed(F.col("o_orderpriority"), PAYMENT_METHODS).alias("payment_method"),
         dec(key % 46 + 5, 8, 2).alias("shipping_cost"),
         dec(key % 101, 8, 2).alias("discount_amount"),
     )

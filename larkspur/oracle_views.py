@@ -17,9 +17,9 @@ SELECT p_partkey AS product_id, p_name || ' Model-' || p_partkey AS product_name
 FROM part""",
     "v_orders": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
-  CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PROCESSING' ELSE 'PENDING' END AS order_status,
+  CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PROCESSING' WHEN 'P' THEN 'PENDING' ELSE o_orderstatus END AS order_status,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit Card' WHEN '2-HIGH' THEN 'PayPal' WHEN '3-MEDIUM' THEN 'Debit Card'
-    WHEN '4-NOT SPECIFIED' THEN 'Bank Transfer' ELSE 'Cash on Delivery' END AS payment_method,
+    WHEN '4-NOT SPECIFIED' THEN 'Bank Transfer' WHEN '5-LOW' THEN 'Cash on Delivery' ELSE o_orderpriority END AS payment_method,
   CAST(o_orderkey % 46 + 5 AS DECIMAL(8,2)) AS shipping_cost, CAST(o_orderkey % 101 AS DECIMAL(8,2)) AS discount_amount
 FROM orders""",
     "v_items": """

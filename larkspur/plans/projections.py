@@ -84,7 +84,7 @@ def case_decode(spark, sf):
     member = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey"))
     return D.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        D.lookup(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"),
+        D.renamed(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"),
         D.lookup(F.col("o_orderpriority"), ranks).alias("severity_rank"),
         # decode() pairs NULL with NULL, unlike a simple CASE
         F.when(member.eqNullSafe(F.lit(None)), "guest").otherwise("member").alias("buyer"),
@@ -103,7 +103,7 @@ SELECT order_status, n, CASE WHEN unit IS NULL THEN CAST(amount AS VARCHAR) ELSE
 def format_count(spark, sf):
     return (
         D.table(spark, sf, "orders")
-        .groupBy(D.lookup(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"))
+        .groupBy(D.renamed(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"))
         .agg(F.sum(F.floor("o_totalprice")).alias("amount"), F.count(F.lit(1)).alias("n"))
         .select("order_status", "n", human_count(F.col("amount")).alias("formatted"))
     )
@@ -273,7 +273,7 @@ def filter_params(spark, sf, status: str = "P", since: str = "1999-01-01"):
         args={"status": status, "since": since},
         raw=D.table(spark, sf, "orders"),
     )
-    return counts.select(D.lookup(F.col("o_orderpriority"), D.PAYMENT_METHODS).alias("payment_method"), "orders")
+    return counts.select(D.renamed(F.col("o_orderpriority"), D.PAYMENT_METHODS).alias("payment_method"), "orders")
 
 
 @query(
@@ -286,6 +286,6 @@ def scalar_subquery(spark, sf):
     average = raw.agg(D.mean("total")).scalar()
     return (
         raw.filter(F.col("total") > average)
-        .groupBy(D.lookup(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"))
+        .groupBy(D.renamed(F.col("o_orderstatus"), D.ORDER_STATUS).alias("order_status"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"))
     )

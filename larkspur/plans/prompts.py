@@ -43,7 +43,12 @@ def chat_history_pack(spark, sf, part_size: int = 500):
 
 
 def packed_history(spark, sf, part_size: int):
-    turns = numbered(D.table(spark, sf, "conversations"), ["turn"], "_pos", start=0, keys=["conv_id"])
+    """Messages are numbered by (conversation, turn) alone; their texts travel once, to their part."""
+    said = D.table(spark, sf, "conversations")
+    heads = numbered(said.select("conv_id", "turn"), ["turn"], "_pos", start=0, keys=["conv_id"])
+    # messages of one turn share a place
+    heads = heads.groupBy("conv_id", "turn").agg(F.min("_pos").alias("_pos")).withColumnsRenamed({"conv_id": "_c", "turn": "_t"})
+    turns = said.join(heads, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")))
     part = F.floor(F.col("_pos") / part_size).alias("part")
     message = F.struct("_pos", "role", F.col("text").alias("content"))
     packed = turns.groupBy("conv_id", part).agg(F.sort_array(F.collect_list(message)).alias("m"))

@@ -26,7 +26,7 @@ ALERTS = {
     ),
     "anomaly": (
         "ORDER_AMOUNT_ANOMALY", "WARNING", "ANOMALY_DETECTION",
-        "Detected orders with unusually high amounts (>$1000)", "raw_pos.order_header",
+        "Detected orders with unusually high amounts (>${limit})", "raw_pos.order_header",
     ),
     "negative": (
         "NEGATIVE_ORDER_TOTAL", "CRITICAL", "DATA_QUALITY",
@@ -55,9 +55,13 @@ ALERTS = {
 }
 
 
-def _rule(kind: str, bad=None) -> Rule:
+# order total above which an alert is raised
+AMOUNT_LIMIT = 1000
+
+
+def _rule(kind: str, bad=None, **limits) -> Rule:
     name, severity, category, message, source = ALERTS[kind]
-    return Rule(name, severity, message, source, bad, category)
+    return Rule(name, severity, message.format(**limits), source, bad, category)
 
 
 def _after(col: str, moment: datetime):
@@ -73,8 +77,8 @@ def missing_values(as_of: datetime, hours: int = 1) -> Rule:
     return _rule("missing", lacking & _recent(as_of, hours))
 
 
-def amount_anomaly(as_of: datetime, hours: int = 1, limit: int = 1000) -> Rule:
-    return _rule("anomaly", (F.col("order_total") > limit) & _recent(as_of, hours))
+def amount_anomaly(as_of: datetime, hours: int = 1, limit: int = AMOUNT_LIMIT) -> Rule:
+    return _rule("anomaly", (F.col("order_total") > limit) & _recent(as_of, hours), limit=limit)
 
 
 def negative_total(as_of: datetime, hours: int = 1) -> Rule:
@@ -107,6 +111,7 @@ def recent_landing(spark, sf, as_of: datetime = AS_OF, hours: int = YEAR_HOURS):
 
 def _alert_sql(kind: str, count: str, source: str) -> str:
     name, severity, category, message, table = ALERTS[kind]
+    message = message.format(limit=AMOUNT_LIMIT)
     return (
         f"SELECT '{name}' AS alert_name, '{severity}' AS severity, '{category}' AS category, '{message}' AS message, record_count, "
         f"'{table}' AS affected_table FROM (SELECT {count} AS record_count FROM {source}) WHERE record_count > 0"
@@ -118,7 +123,7 @@ SQL = {
     "dq_missing_values": _alert_sql(
         "missing", "count(*)", f"v_landing WHERE (order_amount IS NULL OR order_total IS NULL OR customer_id IS NULL) AND {LAST_YEAR}"
     ),
-    "dq_amount_anomaly": _alert_sql("anomaly", "count(*)", f"v_landing WHERE order_total > 1000 AND {LAST_YEAR}"),
+    "dq_amount_anomaly": _alert_sql("anomaly", "count(*)", f"v_landing WHERE order_total > {AMOUNT_LIMIT} AND {LAST_YEAR}"),
     "dq_negative_total": _alert_sql("negative", "count(*)", f"v_landing WHERE order_total < 0 AND {LAST_YEAR}"),
     "dq_orphan_headers": _alert_sql(
         "orphan", "count(*)", f"v_header WHERE order_id NOT IN (SELECT order_id FROM v_detail) AND {LAST_YEAR}"

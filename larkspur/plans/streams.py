@@ -57,14 +57,15 @@ def city_sales_live(spark, sf, city: str = P.CITY):
     def partial(batch):
         header = D.order_header(spark, sf, raw=batch).withColumn("location_id", F.col("location_id").cast("bigint"))
         day, total = F.to_date("order_ts").alias("date"), F.coalesce("order_total", F.lit(0)).cast("decimal(28,4)").alias("total_sales")
-        return header.join(place, "location_id").select(day, total, ONE)
+        return header.join(place, "location_id").select(day, total, one())
 
     table = PartialTable.scratch(spark, "city-live", ["date"], ["total_sales", "n"])
     table.refresh(follow(spark, sf, "orders"), partial)
     return table.read().drop("n")
 
 
-ONE = F.lit(1).cast("bigint").alias("n")
+def one():
+    return F.lit(1).cast("bigint").alias("n")
 
 
 @query(
@@ -119,7 +120,7 @@ def brand_sales_live(spark, sf):
 
     def partial(batch):
         rows = P.brand_rows(D.order_header(spark, sf, raw=batch), D.truck(spark, sf), D.menu(spark, sf))
-        return rows.select(*P.BRAND_KEYS, "customer_id", *[F.col(m).cast("decimal(28,4)").alias(m) for m in measures], ONE)
+        return rows.select(*P.BRAND_KEYS, "customer_id", *[F.col(m).cast("decimal(28,4)").alias(m) for m in measures], one())
 
     table.refresh(follow(spark, sf, "orders"), partial)
     return table.read().groupBy(*P.BRAND_KEYS).agg(
@@ -138,7 +139,7 @@ def regional_sales_live(spark, sf):
 
     def partial(batch):
         rows = P.regional_rows(spark, sf, D.order_header(spark, sf, raw=batch))
-        return rows.select(*P.REGION_KEYS, "customer_id", "truck_id", F.col("order_total").cast("decimal(28,4)").alias("order_total"), ONE)
+        return rows.select(*P.REGION_KEYS, "customer_id", "truck_id", F.col("order_total").cast("decimal(28,4)").alias("order_total"), one())
 
     table.refresh(follow(spark, sf, "orders"), partial)
     return table.read().groupBy(*P.REGION_KEYS).agg(
@@ -159,10 +160,10 @@ def customer_activity_live(spark, sf):
 
     def visited(batch):
         rows = P.visits(D.order_header(spark, sf, raw=batch))
-        return rows.select(*who, "location_id", F.col("total_spent").cast("decimal(28,4)").alias("total_spent"), "order_ts", ONE)
+        return rows.select(*who, "location_id", F.col("total_spent").cast("decimal(28,4)").alias("total_spent"), "order_ts", one())
 
     places.refresh(follow(spark, sf, "orders"), visited)
-    items.refresh(order_lines(spark, sf, P.buyers, ["menu_item_id"]), lambda batch: batch.select(*who, "menu_item_id", ONE))
+    items.refresh(order_lines(spark, sf, P.buyers, ["menu_item_id"]), lambda batch: batch.select(*who, "menu_item_id", one()))
     heads = places.read().groupBy(*who).agg(
         F.sum("n").alias("order_count"),
         F.sum("total_spent").alias("total_spent"),
@@ -178,7 +179,7 @@ def menu_item_performance_live(spark, sf):
     sold = order_lines(spark, sf, lambda h: h.select("order_id", F.to_date("order_ts").alias("performance_date")), ["menu_item_id", "quantity", "price"])
 
     def partial(batch):
-        return batch.select("performance_date", "menu_item_id", F.col("quantity").cast("bigint").alias("quantity"), F.col("price").cast("decimal(28,4)").alias("price"), ONE)
+        return batch.select("performance_date", "menu_item_id", F.col("quantity").cast("bigint").alias("quantity"), F.col("price").cast("decimal(28,4)").alias("price"), one())
 
     table.refresh(sold, partial)
     rows = table.read().select(

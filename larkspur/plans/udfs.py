@@ -45,10 +45,13 @@ def udf_python_scalar(spark, sf, upper: float = 40.0, lower: float = 5.0):
     return D.table(spark, sf, "events").select("event_id", winsorize(F.col("value"), upper, lower).alias("clamped"))
 
 
-def prices_above(spark, sf, floor: float):
-    """Table function: items priced above a floor."""
-    return D.menu(spark, sf).filter(F.col("sale_price_usd") > floor).select(
-        F.col("menu_item_name").alias("item"), F.col("sale_price_usd").alias("price")
+def register_prices_above(spark, sf) -> None:
+    """A SQL table function: ``SELECT * FROM menu_prices_above(940)``. Its body is inlined, so filters around it reach the scan."""
+    D.menu(spark, sf).createOrReplaceTempView("menu_items")
+    spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION menu_prices_above(floor_price DECIMAL(18,4))
+        RETURNS TABLE (item STRING, price DECIMAL(18,4))
+        RETURN SELECT menu_item_name, sale_price_usd FROM menu_items WHERE sale_price_usd > floor_price"""
     )
 
 
@@ -57,7 +60,8 @@ def prices_above(spark, sf, floor: float):
     "SELECT menu_item_name AS item, CAST(sale_price_usd AS DOUBLE) AS price FROM v_menu WHERE sale_price_usd > 940 AND menu_item_name ILIKE '%bolt%'",
 )
 def udtf_prices_above(spark, sf):
-    return prices_above(spark, sf, 940).filter(F.col("item").ilike("%BOLT%"))
+    register_prices_above(spark, sf)
+    return spark.sql("SELECT item, price FROM menu_prices_above(940) WHERE item ILIKE '%BOLT%'")
 
 
 @query(

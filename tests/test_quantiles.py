@@ -96,3 +96,41 @@ def test_boosted_trees_beat_a_forest(spark, small):
     _, plain = train_score(spark, small, forest)
     _, better = train_score(spark, small, boosted(8, 7))
     assert better >= plain - 1e-9 and better > 0.8, (plain, better)
+
+
+def test_codes_without_a_name_keep_their_own(spark, altered):
+    from larkspur import domain as D
+
+    names = {r["payment_method"] for r in D.orders(spark, altered).select("payment_method").distinct().collect()}
+    assert "6-NEW" in names and None in names and "Credit Card" in names
+    key = F.col("o_orderkey") % 5 == 0
+    want = spark.read.parquet(f"{altered}/orders.parquet").filter(key).count()
+    assert D.orders(spark, altered, payment="6-NEW").count() == want > 0
+
+
+def test_alert_names_its_limit():
+    from larkspur.plans import quality as Q
+
+    assert "(>$250)" in Q.amount_anomaly(datetime(2001, 7, 1), limit=250).message
+    assert "(>$1000)" in Q.amount_anomaly(datetime(2001, 7, 1)).message
+
+
+def test_table_function_from_sql(spark, small):
+    from larkspur.plans.udfs import register_prices_above
+
+    register_prices_above(spark, small)
+    every = spark.sql("SELECT count(*) AS n FROM menu_prices_above(0)").first()["n"]
+    some = spark.sql("SELECT t.item FROM menu_prices_above(940) t WHERE t.price < 1000000")
+    assert 0 < some.count() < every
+
+
+def test_long_conversations_are_packed_in_parts(spark, tmp_path):
+    from larkspur.plans.prompts import packed_history
+
+    rows = [(1, t, "user", f"m{t:04d}") for t in range(1234)] + [(2, 0, "user", "a"), (2, 0, "tool", "b"), (2, 1, "user", "c"), (None, 1, "user", "d")]
+    path = tmp_path / "conversations.parquet"
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6).write.parquet(str(path))
+    got = {(r["conv_id"], r["part"]): [m["content"] for m in r["messages"]] for r in packed_history(spark, str(tmp_path), 500).collect()}
+    assert [len(got[1, p]) for p in range(3)] == [500, 500, 234]
+    assert got[1, 0] + got[1, 1] + got[1, 2] == [f"m{t:04d}" for t in range(1234)]
+    assert sorted(got[2, 0]) == ["a", "b", "c"] and got[2, 0][-1] == "c" and got[None, 0] == ["d"]
