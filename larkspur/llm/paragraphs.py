@@ -1,17 +1,24 @@
 """Repeated paragraphs by MinHash banding.
 
+A paragraph is a stretch of the whole word sequence between two places that the words
+themselves choose: a run of four words whose hash is the least among all that begin up to
+``WINDOW`` words before or after it. Lines do not matter, so a passage copied into the middle of a line falls
+into the same stretches as in its source, but for its two ends. Stretches within a text have
+more than ``WINDOW`` words; what is left before the first place and after the last may be shorter.
+
 Paragraphs with equal words are one node from the start. A node's word shingles are hashed
-by ``bands * rows`` functions; two nodes whose minima agree in a whole band meet. With 16 bands of
-4 rows a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^4)^16 = 0.9998, one of
-0.3 with 0.12. Meeting nodes are verified by the exact Jaccard similarity of their shingles.
+by ``bands * rows`` functions; two nodes whose minima agree in a whole band meet. With 6 bands of
+3 rows a pair of similarity 0.8 meets with probability 1 - (1 - 0.8^3)^6 = 0.987, one of 0.9 with
+0.9996 and one of 0.3 with 0.15. Meeting nodes are verified by the exact Jaccard similarity of
+their shingles.
 
 A bucket never becomes all its pairs: first every node is verified against the least node of
 each of its buckets, and then only nodes whose components still differ meet each other, so a
 crowd of near copies costs its size. Components of the verified links are the classes; all
 but the first paragraph of a class are removals.
 
-Short lines take part like all others. A line whose few shingles no other text can share
-(``_alone``) has only equal lines for company, which its node unites; it gets no band keys.
+A paragraph whose few shingles no other text can share (``_alone``) has only equal ones for
+company, which its node unites; it gets no band keys.
 """
 
 from __future__ import annotations
@@ -19,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,9 +37,11 @@ from larkspur.session import durable
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 4
-#: paragraphs of fewer words take no part; every line with words does
-MIN_WORDS = 1
+BANDS, ROWS = 6, 3
+#: words on either side of a place among which its run of GRAM words has the least hash
+WINDOW, GRAM = 12, 4
+#: shorter beginnings and ends of texts take no part, but for texts that are no longer as a whole; no stretch within a text is as short
+MIN_WORDS = 12
 
 #: nodes of a bucket that are compared as one block
 CROWD_BLOCK = 256
@@ -43,12 +51,61 @@ _TEXTS_SEEN = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def paragraphs(text: bytes | None) -> Iterator[tuple[int, bytes]]:
-    """(number, words joined by one blank, A-Z lower-cased) of each line that has words; numbers count all lines."""
-    for n, line in enumerate((text or b"").lower().split(b"\n")):
-        words = line.split()
-        if words:
-            yield n, b" ".join(words)
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` values in a row, by doubling."""
+    out, done = values, 1
+    while done < width:
+        step = min(done, width - done)
+        out = np.minimum(out[:-step], out[step:])
+        done += step
+    return out
+
+
+def gram_hashes(words: list[bytes], hashes: dict) -> np.ndarray:
+    """A hash for each run of GRAM words."""
+    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    n = len(own) - GRAM + 1
+    mixed = np.zeros(max(n, 0), dtype=np.uint64)
+    for j in range(GRAM):
+        mixed = (mixed ^ own[j : j + len(mixed)]) * _ODD
+        mixed ^= mixed >> np.uint64(31)
+    return mixed
+
+
+def stretches(words: list[bytes], hashes: dict, window: int) -> list[int]:
+    """Ends of the stretches of a word sequence; of equal least hashes in a window the first counts."""
+    if not words:
+        return []
+    h = gram_hashes(words, hashes)
+    if len(h) < 2:
+        return [len(words)]
+    edge = np.full(window, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = _least(np.r_[edge, h, edge], window)
+    before, after = least[: len(h)], least[window + 1 : window + 1 + len(h)]
+    places = np.flatnonzero((h < before) & (h <= after))
+    return [*places[places > 0].tolist(), len(words)]
+
+
+def paragraphs(text: bytes | None, hashes: dict, window: int = WINDOW, least_words: int = MIN_WORDS) -> Iterator[tuple[int, bytes]]:
+    """(number, words joined by one blank, A-Z lower-cased) of each stretch that takes part; numbers count all stretches."""
+    words = (text or b"").lower().split()
+    begin = 0
+    for n, end in enumerate(stretches(words, hashes, window)):
+        if end - begin >= least_words or end - begin == len(words):
+            yield n, b" ".join(words[begin:end])
+        begin = end
+
+
+def short_repeats(docs: DataFrame, below: int = MIN_WORDS) -> DataFrame:
+    """(line, n_words, n_lines) of every line of 1 to ``below`` - 1 words that stands more than once, over all documents.
+
+    Such lines, licence phrases or headings, say little about the documents that hold them, so they
+    are counted and name no document. Equal lines are added up in tasks first.
+    """
+    words = F.filter(F.split(F.lower("text"), r"[ \t\x0B\f\r]+"), lambda w: w != "")
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("text")).select(words.alias("w"))
+    short = lines.filter(F.size("w").between(1, below - 1)).select(F.array_join("w", " ").alias("line"), F.size("w").alias("n_words"))
+    return short.groupBy("line").agg(F.first("n_words").alias("n_words"), F.count("*").alias("n_lines")).filter("n_lines > 1")
 
 
 def shingles(words: bytes, size: int = SHINGLE) -> set[bytes]:
@@ -106,10 +163,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
-def _enough(words: bytes, least: int) -> bool:
-    return words.count(b" ") + 1 >= least
-
-
 def _alone(words: bytes, size: int, least: float) -> bool:
     """Whether no other text can have the similarity ``least``, so that only equal texts are one class.
 
@@ -117,34 +170,51 @@ def _alone(words: bytes, size: int, least: float) -> bool:
     sets come to k / (k + 1) at most; the same set in another text needs a run of size - 1 words
     that stands twice, else there is one way to string the shingles together.
     """
-    own = words.split(b" ")
-    n = len(own) - size + 1
+    n = words.count(b" ") + 2 - size
     if n < 1:
         return True
     if n >= least * (n + 1):
         return False
+    own = words.split(b" ")
     joints = {b" ".join(own[i : i + size - 1]) for i in range(n + 1)}
     return len(joints) == n + 1
 
 
-def places(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, paragraph, node): where each text stands; the node is a 128-bit digest of its words."""
+def places(docs: DataFrame, window: int, least_words: int, size: int, bands: int, rows: int, least: float) -> DataFrame:
+    """(doc_id, paragraph, node, short, keys): where each text stands; the node is a 128-bit digest of its words.
+
+    ``keys`` are the band keys, the band number being part of each. They stand with the first of equal texts a
+    task has seen lately and are empty with the others, so a very common text is sent a few times; a text that
+    no other can be like has none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = _WordHashes(), set()
+        offsets = np.arange(bands, dtype=np.uint64) * _ODD
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                rows = [
-                    (doc_id, n, xxhash.xxh3_128_digest(words))
-                    for doc_id, text in zip(part.column(0).to_pylist(), part.column(1))
-                    for n, words in paragraphs(text.as_py())
-                    if _enough(words, least)
-                ]
-                columns = list(zip(*rows)) or [()] * 3
-                kinds = (pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "paragraph", "node"])
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                ids, numbers, nodes, fresh, texts = [], [], [], [], []
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
+                    for n, words in paragraphs(text.as_py(), hashes, window, least_words):
+                        node = xxhash.xxh3_128_digest(words)
+                        if node not in seen and not _alone(words, size, least):
+                            seen.add(node)
+                            fresh.append(len(nodes))
+                            texts.append(words)
+                        ids.append(doc_id)
+                        numbers.append(n)
+                        nodes.append(node)
+                if len(seen) > _TEXTS_SEEN:
+                    seen.clear()
+                many = np.zeros(len(nodes), dtype=np.int32)
+                many[fresh] = bands
+                keys = (band_keys(texts, hashes, size, bands, rows) + offsets).view(np.int64).ravel() if texts else np.zeros(0, np.int64)
+                listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(keys))
+                columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(nodes, pa.binary()), pa.array(_short(nodes)), listed]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "paragraph", "node", "short", "keys"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, paragraph int, node binary")
+    return _texts(docs).mapInArrow(run, "doc_id long, paragraph int, node binary, short long, keys array<long>")
 
 
 def _short(digests: list[bytes]) -> np.ndarray:
@@ -155,34 +225,14 @@ def _short(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2)[:, 0].astype(np.int64)
 
 
-def _meeting(text: bytes | None, least_words: int, size: int, least: float) -> Iterator[bytes]:
+def _meeting(text: bytes | None, hashes: dict, window: int, least_words: int, size: int, least: float) -> Iterator[bytes]:
     """The words of the paragraphs that may be like other texts."""
-    return (w for _, w in paragraphs(text) if _enough(w, least_words) and not _alone(w, size, least))
+    return (w for _, w in paragraphs(text, hashes, window, least_words) if not _alone(w, size, least))
 
 
-def buckets(docs: DataFrame, least_words: int, size: int, bands: int, rows: int, least: float) -> DataFrame:
-    """(bucket, short): the band keys of the nodes; the band number is part of the key.
-
-    A task leaves out texts it has seen lately, so a very common line is sent a few times.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = _WordHashes(), set()
-        offsets = np.arange(bands, dtype=np.uint64) * _ODD
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                found = {w for text in batch.column(0).slice(at, 256) for w in _meeting(text.as_py(), least_words, size, least)}
-                digests = {xxhash.xxh3_128_digest(t): t for t in found}
-                fresh = [d for d in digests if d not in seen]
-                if len(seen) > _TEXTS_SEEN:
-                    seen.clear()
-                seen.update(fresh)
-                if not fresh:
-                    continue
-                keys = (band_keys([digests[d] for d in fresh], hashes, size, bands, rows) + offsets).view(np.int64).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(_short(fresh), bands))], names=["bucket", "short"])
-
-    return _texts(docs).select("text").mapInArrow(run, "bucket long, short long")
+def buckets(stood: DataFrame) -> DataFrame:
+    """(bucket, short): the band keys of the nodes."""
+    return stood.select(F.explode("keys").alias("bucket"), "short")
 
 
 def crowds(keys: DataFrame) -> DataFrame:
@@ -218,13 +268,14 @@ def crowds(keys: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "bucket long, short long, leader long")
 
 
-def _words_of(docs: DataFrame, shorts: DataFrame, least_words: int, size: int, least: float) -> DataFrame:
+def _words_of(docs: DataFrame, shorts: DataFrame, window: int, least_words: int, size: int, least: float) -> DataFrame:
     """(short, node, words) of the given nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
         for batch in batches:
             for at in range(0, len(batch), 512):
-                texts = list({w for text in batch.column(0).slice(at, 512) for w in _meeting(text.as_py(), least_words, size, least)})
+                texts = list({w for text in batch.column(0).slice(at, 512) for w in _meeting(text.as_py(), hashes, window, least_words, size, least)})
                 nodes = [xxhash.xxh3_128_digest(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(_short(nodes)), pa.array(nodes, pa.binary()), pa.array(texts, pa.binary())], names=["short", "node", "words"])
 
@@ -252,11 +303,11 @@ def _across(torn: DataFrame, size: int, least: float) -> DataFrame:
     size, which passes on links alone, one for two roots at most.
     """
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        rows = [(p, n, r, shingles(w, size)) for p, n, r, w in zip(block["part"], block["node"], block["root"], block["words"])]
-        low, high = block["low"].iat[0], block["high"].iat[0]
-        left = [x for x in rows if x[0] == low]
-        right = left if low == high else [x for x in rows if x[0] == high]
+    def compared(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        low, high = rows[0][:2]
+        sets = [(part, node, root, shingles(words, size)) for _, _, part, node, root, words in rows]
+        left = [x for x in sets if x[0] == low]
+        right = left if low == high else [x for x in sets if x[0] == high]
         joined: dict = {}
 
         def top(r):
@@ -269,36 +320,63 @@ def _across(torn: DataFrame, size: int, least: float) -> DataFrame:
             for _, b, rb, y in right[i + 1 :] if low == high else right:
                 if ra == rb or min(len(x), len(y)) < least * max(len(x), len(y)):
                     continue
-                ta, tb = top(ra), top(rb)
-                if ta == tb:
-                    continue
                 both = len(x & y)
-                if both / (len(x) + len(y) - both) >= least:
+                if both < least * (len(x) + len(y) - both):
+                    continue
+                ta, tb = top(ra), top(rb)
+                if ta != tb:
                     joined[ta] = tb
                     found.append((a, b))
-        return pd.DataFrame(found, columns=["a", "b"])
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the rows of a group follow each other; most groups have few, so they are not worth a call of their own
+        key, rows = None, []
+        for batch in batches:
+            found = []
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                own = (bucket, *row[:2])
+                if own != key:
+                    if len(rows) > 1:
+                        found += compared(rows)
+                    key, rows = own, []
+                rows.append(row)
+            yield _pairs(found)
+        yield _pairs(compared(rows) if len(rows) > 1 else [])
 
     counts = torn.groupBy("bucket").agg(F.ceil(F.count("*") / CROWD_BLOCK).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
     dealt = torn.join(counts, "bucket").select("*", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "root", "words")
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(run, "a binary, b binary")
+    together = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return together.select("bucket", "low", "high", "part", "node", "root", "words").mapInArrow(run, "a binary, b binary")
+
+
+def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
 
 def classes(
-    docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, min_words: int = MIN_WORDS
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    least: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    window: int = WINDOW,
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """(doc_id, paragraph, class_doc_id, class_paragraph, n_members, removed) of every paragraph that repeats.
 
-    A paragraph is a line with words, and ``paragraph`` its number among all lines of the
-    document; those of fewer than ``min_words`` words take no part. The class is named by its
+    ``paragraph`` is the number of a stretch within its document, from 0. A text of fewer than ``min_words``
+    words is one paragraph; of a longer one, a beginning or end of fewer takes no part. The class is named by its
     first member by (doc_id, paragraph), which alone is kept. Null and empty texts have no
-    paragraphs; rows that repeat a document repeat its paragraphs; a null doc_id sorts
-    first. Documents without repeats give no row. Other columns are not read.
+    paragraphs; a text of one word over and over is one; very long texts are cut like others. Rows that repeat
+    a document repeat its paragraphs; a null doc_id sorts first. Documents without repeats give no row, and
+    neither do no documents. Other columns are not read.
     """
-    stood = durable(places(docs, min_words))
-    crowd = durable(crowds(buckets(docs, min_words, shingle, bands, rows, least)))
-    words = durable(_words_of(docs, crowd.select("short").distinct(), min_words, shingle, least))
+    stood = durable(places(docs, window, min_words, shingle, bands, rows, least))
+    crowd = durable(crowds(buckets(stood)))
+    words = durable(_words_of(docs, crowd.select("short").distinct(), window, min_words, shingle, least))
     first = crowd.filter("short != leader").select(F.col("leader").alias("x"), F.col("short").alias("y")).distinct()
     linked = durable(_verified(first, words, shingle, least))
     # nodes of one bucket that are not yet connected
@@ -309,10 +387,13 @@ def classes(
     torn = durable(rooted.join(split, "bucket"))
     more = _across(torn.join(words, "short").select("bucket", "node", "root", "words"), shingle, least)
     root = durable(components(linked.unionByName(more)))
-    named = stood.join(root, "node", "left").select("doc_id", "paragraph", F.coalesce("root", "node").alias("root"))
-    sizes = named.groupBy("root").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("n_members")).filter("n_members > 1")
+    # most nodes stand once and are linked to none: they go no further
+    nodes = stood.groupBy("node").agg(F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count("*").alias("n"))
+    nodes = durable(nodes.join(root, "node", "left").filter("n > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "node")))
+    sizes = nodes.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n_members")).filter("n_members > 1")
+    named = durable(nodes.select("node", "root").join(sizes, "root").drop("root"))
     place = F.struct("doc_id", "paragraph")
-    return named.join(durable(sizes), "root").select(
+    return stood.join(named, "node").select(
         "doc_id",
         "paragraph",
         F.col("first.doc_id").alias("class_doc_id"),

@@ -8,6 +8,8 @@ from collections import Counter
 
 import xxhash
 
+from larkspur.llm import paragraphs
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, k_id string, own string, fp string, hash string, spans string"
 
 
@@ -129,12 +131,19 @@ def removed_bytes(docs, length=100):
     return out
 
 
-def paragraph_classes(docs, shingle=5, least=0.8, min_words=10):
+def stretches(words, window):
+    """Stretches of a word list, place by place: a run of four words begins one if its hash is below all before it in the window and above none after."""
+    h = [int(x) for x in paragraphs.gram_hashes(words, paragraphs._WordHashes())] if words else []
+    ends = [p for p in range(1, len(h)) if all(h[p] < x for x in h[max(p - window, 0) : p]) and all(h[p] <= x for x in h[p + 1 : p + 1 + window])]
+    return [words[a:b] for a, b in zip([0, *ends], [*ends, len(words)]) if words]
+
+
+def paragraph_classes(docs, shingle=5, least=0.8, window=12, min_words=12):
     nodes: dict[bytes, list] = {}
     for i, text in docs:
-        for n, line in enumerate(ascii_lower(text or "").encode().split(b"\n")):
-            w = line.split()
-            if len(w) >= min_words:
+        whole = ascii_lower(text or "").encode().split()
+        for n, w in enumerate(stretches(whole, window)):
+            if len(w) >= min_words or len(w) == len(whole):
                 nodes.setdefault(b" ".join(w), []).append((i, n))
     keys = list(nodes)
     sets = [{tuple(k.split(b" ")[j : j + shingle]) for j in range(max(len(k.split(b" ")) - shingle + 1, 1))} for k in keys]

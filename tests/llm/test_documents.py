@@ -99,14 +99,37 @@ def test_paragraphs(docs, none):
     assert plain(paragraphs.classes(none)) == []
 
 
-def test_short_paragraphs(spark):
-    """Short lines that repeat are classes; so are the few short lines that differ and have the same shingles."""
+def test_short_texts(spark):
+    """Short texts that repeat are classes; so are the few that differ and have the same shingles."""
     lines = ["ok", "See the licence", "a b c d e", "one two three four five six seven", "Permission is granted to all who read this", *["ha " * n for n in (4, 5, 6, 7, 9)]]
     lines += ["x y x y x y", "y x y x y x", "p q r p q r p", "q r p q r p q", "r p q r p q r", "c1 c2 c3 c4 c5 c6 c7 c8", "c1 c2 c3 c4 c5 c6 c7 c8 c9"]
-    rows = [(1, "\n".join(lines)), (2, "OK\n\nsee  the LICENCE\na b c d e f\nA b c d e"), (3, "ok\npermission is granted to all who read this\n" + lines[3]), (4, None)]
+    lines += ["OK", "see\n the LICENCE", "a b c d e f", "A b c d e", "permission is granted to all who read this", lines[3], None, "same " * 500, "same " * 480]
+    rows = list(enumerate(lines))
     got = Counter(plain(paragraphs.classes(spark.createDataFrame(rows, "doc_id long, text string"))))
-    want = C.paragraph_classes(rows, min_words=1)
-    assert got == want and sum(x[-1] for x in want) >= 13
+    want = C.paragraph_classes(rows)
+    assert got == want and sum(x[-1] for x in want) >= 8
+
+
+def test_passages_are_found_wherever_they_begin(spark):
+    """Documents that share a run of more than 50 words are named, those that hold no run of 12 that stands twice are not."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    words = {i: tuple((t or "").lower().split()) for i, t in rows}
+
+    def sharing(n, kind=set):
+        runs = {i: kind(w[j : j + n] for j in range(len(w) - n + 1)) for i, w in words.items()}
+        count = Counter(r for own in runs.values() for r in own)
+        return {i for i, own in runs.items() if any(count[r] > 1 for r in own)}
+
+    named = {r["doc_id"] for r in paragraphs.classes(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").distinct().collect()}
+    long, any_run = sharing(51), sharing(12, list)
+    tiny = {i for i, w in words.items() if len(w) < 12}
+    assert len(named & long) >= 0.9 * len(long) and len(named - any_run - tiny) <= 0.02 * len(words)
+
+
+def test_short_repeats(spark):
+    rows = [(1, "See the  licence\nother\n" + "w " * 12), (2, "SEE the licence\n\n" + "w " * 12), (3, None), (4, "see The licence")]
+    got = {tuple(r) for r in paragraphs.short_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {("see the licence", 3, 3)}
 
 
 def test_lines_that_stand_alone():
@@ -127,12 +150,14 @@ def test_lines_that_stand_alone():
 
 @pytest.mark.parametrize("block", [256, 4])
 def test_paragraph_crowd(spark, monkeypatch, block):
-    """Near copies that are alike only through others stay one class."""
+    """Near copies that are alike only through others stay one class; whole texts are the paragraphs here."""
     monkeypatch.setattr(paragraphs, "CROWD_BLOCK", block)
-    base = C.prose(30, 60).split(" ")
-    rows = [(i, " ".join([*base[: 2 * i], *[f"w{i}x{j}" for j in range(2)], *base[2 * i + 2 :]])) for i in range(25)] + [(99, C.prose(31, 60))]
+    monkeypatch.setattr(paragraphs, "stretches", lambda words, hashes, window: [len(words)] if words else [])
+    monkeypatch.setattr(C, "stretches", lambda words, window: [words] if words else [])
+    base = C.prose(30, 100).split(" ")
+    rows = [(i, " ".join(base[2 * i : 2 * i + 44])) for i in range(25)] + [(99, C.prose(31, 60))]
     got = Counter(plain(paragraphs.classes(spark.createDataFrame(rows, "doc_id long, text string"))))
-    assert got == C.paragraph_classes(rows)
+    assert got == C.paragraph_classes(rows) and len(got) == 25
 
 
 @pytest.mark.parametrize("tile", [1 << 20, 4000])
