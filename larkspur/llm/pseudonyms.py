@@ -8,23 +8,31 @@ one to one and equal values get equal pseudonyms in every document, whatever the
 separators. What fails validation is left as it is. A run of
 digits is searched for cards at each of its groups, so a neighbour does not hide a value.
 
-Formats: e-mail addresses (the part before the @), IPv4 addresses, card numbers (Luhn), social
-security numbers, dates of the years 1900 to 2099 (year-month-day with - or /, day.month.year,
+Formats: e-mail addresses (the part before the @, linked whatever its case), IPv4 and IPv6 addresses, bank
+account numbers (IBAN, modulo 97), card numbers (Luhn), social security numbers, dates of the years 1900 to 2099 (year-month-day with - or /, day.month.year,
 month/day/year), North American telephone numbers and those with a + and country code, and keys or passwords after their names, in
 whatever case these are written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import let, table
 
-KEY_DEFAULT = "larkspur"
+#: session setting that holds the secret
+SECRET_KEY = "spark.larkspur.pseudonym.secret"
+_PROGRAM_SECRET = secrets.token_hex(32)
 ROUNDS = 8
 
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)+"
+# a possessive group is a loop for the matcher; a greedy one would take a stack frame for every label
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])"
+# eight groups, or fewer around one ::, with a digit among them
+IPV6 = r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]{0,38}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,7}:)(?![0-9A-Za-z:])"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 DATE = r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./\-]\d)"
@@ -44,7 +52,7 @@ UNBROKEN, LONGEST = r"\d{13,19}|\d{6}[ \-]\d{13}", r"\d{4}(?:[ \-]\d{4}){3}[ \-]
 COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 NAMED = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_\-]{8})(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
-ANY = "|".join([EMAIL, IPV4, SSN, DATE, PHONE, CARD, NAMED, CLOUD_KEY])
+ANY = "|".join([EMAIL, IBAN, IPV6, IPV4, SSN, DATE, PHONE, CARD, NAMED, CLOUD_KEY])
 
 # day numbers of 1900-01-01 and 2099-12-31; 73,049 days = 17 * 4,297
 FIRST_DAY, DAYS = -25567, (17, 4297)
@@ -55,6 +63,14 @@ _SERIALS = 9999
 MARK = "\x01"
 
 
+def secret_of(spark: SparkSession) -> str:
+    """The secret of the session; where none is set, one drawn for this program, which nobody can know later.
+
+    Pseudonyms are then linked across the documents of a program, not across programs.
+    """
+    return spark.conf.get(SECRET_KEY, None) or spark.sparkContext.getConf().get(SECRET_KEY) or _PROGRAM_SECRET
+
+
 def _digest(secret: str, tweak: str, turn: Column, half: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(secret), F.lit(tweak), turn.cast("string"), half.cast("string")), 512)
 
@@ -84,18 +100,36 @@ def permuted_number(value: Column, sizes: tuple[int, int], secret: str, tweak: s
 def permuted_text(value: Column, secret: str, tweak: str) -> Column:
     """Each digit stays a digit, each letter a letter of its case; other characters stay."""
 
-    def added(own, other, i):
-        key = _digest(secret, tweak, i, other)
+    def place(key, c, j):
+        by = F.conv(F.substring(key, (j % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        code = F.ascii(c)
+        turned = F.lit(None).cast("int")
+        for first, size in ((48, 10), (65, 26), (97, 26)):
+            turned = F.when(code.between(first, first + size - 1), (code - first + by) % size + first).otherwise(turned)
+        return F.coalesce(F.char(turned), c)
+
+    return _two_halves(value, secret, tweak, place)
+
+
+HEX = "0123456789abcdef"
+
 
-        def place(c, j):
-            by = F.conv(F.substring(key, (j % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-            code = F.ascii(c)
-            turned = F.lit(None).cast("int")
-            for first, size in ((48, 10), (65, 26), (97, 26)):
-                turned = F.when(code.between(first, first + size - 1), (code - first + by) % size + first).otherwise(turned)
-            return F.coalesce(F.char(turned), c)
+def permuted_hex(value: Column, secret: str, tweak: str) -> Column:
+    """Lower-case hexadecimal digits, each of which stays one."""
 
-        return F.array_join(F.transform(F.split(own, ""), place), "")
+    def place(key, c, j):
+        at = F.instr(F.lit(HEX), c) - 1 + F.conv(F.substring(key, (j % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        return F.substring(F.lit(HEX), at % 16 + 1, F.lit(1))
+
+    return _two_halves(value, secret, tweak, place)
+
+
+def _two_halves(value: Column, secret: str, tweak: str, place) -> Column:
+    """A Feistel network whose halves are texts; ``place(key, character, index)`` moves one character by the hash of the other half."""
+
+    def added(own, other, i):
+        # one digest a round, whatever the length
+        return let(_digest(secret, tweak, i, other), lambda key: F.array_join(F.transform(F.split(own, ""), lambda c, j: place(key, c, j)), ""))
 
     def step(acc, i):
         return F.struct(
@@ -160,13 +194,15 @@ def _cards(x: Column, secret: str) -> Column:
         any_card = F.concat(F.lit(r"(?<!\d)(?:"), F.array_join(valid, "|"), F.lit(r")(?!\d)"))
 
         def cut(pattern):
-            gaps, finds = F.split(x, pattern, -1), F.regexp_extract_all(x, pattern, F.lit(0))
-            return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(_card(F.get(finds, i), secret), F.lit("")))), "")
+            def filled(finds):
+                return F.array_join(F.transform(F.split(x, pattern, -1), lambda g, i: F.concat(g, F.coalesce(_card(F.get(finds, i), secret), F.lit("")))), "")
+
+            return let(F.regexp_extract_all(x, pattern, F.lit(0)), filled)
 
         alone = F.char_length(_digits(x)).between(13, 19) & _luhn(x)
         return F.when(F.size(valid) > 0, let(any_card, cut)).when(alone, _card(x, secret)).otherwise(x)
 
-    return let(F.filter(F.concat(*starts), _luhn), inside)
+    return let(F.array_distinct(F.filter(F.concat(*starts), _luhn)), inside)
 
 
 def _phone(x: Column, secret: str) -> Column:
@@ -227,13 +263,68 @@ def _date(x: Column, secret: str) -> Column:
 
 
 def _email(x: Column, secret: str) -> Column:
+    """The name is permuted in lower case and takes back the case of its places, so that cases are linked."""
     at = F.instr(x, "@")
-    return F.concat(permuted_text(F.substring(x, F.lit(1), at - 1), secret, "email"), F.substring(x, at, F.char_length(x)))
+    name = F.substring(x, F.lit(1), at - 1)
+
+    def cased(own):
+        return let(permuted_text(F.lower(name), secret, "email"), lambda new: F.array_join(F.transform(F.split(new, ""), lambda c, j: F.when(F.get(own, j).between("A", "Z"), F.upper(c)).otherwise(c)), ""))
+
+    return F.concat(let(F.split(name, ""), cased), F.substring(x, at, F.char_length(x)))
+
+
+def mod_97(x: Column) -> Column:
+    """A number of digits and letters (A is 10) modulo 97."""
+
+    def taken(acc, c):
+        code = F.ascii(c).cast("int")
+        return F.when(c.between("0", "9"), (acc * 10 + code - 48) % 97).otherwise((acc * 100 + code - 55) % 97)
+
+    return F.aggregate(F.split(x, ""), F.lit(0), taken)
+
+
+def _iban(x: Column, secret: str) -> Column:
+    """The country stays, the account is permuted, the check digits are made right again."""
+
+    def whole(d):
+        country, account = F.substring(d, 1, 2), F.substring(d, F.lit(5), F.char_length(d))
+
+        def checked(new):
+            check = F.lpad((98 - mod_97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            return let(F.concat(country, check, new), spaced)
+
+        def spaced(full):
+            def nth(c, j):
+                return F.when(c == " ", c).otherwise(F.substring(full, F.char_length(F.replace(F.substring(x, F.lit(1), j + 1), F.lit(" "), F.lit(""))), F.lit(1)))
+
+            return F.array_join(F.transform(F.split(x, ""), nth), "")
+
+        valid = (mod_97(F.concat(account, F.substring(d, 1, 4))) == 1) & F.char_length(d).between(15, 34)
+        return F.when(valid, let(permuted_text(account, secret, "iban"), checked)).otherwise(x)
+
+    return let(F.replace(x, F.lit(" "), F.lit("")), whole)
+
+
+def _ipv6(x: Column, secret: str) -> Column:
+    """All 128 bits are permuted as eight full groups, so that every way to write an address is linked."""
+
+    def groups(part):
+        return F.transform(F.filter(F.split(part, ":"), lambda g: g != ""), lambda g: F.lpad(F.lower(g), 4, "0"))
+
+    def whole(sides):
+        left, right = groups(F.get(sides, 0)), groups(F.coalesce(F.get(sides, 1), F.lit("")))
+        missing = 8 - F.size(left) - F.size(right)
+        full = F.concat(left, F.array_repeat(F.lit("0000"), F.greatest(missing, F.lit(0))), right)
+        valid = F.when(F.size(sides) == 2, missing >= 1).otherwise(missing == 0)
+        moved = let(permuted_hex(F.array_join(full, ""), secret, "ipv6"), lambda h: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(h, i * 4 + 1, F.lit(4))), ":"))
+        return F.when(valid, moved).otherwise(x)
+
+    return let(F.split(x, "::"), whole)
 
 
 def pseudonym(x: Column, secret: str) -> Column:
     """The pseudonym of one found value."""
-    kinds = [(EMAIL, _email), (IPV4, _ipv4), (SSN, _ssn), (DATE, _date), (PHONE, _phone), (CARD, _cards)]
+    kinds = [(EMAIL, _email), (IBAN, _iban), (IPV6, _ipv6), (IPV4, _ipv4), (SSN, _ssn), (DATE, _date), (PHONE, _phone), (CARD, _cards)]
     out = F.when(x.rlike(f"^(?:{CLOUD_KEY})$"), F.concat(F.substring(x, 1, 4), permuted_text(F.substring(x, 5, 16), secret, "key")))
     out = out.otherwise(permuted_text(x, secret, "secret"))
     for pattern, make in reversed(kinds):
@@ -247,7 +338,7 @@ def _parts(text: Column) -> Column:
     # pairs (gap, find) flattened; the text ends with a gap
     finds = F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))
     gaps = F.split(text, f"(?:{ANY})", -1)
-    paired = F.transform(gaps, lambda g, i: F.array(g, F.coalesce(F.get(finds, i), F.lit(""))))
+    paired = let(finds, lambda f: F.transform(gaps, lambda g, i: F.array(g, F.coalesce(F.get(f, i), F.lit("")))))
     return F.when(F.contains(text, F.lit(MARK)), F.flatten(paired)).otherwise(marked)
 
 
@@ -261,12 +352,15 @@ def _rewritten(text: Column, secret: str) -> Column:
     return F.when(text.isNotNull(), let(_parts(text), joined))
 
 
-def pseudonymise(docs: DataFrame, secret: str = KEY_DEFAULT, column: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, secret: str | None = None, column: str = "text") -> DataFrame:
     """The same rows and columns; values in ``column`` are replaced, n_chars (if there) follows.
 
+    The secret is that of the session (``secret_of``) unless one is given.
+
     Null stays null, empty stays empty; every row is treated alike, repeated or not, and no
     row meets another. No documents give no rows. Columns of any name pass through.
     """
+    secret = secret or secret_of(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("own"), _rewritten(F.col(column), secret)["text"].alias("new"))
     out = []
     for name in docs.columns:
@@ -281,7 +375,7 @@ def pseudonymise(docs: DataFrame, secret: str = KEY_DEFAULT, column: str = "text
 
 
 def query(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", _rewritten(F.col("text"), KEY_DEFAULT).alias("r"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", _rewritten(F.col("text"), secret_of(spark)).alias("r"))
     return docs.select("doc_id", F.coalesce("r.found", F.lit(0).cast("long")).alias("n_found"), F.col("r.text").alias("text"))
 
 
