@@ -27,7 +27,7 @@ def sorted_joins(spark):
     spark.conf.set(key, old)
 
 
-@pytest.mark.parametrize("name", ["orders_wide", "join_star_wide"])
+@pytest.mark.parametrize("name", ["orders_wide", "join_star_wide", "fact_sales"])
 def test_derived_columns_are_not_shuffled(spark, sorted_joins, name):
     inputs = exchanged(callables()[name](spark, MEDIUM))
     assert any("order_id" in columns for columns in inputs)
