@@ -1,63 +1,75 @@
-"""Repeated byte strings by difference-cover naming.
-
-Positions are sampled by the difference cover {1, 2} modulo 3 of their place in the text:
-whatever two places are compared, some offset of 0, 1 or 2 takes both to sampled ones. Sampled
-places are named by sorting their first bytes, and the names are sorted and named again, each
-round over more of the text (14, 26, 50, 98 bytes), so equal names mean equal strings. A
-place that is not sampled is compared through the sampled one after it and the bytes before
-that: each pair of residues has a form (bytes, name, bytes) that both can build. In each form
-equal neighbours are one string of ``length`` bytes; all but the first place of it in document
-order are repeats.
-
-Names and forms are arrays in tiles of some hundred thousand bytes. A tile sends each task
-the distinct keys of its share, so a string that occurs everywhere counts once a tile. Tiles
-are numbered in document order, so the least tile holds the first occurrence.
-
-Texts that cannot repeat are left out first, without loss: every string of ``length`` bytes holds
-the least hash among its ``GRAM``-byte strings, and one whose hash occurs once in the corpus
-cannot occur twice. Whole copies of a text meet as digests and are not named again.
+"""Repeated byte strings by difference-cover ranks.
+
+Every string of ``length`` bytes holds the least hash among its ``GRAM``-byte strings, its anchor.
+Windows whose anchor occurs once in the corpus cannot repeat and are left out, without loss. Of the
+others, neighbours with one anchor form a piece, and pieces are dealt by their anchor: equal windows
+always meet in one share, so a text's bytes travel once, not a key a place and round. Windows of
+very frequent anchors are pieces of their own, dealt by their own hash. Copies of a piece keep
+only their place: all their windows are repeats.
+
+In a share, places are sampled by the difference cover {1, 2} modulo 3 of their place in the
+piece: whatever two places are compared, some offset of 0, 1 or 2 takes both to sampled ones.
+Sampled places are ranked by sorting their first bytes, and again by the ranks some steps on, so
+that they cover 8, 20, 56 and 98 bytes; equal ranks mean equal strings. A place that is not
+sampled is compared through the sampled one after it and the bytes before that: each pair of
+residues has a form (bytes, rank, bytes) that both can build. In each form equal neighbours are
+one string of ``length`` bytes; all but the first place of it in document order are repeats.
+
+Whole copies of a text meet as digests and are not ranked again.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import KEY, row_key, table
-from larkspur.session import durable, remove_path, scratch_dir
+from larkspur.session import durable
 
 LENGTH = 100
 GRAM = 50
-TILE = 1 << 20
-#: bytes of candidate text whose keys one task sorts at a time
-SHARE = 1 << 20
-
-# what a name covers after each round, and how far apart the two names are that make it
-FIRST, STEPS = 14, (12, 24, 48)
-_DEPTH = FIRST + sum(STEPS)
+#: bytes of text that are hashed at a time
+CHUNK = 1 << 20
+#: bytes of pieces among which a task looks for copies before it sends them
+TILE = 1 << 25
+#: bytes of pieces that are ranked together, and of text whose anchors are counted together
+SHARE = 1 << 22
+#: an anchor at more places than this has its windows dealt one by one, so many at a time
+HOT, BLOCK = 1 << 15, 1 << 16
+
+# what a rank covers after each round, and how far on the ranks are that make the next
+FIRST, STEPS = 8, ((6, 12), (18, 36), (42,))
+_DEPTH = FIRST + sum(s[-1] for s in STEPS)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+_TABLES: dict[str, np.ndarray] = {}
+
+
+def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base``, kept for the next call."""
+    if name not in _TABLES or len(_TABLES[name]) < n:
+        _TABLES[name] = np.cumprod(np.r_[np.uint64(1), np.full(max(n, CHUNK), base)])
+    return _TABLES[name][:n]
+
+
 def _rolling(data: np.ndarray, size: int) -> np.ndarray:
     """A mixed hash of each run of ``size`` bytes; a filter only, so collisions just add candidates."""
     n = len(data)
-    power = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE)])
-    inverse = np.cumprod(np.r_[np.uint64(1), np.full(n - size, _BASE_INVERSE)])
-    sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power)]
-    h = (sums[size:] - sums[:-size]) * inverse
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("base", _BASE, n), out=sums[1:])
+    h = (sums[size:] - sums[:-size]) * _powers("inverse", _BASE_INVERSE, n - size + 1)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _window_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -71,78 +83,175 @@ def _window_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(suffix[: n - width + 1], prefix[width - 1 : n])
 
 
-def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of all GRAM-byte strings, least of them in each window of ``length`` bytes)."""
-    h = _rolling(np.frombuffer(text, np.uint8), GRAM)
-    return h, _window_min(h, length - GRAM + 1)
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), text)
 
 
-def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
-    """(k_id, k_text, hash, n): the anchors of each document and how often it has them."""
+def _least(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """The hash of each ``GRAM`` bytes of the texts, end to end; text, start and place there of each window within one text, and its least hash."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    h = _rolling(np.frombuffer(b"".join(texts), np.uint8), GRAM)
+    counts = sizes - length + 1
+    own = np.repeat(np.arange(len(texts)), counts)
+    start = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+    place = start + np.repeat(np.cumsum(sizes) - sizes, counts)
+    return h, own, start, place, _window_min(h, length - GRAM + 1)[place]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = text.as_py()
-                if len(text) < length:
-                    continue
-                h, least = anchors(text, length)
-                values, n = np.unique(h[np.isin(h, least)], return_counts=True)
-                columns = [pa.array(np.full(len(values), x, dtype=np.int64)) for x in (i, t)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(values.view(np.int64)), pa.array(n)], names=[*KEY, "hash", "n"])
 
-    return docs.select(*KEY, "text").mapInArrow(run, "k_id long, k_text long, hash long, n long")
+def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each place that is the least of a window that holds it; of a row of equal hashes the first two."""
+    h, own, _, place, least = _least(texts, length)
+    width = length - GRAM + 1
+    windows = np.zeros(len(h) + width - 1, dtype=np.uint64)
+    windows[place + width - 1] = least
+    most = ~_window_min(~windows, width)  # of the windows that hold a place
+    at = np.flatnonzero(most == h)
+    text = np.searchsorted(np.cumsum([len(t) for t in texts]), at, side="right")
+    values = h[at]
+    third = np.r_[False, False, (values[2:] == values[:-2]) & (values[2:] == values[1:-1]) & (text[2:] == text[:-2])][: len(at)]
+    return text[~third], values[~third]
 
 
-def _regions(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
-    """(k_id, k_text, start, body): the runs of text every window of which may repeat."""
+def stretches(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """(text, start, windows, anchor) of each run of windows of a text that have one least hash; no text is shorter than ``length``."""
+    _, own, start, _, values = _least(texts, length)
+    new = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (own[1:] != own[:-1])])
+    return own[new], start[new], np.diff(np.r_[new, len(own)]), values[new]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for i, t, text, hashes in zip(*[c.to_pylist() for c in batch.columns]):
-                _, least = anchors(text, length)
-                may = np.isin(least, np.array(hashes, dtype=np.int64).view(np.uint64))
-                edge = np.flatnonzero(np.diff(np.r_[False, may, False]))
-                rows += [(i, t, a, text[a : b + length - 1]) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)], names=[*KEY, "start", "body"])
 
-    per_doc = shared.groupBy(*KEY).agg(F.collect_set("hash").alias("hashes"))
-    return docs.select(*KEY, "text").join(per_doc, KEY).select(*KEY, "text", "hashes").mapInArrow(run, "k_id long, k_text long, start long, body binary")
+def _chunks(batch: pa.RecordBatch, length: int) -> Iterator[list[tuple]]:
+    """The rows (k_id, k_text, text, ...) of a batch whose text is long enough, about ``CHUNK`` bytes at a time."""
+    held, size = [], 0
+    for row in zip(*[c.to_pylist() for c in batch.columns]):
+        if len(row[2]) >= length:
+            held.append(row)
+            size += len(row[2])
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
-def _tiles(regions: DataFrame) -> DataFrame:
-    """(tile, body, ends, k_id, k_text, start): regions in document order, each on a multiple of three."""
+def _dealt(share: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(share, the numbers of its entries in their order) of each share."""
+    order = np.argsort(share, kind="stable")
+    cut = np.flatnonzero(np.diff(share[order])) + 1
+    return ((int(share[p[0]]), p) for p in np.split(order, cut) if len(p))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+def _packed(numbers: np.ndarray, keys: list[tuple[int, int]]) -> list[bytes]:
+    """Document numbers as an index into the documents that occur, and these documents' keys."""
+    used, index = np.unique(numbers, return_inverse=True)
+    return [index.astype(np.uint32).tobytes(), *(np.array([keys[u][c] for u in used.tolist()], dtype=np.int64).tobytes() for c in (0, 1))]
+
+
+def _unpacked(rows: list[dict], column: str) -> tuple[np.ndarray, np.ndarray]:
+    """(k_id, k_text) of each entry of a column that ``_packed`` made."""
+    index = [np.frombuffer(r[column], np.uint32) for r in rows]
+    return tuple(np.concatenate([np.frombuffer(r[c], np.int64)[i] for r, i in zip(rows, index)]) for c in ("ids", "texts"))
+
+
+def _joined(rows: list[dict], column: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(r[column], kind) for r in rows])
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*[c.split() for c in schema.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(list(zip(*rows)) or [()] * len(names), types)], names=list(names))
+
+
+def _anchors(docs: DataFrame, length: int, count: int) -> DataFrame:
+    """(k_id, k_text, hashes, hot): the anchors of a document that occur twice or more, and those with very many pieces; several rows a document."""
+    sent = "share int, docs binary, ids binary, texts binary, hashes binary"
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, own, values = [], [], []
+            for rows in _chunks(batch, length):
+                text, hashes = anchors([r[2] for r in rows], length)
+                own.append(text + len(keys))
+                values.append(hashes)
+                keys += [r[:2] for r in rows]
+            if keys:
+                own, values = np.concatenate(own), np.concatenate(values)
+                yield _batch([(s, *_packed(own[p], keys), values[p].tobytes()) for s, p in _dealt((values % np.uint64(count)).astype(np.int64))], sent)
+
+    def common(key, frame):
+        rows = frame.to_pylist()
+        k_id, k_text = _unpacked(rows, "docs")
+        values = _joined(rows, "hashes", np.uint64)
+        number = _dense(values).astype(np.int64)
+        times = np.bincount(number)[number]
+        order = np.flatnonzero(times > 1)
+        order = order[np.lexsort((values[order], k_text[order], k_id[order]))]
+        k_id, k_text, values, hot = k_id[order], k_text[order], values[order], times[order] > HOT
+        cut = np.flatnonzero(np.r_[True, (k_id[1:] != k_id[:-1]) | (k_text[1:] != k_text[:-1])]) if len(order) else np.zeros(0, np.int64)
+        out = [(int(k_id[a]), int(k_text[a]), values[a:b].tobytes(), values[a:b][hot[a:b]].tobytes()) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)])]
+        return pa.Table.from_batches([_batch(out, "k_id long, k_text long, hashes binary, hot binary")])
+
+    return docs.select(*KEY, "text").mapInArrow(send, sent).groupBy("share").applyInArrow(common, "k_id long, k_text long, hashes binary, hot binary")
+
+
+_SENT = "share int, docs binary, ids binary, texts binary, starts binary, sizes binary, body binary"
+
+
+def _pieces(docs: DataFrame, shared: DataFrame, length: int, count: int) -> DataFrame:
+    """(share, docs, ids, texts, starts, sizes, body): pieces in document order, then their copies, which have a place and a size but no bytes."""
+
+    def message(share: int, held: list[tuple], picked: np.ndarray, keys: list[tuple]) -> tuple:
+        pieces = sorted((held[p] for p in picked.tolist()), key=lambda x: (keys[x[0]], x[1]))
+        known: set[bytes] = set()
+        first, copies = [], []
+        for piece in pieces:
+            (copies if piece[2] in known else first).append(piece)
+            known.add(piece[2])
+        both = first + copies
+        numbers = [np.array([x[n] for x in both], dtype=np.int64) for n in (0, 1)]
+        sizes = np.array([len(x[2]) for x in both], dtype=np.uint32)
+        return (share, *_packed(numbers[0], keys), numbers[1].astype(np.uint32).tobytes(), sizes.tobytes(), b"".join(x[2] for x in first))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, shares, size = [], [], [], 0
 
         def out():
-            bodies = [b + bytes(-len(b) % 3) for *_, b in held]
-            lengths = np.array([[len(p), len(b)] for p, (*_, b) in zip(bodies, held)], dtype=np.int64)
-            ends = np.cumsum(lengths[:, 0]) - lengths[:, 0] + lengths[:, 1]
-            keys = [np.array(c, dtype=np.int64).tobytes() for c in list(zip(*held))[:3]]
-            values = [tile, b"".join(bodies), ends.tobytes(), *keys]
-            return pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if n == 0 else pa.binary()) for n, v in enumerate(values)], names=["tile", "body", "ends", "ids", "texts", "starts"])
+            for s, p in _dealt(np.array(shares, dtype=np.int64)):
+                yield _batch([message(s, held, p, keys)], _SENT)
+            held.clear()
+            shares.clear()
 
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                held.append(row)
-                size += len(row[3])
-                if size >= TILE:
-                    yield out()
-                    tile, held, size = tile + 1, [], 0
+            for rows in _chunks(batch, length):
+                texts = [r[2] for r in rows]
+                common, hot = (np.unique(np.frombuffer(b"".join(h for r in rows for h in r[n]), np.uint64)) for n in (3, 4))
+                own, at, windows, values = (x[m] for x, m in ((x, m) for s in [stretches(texts, length)] for m in [np.isin(s[3], common)] for x in s))
+                alone = np.isin(values, hot)
+                share = (values % np.uint64(count)).astype(np.int64)
+                if not held:
+                    keys.clear()
+                base = len(keys)
+                keys += [r[:2] for r in rows]
+                for o, a, n, s, single in zip(own.tolist(), at.tolist(), windows.tolist(), share.tolist(), alone.tolist()):
+                    for j in range(0, n, BLOCK) if single else [0]:
+                        body = texts[o][a + j : a + (min(j + BLOCK, n) if single else n) + length - 1]
+                        if single:
+                            held += [(base + o, a + j + i, body[i : i + length]) for i in range(len(body) - length + 1)]
+                            shares += (_rolling(np.frombuffer(body, np.uint8), length) % np.uint64(count)).tolist()
+                            size += len(body) * length
+                        else:
+                            held.append((base + o, a, body))
+                            shares.append(s)
+                            size += len(body)
+                        if size >= TILE:
+                            yield from out()
+                            size = 0
         if held:
-            yield out()
+            yield from out()
 
-    order = [*KEY, "start"]
-    return regions.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "tile long, body binary, ends binary, ids binary, texts binary, starts binary")
+    per_doc = shared.groupBy(*KEY).agg(F.collect_list("hashes").alias("hashes"), F.collect_list("hot").alias("hot"))
+    return docs.select(*KEY, "text").join(per_doc, KEY).select(*KEY, "text", "hashes", "hot").mapInArrow(send, _SENT)
 
 
 class Tile:
@@ -175,215 +284,117 @@ class Tile:
         return out
 
 
-def _unpacked(names: bytes) -> np.ndarray:
-    return np.frombuffer(names, np.uint64)
-
-
-def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place of each distinct pair, the pair's number at each place), pairs sorted."""
-    order = np.lexsort((b, a))
-    x, y = a[order], b[order]
-    new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(x) else np.zeros(0, bool)
-    number = np.empty(len(a), dtype=np.int64)
-    number[order] = np.cumsum(new) - 1
-    return order[new], number  # lexsort is stable: the first place of a pair comes first
+def _dense(values: np.ndarray) -> np.ndarray:
+    """The rank of each value among the distinct ones, from 0."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    out = np.empty(len(values), dtype=np.uint64)
+    out[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]][: len(values)])
+    return out
 
 
-def _shares(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
-    mixed = (a * _BASE) ^ (b + (a >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(count)).astype(np.int64)
+def _ranks(*parts: np.ndarray) -> np.ndarray:
+    """The rank, from 0, of each row of numbers, compared part by part."""
+    key, *rest = parts
+    for part in rest if len(key) else ():
+        bits = int(part.max()).bit_length()
+        if int(key.max()).bit_length() + bits > 64:
+            key = _dense(key)
+        key = key << np.uint64(bits) | part
+    return _dense(key)
 
 
-def _round_keys(tile: Tile, depth: int, step: int | None, names: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that name each place sampled at ``depth``."""
-    at = tile.sampled(depth)
-    if step is None:
-        return tile.words(at), tile.words(at + depth - 8)
-    known = tile.spread(depth - step, names)
-    return known[at], known[at + step]
+_FORMS = ((1, 2, 0), (0, 1, 1), (0, 2, 2))  # residues that can build it, bytes before the rank
 
 
-def _send(tiles: DataFrame, keys_of, count: int) -> DataFrame:
-    """(share, tile, a, b): the distinct keys of each tile, dealt by their hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                a, b = keys_of(row)
-                first, _ = _distinct(a, b)
-                a, b = a[first], b[first]
-                share = _shares(a, b, count)
-                order = np.argsort(share, kind="stable")
-                cut = np.flatnonzero(np.r_[True, share[order][1:] != share[order][:-1]]) if len(order) else []
-                parts = np.split(order, cut[1:]) if len(order) else []
-                rows = [(int(share[p[0]]), row["tile"], a[p].tobytes(), b[p].tobytes()) for p in parts]
-                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)], names=["share", "tile", "a", "b"])
-
-    return tiles.mapInArrow(run, "share int, tile long, a binary, b binary")
-
-
-def _answer(sent: DataFrame, answer) -> DataFrame:
-    """(tile, share, reply): ``answer(share, tile of each key, a, b)`` gives a reply for each key."""
-
-    def run(key, frame):
-        rows = sorted(frame.select(["tile", "a", "b"]).to_pylist(), key=lambda r: r["tile"])
-        a, b = (np.concatenate([np.frombuffer(r[c], np.uint64) for r in rows]) for c in ("a", "b"))
-        counts = [len(r["a"]) // 8 for r in rows]
-        reply = answer(key[0].as_py(), a, b)
-        parts = np.split(reply, np.cumsum(counts)[:-1])
-        columns = [pa.array([r["tile"] for r in rows]), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())]
-        return pa.Table.from_arrays(columns, names=["tile", "share", "reply"])
-
-    return sent.groupBy("share").applyInArrow(run, "tile long, share int, reply binary")
-
-
-def _names(share: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    _, number = _distinct(a, b)
-    return (np.uint64(share) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1)
-
-
-def _is_later(share: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether an earlier tile has the key too; keys come in tile order."""
-    first, number = _distinct(a, b)
-    return (first[number] != np.arange(len(a))).astype(np.uint8)
-
-
-def _gather(replies: dict[int, bytes], a: np.ndarray, b: np.ndarray, count: int, kind) -> np.ndarray:
-    """The reply to the key of each place, put together from the shares' parts."""
-    first, number = _distinct(a, b)
-    order = np.argsort(_shares(a[first], b[first], count), kind="stable")
-    got = np.empty(len(first), dtype=kind)
-    got[order] = np.concatenate([np.frombuffer(replies[s], kind) for s in sorted(replies)]) if replies else np.zeros(0, kind)
-    return got[number]
-
-
-def _back(tiles: DataFrame, answered: DataFrame, fold, schema: str) -> DataFrame:
-    """Each tile with the replies to it."""
-    replies = answered.groupBy("tile").agg(F.map_from_entries(F.collect_list(F.struct("share", "reply"))).alias("replies"))
-    joined = tiles.join(replies, "tile", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in schema.split(", ")]
-        for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                values = fold(row, dict(row["replies"] or []))
-                yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if n == "tile" else pa.binary()) for n, v in zip(names, values)], names=names)
-
-    return joined.mapInArrow(run, schema)
-
-
-_FORMS = ((1, 2, 0), (0, 1, 1), (0, 2, 2))  # residues that can build it, bytes before the name
-
-
-def _form_keys(tile: Tile, names: np.ndarray, later: np.ndarray, form: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _form_keys(tile: Tile, known: np.ndarray, later: np.ndarray, form: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, a, b) of a form: those of its residues that start a window and are not known as repeats."""
     one, two, before = _FORMS[form]
     at = np.arange(len(tile.data))
     residue = at % 3
     at = at[((residue == one) | (residue == two)) & (tile.left >= length) & ~later]
-    known = tile.spread(_DEPTH, names)
-    rest = length - _DEPTH
     around = [*range(before), *range(_DEPTH + before, length)]
     b = np.zeros(len(at), dtype=np.uint64)
-    for j in around[:rest]:
+    for j in around[: length - _DEPTH]:
         b = b << np.uint64(8) | tile.data[at + j].astype(np.uint64)
     return at, known[at + before], b
 
 
-def _stored(df: DataFrame) -> tuple[DataFrame, str]:
-    path = scratch_dir(df.sparkSession, "suffixes")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
+def later_places(tile: Tile, length: int = LENGTH) -> np.ndarray:
+    """Which places of a tile start a window that an earlier place starts too."""
+    at = tile.sampled(FIRST)
+    known, depth = tile.spread(FIRST, _ranks(tile.words(at))), FIRST
+    for steps in STEPS:
+        depth += steps[-1]
+        at = tile.sampled(depth)
+        known = tile.spread(depth, _ranks(known[at], *(known[at + s] for s in steps)))
+    later = np.zeros(len(tile.data), bool)
+    for form in range(len(_FORMS)):
+        at, a, b = _form_keys(tile, known, later, form, length)
+        rank = _ranks(a, b)
+        order = np.argsort(rank, kind="stable")  # the first place of a string comes first
+        again = np.r_[False, rank[order][1:] == rank[order][:-1]][: len(at)]
+        later[at[order[again]]] = True
+    return later
 
-def _dropped(spark, path: str) -> None:
-    """Deletes a table that nothing reads any more, and lets Spark drop the shuffles that led to it."""
-    remove_path(spark, path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
 
+def _found(sent: DataFrame, length: int) -> DataFrame:
+    """(k_id, k_text, start, stop): the repeats of each share."""
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(k_id, k_text, start, stop): runs of bytes to remove, those of a document apart or touching.
+    def run(key, frame):
+        rows = frame.to_pylist()
+        k_id, k_text = _unpacked(rows, "docs")
+        start, size = (_joined(rows, c, np.uint32).astype(np.int64) for c in ("starts", "sizes"))
+        bodies: list[bytes | None] = []
+        for r in rows:
+            sizes = np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
+            ends = np.cumsum(sizes)
+            sizes = sizes[: np.searchsorted(ends, len(r["body"]), side="right")]
+            bodies += [r["body"][e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+            bodies += [None] * (len(r["sizes"]) // 4 - len(sizes))
+        del rows
+        whole = np.zeros(len(bodies), bool)
+        known: set[bytes] = set()
+        first = []
+        for p in np.lexsort((start, k_text, k_id)).tolist():
+            body = bodies[p]
+            if body is None or body in known:
+                whole[p] = True
+            else:
+                known.add(body)
+                first.append(p)
+        padded = [bodies[p] + bytes(-len(bodies[p]) % 3) for p in first]
+        first = np.array(first, dtype=np.int64)
+        ends = np.cumsum([len(b) for b in padded]) - [-size[p] % 3 for p in first.tolist()]
+        tile = Tile(b"".join(padded), ends.astype(np.int64).tobytes())
+        edge = np.flatnonzero(np.diff(np.r_[False, later_places(tile, length), False].astype(np.int8)))
+        begin, end = edge[::2], edge[1::2]
+        own = np.searchsorted(tile.starts, begin, side="right") - 1
+        begin, end = (x - tile.starts[own] + start[first[own]] for x in (begin, end))
+        place = np.r_[np.flatnonzero(whole), first[own]]
+        columns = [k_id[place], k_text[place], np.r_[start[whole], begin], np.r_[(start + size)[whole], end + length - 1]]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=[*KEY, "start", "stop"])
+
+    return sent.groupBy("share").applyInArrow(run, "k_id long, k_text long, start long, stop long")
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, total: int | None = None) -> DataFrame:
+    """(k_id, k_text, start, stop): runs of bytes to remove, those of a document apart, touching or overlapping.
 
     Null is an empty text. Texts shorter than ``length`` have no run. Whole copies are not
-    listed; see ``removals``. Documents are ordered by (doc_id, hash of the text).
+    listed; see ``removals``. Documents are ordered by (doc_id, hash of the text). ``total`` is
+    the number of bytes, if known; it only decides how many shares there are.
     """
     if length != LENGTH:
-        raise ValueError("names are built for strings of 100 bytes")
-    spark = docs.sparkSession
-    found, found_at = _stored(_anchor_counts(docs, length))
-    common = found.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash")
-    shared = found.join(durable(common), "hash").select(*KEY, "hash")
-    regions, regions_at = _stored(_regions(docs, shared, length))
-    del shared
-    _dropped(spark, found_at)
-    tiles = durable(_tiles(regions))
-    total = regions.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
-    count = max(int(total // SHARE), 1)
-    _dropped(spark, regions_at)
-    names = tiles.select("tile", "body", "ends", F.lit(b"").alias("names"))
-    depth, names_at = FIRST, None
-    for step in (None, *STEPS):
-        depth += step or 0
-
-        def keys_of(row, depth=depth, step=step):
-            return _round_keys(Tile(row["body"], row["ends"]), depth, step, _unpacked(row["names"]))
-
-        def fold(row, replies, keys_of=keys_of):
-            return row["tile"], row["body"], row["ends"], _gather(replies, *keys_of(row), count, np.uint64).tobytes()
-
-        answered = _answer(_send(names, keys_of, count), _names)
-        names, at = _stored(_back(names, answered, fold, "tile long, body binary, ends binary, names binary"))
-        del answered
-        if names_at:
-            _dropped(spark, names_at)
-        names_at = at
-    flags = names.select("*", F.lit(b"").alias("later"))
-    for form in range(len(_FORMS)):
-
-        def state(row):
-            tile = Tile(row["body"], row["ends"])
-            later = np.frombuffer(row["later"], bool) if row["later"] else np.zeros(len(tile.data), bool)
-            return tile, later
-
-        def keys_of(row, form=form, state=state):
-            tile, later = state(row)
-            return _form_keys(tile, _unpacked(row["names"]), later, form, length)[1:]
-
-        def fold(row, replies, form=form, state=state):
-            tile, later = state(row)
-            at, a, b = _form_keys(tile, _unpacked(row["names"]), later, form, length)
-            first, number = _distinct(a, b)
-            elsewhere = _gather(replies, a, b, count, np.uint8).astype(bool)
-            later = later.copy()
-            later[at] = elsewhere | (first[number] != np.arange(len(at)))
-            return row["tile"], row["body"], row["ends"], row["names"], later.tobytes()
-
-        answered = _answer(_send(flags, keys_of, count), _is_later)
-        flags, at = _stored(_back(flags, answered, fold, "tile long, body binary, ends binary, names binary, later binary"))
-        del answered
-        _dropped(spark, names_at)
-        names_at = at
-    return _runs(flags.select("tile", "ends", "later").join(tiles.drop("ends"), "tile"), length)
-
-
-def _runs(flags: DataFrame, length: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                tile = Tile(row["body"], row["ends"])
-                later = np.frombuffer(row["later"], bool)
-                edge = np.flatnonzero(np.diff(np.r_[False, later, False].astype(np.int8)))
-                begin, end = edge[::2], edge[1::2]
-                own = np.searchsorted(tile.starts, begin, side="right") - 1
-                ids, texts, starts = (np.frombuffer(row[c], np.int64)[own] for c in ("ids", "texts", "starts"))
-                start = begin - tile.starts[own] + starts
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, texts, start, start + (end - begin) + length - 1)], names=[*KEY, "start", "stop"])
-
-    return flags.select("body", "ends", "later", "ids", "texts", "starts").mapInArrow(run, "k_id long, k_text long, start long, stop long")
+        raise ValueError("ranks are built for strings of 100 bytes")
+    if total is None:
+        total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    shared = durable(_anchors(docs, length, max((total or 0) // SHARE, 1)))
+    every, hot = (x or 0 for x in shared.agg(F.sum(F.octet_length("hashes") / 8), F.sum(F.octet_length("hot") / 8)).first())
+    # a piece has about half the windows that its anchor can reach
+    windows = (length - GRAM) // 2
+    count = max(int((every - hot) * (length + windows) + hot * length * windows) // SHARE, 1)
+    return _found(_pieces(docs, shared, length, count), length)
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -400,7 +411,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     first = whole.groupBy("sha").agg(F.min(F.struct(*KEY)).alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = whole.join(first, "sha").filter(F.struct(*KEY) != F.col("first")).select(*KEY).distinct()
     copies = durable(copies)
-    spans = repeats(texts.join(copies, KEY, "left_anti").dropDuplicates(KEY) if _repeated(whole) else texts.join(copies, KEY, "left_anti"), length)
+    spans = repeats(texts.join(copies, KEY, "left_anti").dropDuplicates(KEY) if _repeated(whole) else texts.join(copies, KEY, "left_anti"), length, whole.agg(F.sum("size")).first()[0])
     spans = spans.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     marked = durable(spans).unionByName(copies.select(*KEY, F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("spans")).withColumn("spans", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop")))))
 

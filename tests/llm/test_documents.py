@@ -175,6 +175,41 @@ def test_repeated_bytes(spark, docs, none, monkeypatch, tile):
     assert plain(suffixes.removals(none)) == []
 
 
+@pytest.mark.parametrize("share, hot", [(1 << 22, 1 << 15), (3000, 2)])
+def test_repeated_bytes_near_each_other(spark, monkeypatch, share, hot):
+    """Short periods, repeats inside one run of windows, a frequent line between different words, copies of pieces."""
+    monkeypatch.setattr(suffixes, "SHARE", share)
+    monkeypatch.setattr(suffixes, "HOT", hot, raising=False)
+    monkeypatch.setattr(suffixes, "TILE", share)
+    monkeypatch.setattr(suffixes, "BLOCK", 7, raising=False)
+    line, other = C.prose(40, 14)[:70], C.prose(41, 60)
+    texts = [C.prose(42, 30)[:20] * 7, C.prose(43, 30)[:49] * 3, "ab" * 75, C.prose(44, 30)[:99] * 2, other + C.prose(45, 9) + other]
+    texts += [C.prose(50 + n, 12) + line + C.prose(50 + n % 4, 12) for n in range(12)] + ["x" + other[3:], None, "", "x" * 99, "x" * 100, "x" * 101]
+    rows = [(n, t) for n, t in enumerate(texts)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.removals(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    want = C.removed_bytes(rows)
+    assert got == {i: want[i, t] for i, t in rows} and sum(x[1] for x in got.values()) > 1500
+
+
+def test_repeated_bytes_travel_once(spark, monkeypatch):
+    """What the groups get to count and rank is not many times the text itself."""
+    from pyspark.sql import GroupedData
+
+    sent, apply = [], GroupedData.applyInArrow
+
+    def counted(self, func, schema):
+        size = sum(F.octet_length(c) if kind == "binary" else F.lit(8) for c, kind in self._df.dtypes)
+        sent.append(self._df.agg(F.sum(size)).first()[0])
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", counted)
+    passages = [C.prose(60 + n, 200) for n in range(8)]
+    rows = [(n, " ".join([C.prose(100 + n, 300), passages[n % 8], C.prose(300 + n, 200), passages[n % 7]])) for n in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert suffixes.removals(docs).agg(F.sum("n_removed")).first()[0] > 200_000
+    assert 0 < sum(sent) < 1.5 * sum(len(t) for _, t in rows)
+
+
 def test_packing(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
